@@ -174,7 +174,7 @@ def vista(nombre: str, sql: str, *bases: str) -> None:
         _BASE[nombre] = list(bases)
 
 
-def con(sql: str, *extra: str) -> str:
+def con(sql: str) -> str:
     """Puts the views a query mentions in front of it."""
     orden: list[str] = []
 
@@ -188,5 +188,6 @@ def con(sql: str, *extra: str) -> str:
     for v in VISTAS:
         if re.search(rf"\b{v}\b", sql):
             poner(v)
-    partes = [f"{v} AS ({VISTAS[v]})" for v in orden] + list(extra)
-    return ("WITH " + ",\n".join(partes) + "\n" if partes else "") + sql.strip()
+    partes = ",\n".join(f"{v} AS ({VISTAS[v]})" for v in orden)
+    # A query may go on with tables of its own, starting with a comma; they may be recursive.
+    return (f"WITH RECURSIVE {partes}\n" if partes else "") + sql.strip()

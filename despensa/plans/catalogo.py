@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from despensa.plans import panel, segmentacion  # noqa: F401
+from despensa.plans import calendario, panel, segmentacion, series  # noqa: F401
 from despensa.plans.registro import CONSULTAS, SQL  # noqa: F401
