@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from despensa.soporte import dimension
 from despensa.sources import calendar as cal
 
 PARADAS = ("receso", "santa", "finales", "induccion")
@@ -14,10 +16,9 @@ PARADAS = ("receso", "santa", "finales", "induccion")
 
 def lunes_entre(spark: SparkSession, desde: dt.date, hasta: dt.date) -> DataFrame:
     """All Mondays of a range, one row each."""
-    return spark.range(1).select(F.explode(F.sequence(
-        F.date_trunc("week", F.lit(desde)).cast("date"),
-        F.date_trunc("week", F.lit(hasta)).cast("date"),
-        F.expr("interval 7 days"))).alias("ds"))
+    primero = desde - dt.timedelta(days=desde.weekday())
+    n = (hasta - primero).days // 7 + 1
+    return dimension(spark, ds=(pa.date32(), [primero + dt.timedelta(weeks=k) for k in range(n)]))
 
 
 def jn_mapa_dia(calendario: DataFrame) -> DataFrame:

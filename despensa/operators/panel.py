@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from despensa.functions.dates import fec_lunes, fec_periodos
 from despensa.functions.numbers import num_participacion
-from despensa.soporte import acumular, sin_nulos
+from despensa.soporte import acumular, dimension, sin_nulos
 
 # ---- fixed values: weekdays in order ----
 DIAS = [("Monday", "Lun"), ("Tuesday", "Mar"), ("Wednesday", "Mie"), ("Thursday", "Jue"),
@@ -129,8 +130,9 @@ def agg_dia(ventas: DataFrame) -> DataFrame:
     """Revenue and invoices by weekday, all seven present."""
     v = ventas.groupBy(F.weekday("Fecha").alias("n")).agg(
         F.sum("Total").alias("Ingresos"), F.count_distinct("Consecutivo").alias("Facturas"))
-    dias = ventas.sparkSession.createDataFrame(
-        [(i, d, c) for i, (d, c) in enumerate(DIAS)], "n int, DiaSemana string, Dia string")
+    dias = dimension(ventas.sparkSession, n=(pa.int32(), list(range(7))),
+                     DiaSemana=(pa.string(), [d for d, _ in DIAS]),
+                     Dia=(pa.string(), [c for _, c in DIAS]))
     return dias.join(v, "n", "left").select("n", "DiaSemana", "Dia", "Ingresos", "Facturas")
 
 

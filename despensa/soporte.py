@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -136,6 +137,13 @@ def percentil_exacto(df: DataFrame, col: str, p: float) -> float | None:
     return a + (b - a) * f
 
 
+def dimension(spark: SparkSession, **columnas: tuple[pa.DataType, list]) -> DataFrame:
+    """Small constant table. Given as Arrow it becomes a local relation the optimizer knows the
+    size of, not a job over Python rows."""
+    return spark.createDataFrame(pa.table(
+        {n: pa.array(v, t) for n, (t, v) in columnas.items()}))
+
+
 def sin_nulos(df: DataFrame, *claves: str) -> DataFrame:
     """Grouping drops null keys, as the ledger rules ask; Spark alone would keep a null group."""
     for c in claves:

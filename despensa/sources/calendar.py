@@ -8,9 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from dateutil.easter import easter
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from despensa.soporte import dimension
+
 # ---- fixed values: calendar blocks in precedence order (a later block wins on a shared day) ----
 BLOQUES = [
     ("semana_santa", "2024-03-24", "2024-03-30"),
@@ -56,12 +60,19 @@ PASCUA = [("Jueves Santo", -3), ("Viernes Santo", -2), ("Ascensión del señor",
 NOMBRES = list(dict.fromkeys(b[0] for b in BLOQUES))
 
 
+def _dia(texto: str, dias_atras: int) -> dt.date:
+    return dt.date.fromisoformat(texto) - dt.timedelta(days=dias_atras)
+
+
 def bloques(spark: SparkSession, dias_atras: int = 0) -> DataFrame:
     """Calendar periods (ord, holiday, ini, fin), optionally moved back by some days."""
-    filas = [(i, h, dt.date.fromisoformat(a), dt.date.fromisoformat(b))
-             for i, (h, a, b) in enumerate(BLOQUES)]
-    d = spark.createDataFrame(filas, "ord int, holiday string, ini date, fin date")
-    return d.withColumns({"ini": F.date_sub("ini", dias_atras), "fin": F.date_sub("fin", dias_atras)})
+    return dimension(
+        spark,
+        ord=(pa.int32(), list(range(len(BLOQUES)))),
+        holiday=(pa.string(), [b[0] for b in BLOQUES]),
+        ini=(pa.date32(), [_dia(b[1], dias_atras) for b in BLOQUES]),
+        fin=(pa.date32(), [_dia(b[2], dias_atras) for b in BLOQUES]),
+    )
 
 
 def src_calendario(spark: SparkSession, dias_atras: int = 0) -> DataFrame:
@@ -73,38 +84,17 @@ def src_calendario(spark: SparkSession, dias_atras: int = 0) -> DataFrame:
 
 
 def src_inicios(spark: SparkSession, dias_atras: int = 0) -> DataFrame:
-    filas = [(dt.date.fromisoformat(d),) for d in INICIOS]
-    return spark.createDataFrame(filas, "inicio date").select(
-        F.date_sub("inicio", dias_atras).alias("inicio"))
-
-
-def pascua(anio: Column) -> Column:
-    """Easter Sunday of a year, Gregorian reckoning."""
-    def div(a, b):
-        return F.floor(a / b).cast("int")
-
-    a, b, c = anio % 19, div(anio, 100), anio % 100
-    luna = (19 * a + b - div(b, 4) - div(b - div(b + 8, 25) + 1, 3) + 15) % 30
-    sem = (32 + 2 * (b % 4) + 2 * div(c, 4) - luna - c % 4) % 7
-    m = div(a + 11 * luna + 22 * sem, 451)
-    n = luna + sem - 7 * m + 114
-    return F.make_date(anio, div(n, 31), n % 31 + 1)
+    return dimension(spark, inicio=(pa.date32(), [_dia(d, dias_atras) for d in INICIOS]))
 
 
 def src_festivos(spark: SparkSession, desde: int, hasta: int) -> DataFrame:
-    """Public holidays (holiday, ds) of the years ``desde`` to ``hasta``."""
-    anios = spark.range(desde, hasta + 1).select(F.col("id").cast("int").alias("a"))
-
-    def fila(nombre, fecha):
-        return F.struct(F.lit(nombre).alias("holiday"), fecha.alias("ds"))
-
-    def dia(mes, d):
-        return F.make_date(F.col("a"), F.lit(mes), F.lit(d))
-
-    def lunes(fecha):  # the same day if it is a Monday, else the next one
-        return F.next_day(F.date_sub(fecha, 1), "Mon")
-
-    todas = [fila(n, dia(m, d)) for n, m, d in FIJOS]
-    todas += [fila(n, lunes(dia(m, d))) for n, m, d in TRASLADADOS]
-    todas += [fila(n, F.date_add(pascua(F.col("a")), k)) for n, k in PASCUA]
-    return anios.select(F.inline(F.array(*todas)))
+    """Public holidays (holiday, ds) of the years ``desde`` to ``hasta``: 18 rows a year."""
+    filas = []
+    for a in range(desde, hasta + 1):
+        filas += [(n, dt.date(a, m, d)) for n, m, d in FIJOS]
+        for n, m, d in TRASLADADOS:
+            dia = dt.date(a, m, d)
+            filas.append((n, dia + dt.timedelta(days=-dia.weekday() % 7)))
+        filas += [(n, easter(a) + dt.timedelta(days=k)) for n, k in PASCUA]
+    return dimension(spark, holiday=(pa.string(), [f[0] for f in filas]),
+                     ds=(pa.date32(), [f[1] for f in filas]))
