@@ -29,7 +29,7 @@ def recetas_de_hojas(hojas: DataFrame) -> DataFrame:
         F.col("hoja").alias("categoria"), F.col("_p.plato").alias("plato"),
         F.col("_p.porcion").alias("porcion"), _lleno("ingrediente").alias("ingrediente"),
         "cantidad", F.coalesce(F.trim("unidad"), F.lit("")).alias("unidad"),
-        F.col("fila").alias("orden"))
+        F.struct("hoja", "fila").alias("orden"))
 
 
 def _trozos(c: Column) -> Column:

@@ -1,4 +1,6 @@
 """All registered queries."""
 
-from despensa.plans import calendario, panel, segmentacion, series  # noqa: F401
+from despensa.plans import (  # noqa: F401
+    calendario, fuentes, limpieza, panel, segmentacion, series,
+)
 from despensa.plans.registro import CONSULTAS, SQL  # noqa: F401

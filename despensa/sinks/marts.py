@@ -28,7 +28,7 @@ def snk_append(nuevo: DataFrame, carpeta: str, fecha: str = "Fecha", lote: str =
     holding most rows is written by several tasks.
     """
     n = int(nuevo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    filas = nuevo.withColumns({"mes": F.date_format(fecha, "yyyy-MM"), "lote": F.lit(lote)})
+    filas = nuevo.withColumns({"mes": F.date_format(fecha, "yyyy-MM"), "lote": F.lit(f"l-{lote}")})
     (filas.repartition(n, "mes", F.pmod(F.xxhash64(*nuevo.columns), F.lit(8)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("mes", "lote").parquet(carpeta))

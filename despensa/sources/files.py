@@ -83,7 +83,8 @@ def src_compras_rep(spark: SparkSession, ruta) -> DataFrame:
 def _de_ruta(clave: str, hasta_guion: bool) -> Column:
     """Name a file stands for: from a ``clave=`` folder, else from the file's own name."""
     ruta = F.url_decode("_metadata.file_path")
-    carpeta = F.nullif(F.regexp_extract(ruta, f"/{clave}=([^/]+)/", 1), F.lit(""))
+    # Folder names are escaped once more than the path is.
+    carpeta = F.nullif(F.url_decode(F.regexp_extract(ruta, f"/{clave}=([^/]+)/", 1)), F.lit(""))
     tallo = r"/([^/-]+)-[^/]*$" if hasta_guion else r"/([^/]+?)(?:\.[^./]*)?$"
     return F.coalesce(carpeta, F.regexp_extract(ruta, tallo, 1))
 

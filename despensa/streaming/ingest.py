@@ -33,7 +33,7 @@ def ingerir(paginas: DataFrame, carpeta: str, lote: str) -> int:
     lineas = normalizar(lineas_de_facturas(paginas))
     antes = guardado(paginas.sparkSession, carpeta)
     if antes is not None:
-        lineas = jn_dedup(lineas, antes.filter(F.col("lote") != lote))
+        lineas = jn_dedup(lineas, antes.filter(F.col("lote") != f"l-{lote}"))
     # Counted and written from one stored result, so the pages are parsed once.
     lineas = cortar(lineas)
     n = lineas.count()
