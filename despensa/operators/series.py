@@ -189,3 +189,9 @@ def ts_cero(df: DataFrame, cuando, cols: tuple[str, ...] = ("yhat", "yhat_lower"
 
 def ts_residuo(df: DataFrame, y: str = "y", base: str = "yhat") -> DataFrame:
     return df.withColumn("residuo", F.col(y) - F.col(base))
+
+
+def flt_modelables(df: DataFrame, features: list[str], minimo: int) -> DataFrame:
+    """Observed rows with every model input, of series that keep at least ``minimo`` of them."""
+    from despensa.operators.filters import flt_completas, flt_minimos
+    return flt_minimos(flt_completas(df, [*features, "y"]), minimo)
