@@ -56,38 +56,46 @@ def jn_busqueda(claves: DataFrame, pruebas: Sequence[dict]) -> DataFrame:
     return claves.select(*claves.columns, F.inline(filas))
 
 
-def _matrices(dias: np.ndarray, festivos: Sequence, visto: np.ndarray, rango: float,
-              periodo: float, orden: int):
-    """Trend and effect columns of one series; ``visto`` marks the observed rows."""
+def efectos(dias: np.ndarray, festivos: Sequence, visto: np.ndarray, periodo: float = PERIODO,
+            orden: int = ORDEN) -> tuple[np.ndarray, int]:
+    """Seasonal and holiday columns of one series; holidays no observed row has are left out."""
+    fase = 2 * np.pi * dias[:, None] * np.arange(1, orden + 1)[None, :] / periodo
+    conjuntos = [frozenset(f) for f in festivos]
+    nombres = sorted(frozenset().union(*(f for f, v in zip(conjuntos, visto) if v)))
+    marca = np.zeros((len(dias), len(nombres)))
+    lugar = {h: j for j, h in enumerate(nombres)}
+    for i, f in enumerate(conjuntos):
+        for h in f & lugar.keys():
+            marca[i, lugar[h]] = 1.0
+    return np.column_stack([np.sin(fase), np.cos(fase), marca]), len(nombres)
+
+
+def tendencia(dias: np.ndarray, visto: np.ndarray, rango: float) -> np.ndarray:
+    """Level, slope and the bends spread evenly over the first ``rango`` of the history."""
     ini, fin = dias[visto][0], dias[visto][-1]
     t = (dias - ini) / max(fin - ini, 1)
     tv = t[visto]
     corte = max(int(len(tv) * rango) - 1, 1)
     k = min(QUIEBRES, corte)
     s = tv[np.linspace(0, corte, k + 1).round().astype(int)[1:]]
-    tendencia = np.column_stack([np.ones_like(t), t, np.clip(t[:, None] - s[None, :], 0, None)])
-    fase = 2 * np.pi * dias[:, None] * np.arange(1, orden + 1)[None, :] / periodo
-    nombres = sorted({h for f, v in zip(festivos, visto) if v for h in f})
-    dummies = np.array([[float(h in f) for h in nombres] for f in festivos]) \
-        .reshape(len(dias), len(nombres))
-    return tendencia, np.column_stack([np.sin(fase), np.cos(fase), dummies]), k, len(nombres)
+    return np.column_stack([np.ones_like(t), t, np.clip(t[:, None] - s[None, :], 0, None)])
 
 
 def _resolver(x: np.ndarray, y: np.ndarray, pena: np.ndarray, var: float) -> np.ndarray:
-    return np.linalg.solve(x.T @ x / var + np.diag(pena), x.T @ y / var)
+    return np.linalg.solve(x.T @ x + np.diag(pena * var), x.T @ y)
 
 
-def ajustar_serie(dias: np.ndarray, y: np.ndarray, festivos: Sequence, p: dict,
-                  periodo: float = PERIODO, orden: int = ORDEN) -> tuple[np.ndarray, float]:
+def ajustar_serie(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict
+                  ) -> tuple[np.ndarray, float]:
     """Fitted values of all rows (rows with null y are forecast) and the residual spread."""
     visto = ~np.isnan(y)
     escala = max(np.abs(y[visto]).max(), 1e-9)
     v = y[visto] / escala
-    tend, efec, k, nh = _matrices(dias.astype(float), festivos, visto, p["changepoint_range"],
-                                  periodo, orden)
-    pena_t = np.r_[1 / 25.0, 1 / 25.0, np.full(k, 1 / p["changepoint_prior_scale"] ** 2)]
-    pena_e = np.r_[np.full(2 * orden, 1 / p["seasonality_prior_scale"] ** 2),
-                   np.full(nh, 1 / p["holidays_prior_scale"] ** 2)]
+    tend = tendencia(dias.astype(float), visto, p["changepoint_range"])
+    pena_t = np.r_[1 / 25.0, 1 / 25.0,
+                   np.full(tend.shape[1] - 2, 1 / p["changepoint_prior_scale"] ** 2)]
+    pena_e = np.r_[np.full(efec.shape[1] - n_fest, 1 / p["seasonality_prior_scale"] ** 2),
+                   np.full(n_fest, 1 / p["holidays_prior_scale"] ** 2)]
     var = max(v.var(), 1e-6)
     if p["seasonality_mode"] == "additive":
         x, pena = np.column_stack([tend, efec]), np.r_[pena_t, pena_e]
@@ -112,9 +120,18 @@ def _dias(ds: pd.Series) -> np.ndarray:
     return pd.to_datetime(ds).to_numpy().astype("datetime64[D]").astype("int64")
 
 
-def con_festivos(serie: DataFrame, semanas: DataFrame) -> DataFrame:
+def repartir(d: DataFrame) -> DataFrame:
+    """Products over all task slots. Left to itself the shuffle would be merged by its size in
+    bytes, which is tiny next to the work in each group."""
+    spark = d.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+            spark.sparkContext.defaultParallelism)
+    return d.repartition(n, "producto")
+
+
+def con_festivos(serie: DataFrame, semanas: DataFrame, *extra: str) -> DataFrame:
     """Holidays that fall on each Monday, from the weekly calendar (one row a week)."""
-    return serie.select("producto", "ds", "y").join(
+    return serie.select("producto", "ds", "y", *extra).join(
         F.broadcast(semanas.select("ds", "festivos")), "ds", "left")
 
 
@@ -134,13 +151,14 @@ def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None =
     def ajustar(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("ds")
         p = g.iloc[0][COLS_PARAMS].to_dict()
-        yhat, s = ajustar_serie(_dias(g["ds"]), g["y"].to_numpy(float), list(g["festivos"]), p,
-                                periodo, orden)
+        dias, y = _dias(g["ds"]), g["y"].to_numpy(float)
+        efec, n_fest = efectos(dias, g["festivos"], ~np.isnan(y), periodo, orden)
+        yhat, s = ajustar_serie(dias, y, efec, n_fest, p)
         return pd.DataFrame({"producto": g["producto"].to_numpy(), "ds": g["ds"].to_numpy(),
                              "yhat": yhat, "yhat_lower": yhat - Z80 * s,
                              "yhat_upper": yhat + Z80 * s})
 
-    r = d.groupBy("producto").applyInPandas(
+    r = repartir(d).groupBy("producto").applyInPandas(
         ajustar, "producto string, ds date, yhat double, yhat_lower double, yhat_upper double")
     cero = F.lit(0.0)
     return r.withColumns({c: num_recorte(c).cast("double") if entero else F.greatest(F.col(c), cero)
@@ -155,27 +173,27 @@ def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict
     trial.
     """
     lista = list(pruebas)
-    d = con_festivos(partes, semanas).join(
-        partes.select("producto", "ds", "parte"), ["producto", "ds"])
+    d = con_festivos(partes, semanas, "parte")
 
     def buscar(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("ds")
-        y, dias, fest = g["y"].to_numpy(float), _dias(g["ds"]), list(g["festivos"])
+        y, dias = g["y"].to_numpy(float), _dias(g["ds"])
         ent = (g["parte"] == "train").to_numpy()
         activa = ~ent & (y > 0)
+        efec, n_fest = efectos(dias, g["festivos"], ent)
         filas = []
         for p in lista:
             mae = FALLO
             if activa.any() and ent.sum() > 2:
                 try:
-                    yhat, _ = ajustar_serie(dias, np.where(ent, y, np.nan), fest, p)
+                    yhat, _ = ajustar_serie(dias, np.where(ent, y, np.nan), efec, n_fest, p)
                     mae = float(np.abs(np.ceil(np.clip(yhat, 0, None)) - y)[activa].mean())
                 except np.linalg.LinAlgError:
                     mae = FALLO
             filas.append({"producto": g["producto"].iloc[0], **p, "mae": mae})
         return pd.DataFrame(filas)[["producto", "prueba", *COLS_PARAMS, "mae"]]
 
-    return d.groupBy("producto").applyInPandas(
+    return repartir(d).groupBy("producto").applyInPandas(
         buscar, f"producto string, prueba int, {ESQUEMA_PARAMS}, mae double")
 
 

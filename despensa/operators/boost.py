@@ -7,10 +7,12 @@ fit itself is distributed and its number does not grow with the catalogue.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, Window
@@ -90,21 +92,30 @@ def predecir(df: DataFrame, modelo: GBTRegressionModel, features: Sequence[str]
     ).drop("_f", "_p")
 
 
+def ajustes(spark, tareas: Sequence[Callable[[], GBTRegressionModel]], a_la_vez: int = 8
+            ) -> list[GBTRegressionModel]:
+    """Runs independent fits side by side, as a cross-validator does: a single boosting is a chain
+    of small jobs that leaves most of the cluster idle."""
+    if len(tareas) < 2:
+        return [f() for f in tareas]
+    with ThreadPool(min(a_la_vez, len(tareas))) as pool:
+        return pool.map(lambda f: inheritable_thread_target(spark)(f)(), tareas, chunksize=1)
+
+
 def ts_ajuste_boost(filas: DataFrame, pruebas: Sequence[dict], k: int = 3) -> DataFrame:
     """Error of every trial on expanding time folds of the training rows, per product.
 
     The driver walks the trial list only; each fit and each score is a distributed job.
     """
     d = cortar(win_folds(filas.filter(F.col("i") <= F.col("corte")).drop("i", "n"), k))
-    puntos = []
-    for p in pruebas:
-        for f in range(1, k + 1):
-            pliegue = F.coalesce("pliegue", F.lit(0))
-            modelo = ts_boost(d.filter(pliegue < f), p)
-            puntos.append(
-                predecir(d.filter(pliegue == f), modelo)
-                .groupBy("producto").agg(m.met_mae("y", "prediccion").alias("mae"))
-                .withColumn("prueba", F.lit(p["prueba"])))
+    pliegue = F.coalesce("pliegue", F.lit(0))
+    pares = [(p, f) for p in pruebas for f in range(1, k + 1)]
+    modelos = ajustes(d.sparkSession, [
+        lambda p=p, f=f: ts_boost(d.filter(pliegue < f), p) for p, f in pares])
+    puntos = [
+        predecir(d.filter(pliegue == f), modelo)
+        .groupBy("producto").agg(m.met_mae("y", "prediccion").alias("mae"))
+        .withColumn("prueba", F.lit(p["prueba"])) for (p, f), modelo in zip(pares, modelos)]
     return cortar(reduce(DataFrame.unionByName, puntos).groupBy("producto", "prueba")
                   .agg(F.avg("mae").alias("mae")))
 
@@ -158,10 +169,9 @@ def ts_wf_paso1(filas: DataFrame, prueba: dict, reajuste: int = 1) -> DataFrame:
     way every test week of every product is predicted. A baseline of 0 forces 0.
     """
     d, n = _tramos(cortar(filas), reajuste)
-    partes = []
-    for t in range(n):
-        modelo = ts_boost(_antes(d, t, reajuste), prueba)
-        partes.append(predecir(d.filter(F.col("tramo") == t), modelo))
+    modelos = ajustes(d.sparkSession, [
+        lambda t=t: ts_boost(_antes(d, t, reajuste), prueba) for t in range(n)])
+    partes = [predecir(d.filter(F.col("tramo") == t), x) for t, x in enumerate(modelos)]
     return reduce(DataFrame.unionByName, partes).select(
         "producto", "ds", F.col("y").alias("real"),
         F.when(F.col("yhat") == 0, 0.0).otherwise(F.col("prediccion")).alias("prediccion"),
@@ -214,9 +224,10 @@ def ts_wf_multi(filas: DataFrame, prueba: dict, horizonte: int = 4, reajuste: in
     origenes = cortar(d.filter((F.col("i") > F.col("corte"))
                                & (F.col("i") <= F.col("n") - horizonte + 1)))
     origenes, n = _tramos(origenes, reajuste)
+    modelos = ajustes(base.sparkSession, [
+        lambda t=t: ts_boost(_antes(base, t, reajuste), prueba) for t in range(n)])
     partes = []
-    for t in range(n):
-        modelo = ts_boost(_antes(base, t, reajuste), prueba)
+    for t, modelo in enumerate(modelos):
         x = origenes.filter(F.col("tramo") == t)
         for h in range(1, horizonte + 1):
             x = _paso(x, modelo, h)

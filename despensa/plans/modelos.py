@@ -22,7 +22,7 @@ from despensa.soporte import cortar
 # ranges (100 to 600 trees, 30 trials, a re-fit for every week).
 PRUEBAS = bo.pruebas_boost(2, arboles=(10, 16), profundidad=(2, 4))
 OPCIONES = Opciones(desde="1996-01-01", dias_atras=DESPLAZAMIENTO, pruebas_boost=PRUEBAS,
-                    reajuste=26)
+                    reajuste=13)
 
 
 def _serie(t):
