@@ -22,10 +22,13 @@ def flt_local_fecha(df: DataFrame, local: str = "Principal", desde: str = "2024-
 
 def flt_rango(df: DataFrame, mes_ini: str, mes_fin: str, local: str | None = None,
               fecha: str = "Fecha") -> DataFrame:
-    """Months between two yyyy-MM, as a date range so the scan can use it."""
+    """Months between two yyyy-MM, as a date range so the scan can use it; a ledger laid out by
+    month is pruned to its folders too."""
     desde = F.to_date(F.lit(mes_ini + "-01"))
     hasta = F.add_months(F.to_date(F.lit(mes_fin + "-01")), 1)
     df = df.filter((F.col(fecha) >= desde) & (F.col(fecha) < hasta))
+    if "mes" in df.columns:
+        df = df.filter(F.col("mes").between(mes_ini, mes_fin))
     return df if local in (None, "Todos") else df.filter(F.col("Establecimiento") == local)
 
 

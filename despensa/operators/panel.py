@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from despensa.functions.dates import fec_lunes, fec_periodos
 from despensa.functions.numbers import num_participacion
-from despensa.soporte import acumular, dimension, sin_nulos
+from despensa.soporte import acumular, cortar, dimension, sin_nulos
 
 # ---- fixed values: weekdays in order ----
 DIAS = [("Monday", "Lun"), ("Tuesday", "Mar"), ("Wednesday", "Mie"), ("Thursday", "Jue"),
@@ -120,10 +120,14 @@ def agg_top(ventas: DataFrame, n: int = 12) -> DataFrame:
 
 
 def agg_detalle(ventas: DataFrame) -> DataFrame:
-    """Every product with its share of revenue. The total is a scalar, not a window."""
-    t = _por_producto(ventas)
-    todo = sin_nulos(ventas, "Nombre", "TipoPlato").select(F.sum("Total")).scalar()
-    return t.withColumn("Pct", num_participacion("Ingresos", todo))
+    """Every product with its share of revenue.
+
+    The product table is stored and its total, one number, read off it: the ledger is scanned once
+    and no window gathers all products.
+    """
+    t = cortar(_por_producto(ventas))
+    todo = t.agg(F.sum("Ingresos")).first()[0]
+    return t.withColumn("Pct", num_participacion("Ingresos", F.lit(todo).cast("double")))
 
 
 def agg_dia(ventas: DataFrame) -> DataFrame:
@@ -163,20 +167,27 @@ def agg_semana(ventas: DataFrame) -> DataFrame:
 
 def agg_precio(ventas: DataFrame, dias: int | None = None) -> DataFrame:
     """Price weighted by units over all history, or over the last ``dias`` days with all history
-    as fallback. One pass: recent and full sums are kept side by side."""
+    as fallback.
+
+    The recent form sums by product and day first and stores that table: the newest date and both
+    sums come from it, so the ledger is scanned once.
+    """
     v = sin_nulos(ventas, "Nombre")
-    plata = F.col("Precio") * F.col("Cantidad")
-    if dias is None:
-        reciente = F.lit(False)
-    else:
-        reciente = F.col("Fecha") >= F.date_sub(v.select(F.max("Fecha")).scalar(), dias)
-    s = v.groupBy(F.col("Nombre").alias("producto")).agg(
-        F.count_if(reciente).alias("n"),
-        F.sum(F.when(reciente, plata)).alias("pr"),
-        F.sum(F.when(reciente, F.col("Cantidad"))).alias("qr"),
-        F.sum(plata).alias("p"), F.sum("Cantidad").alias("q"))
+    sumas = [F.sum(F.col("Precio") * F.col("Cantidad")).alias("p"), F.sum("Cantidad").alias("q"),
+             F.count(F.lit(1)).alias("n")]
     uno = F.lit(1.0)
-    return s.select("producto", F.when(F.col("n") > 0, F.col("pr") / F.greatest("qr", uno))
+    if dias is None:
+        return (v.groupBy(F.col("Nombre").alias("producto")).agg(*sumas)
+                .select("producto", (F.col("p") / F.greatest("q", uno)).alias("precio_unitario")))
+    diario = cortar(v.groupBy(F.col("Nombre").alias("producto"), "Fecha").agg(*sumas))
+    ultimo = diario.agg(F.max("Fecha")).first()[0]
+    reciente = F.col("Fecha") >= F.date_sub(F.lit(ultimo), dias)
+    s = diario.groupBy("producto").agg(
+        F.sum(F.when(reciente, F.col("n"))).alias("nr"),
+        F.sum(F.when(reciente, F.col("p"))).alias("pr"),
+        F.sum(F.when(reciente, F.col("q"))).alias("qr"),
+        F.sum("p").alias("p"), F.sum("q").alias("q"))
+    return s.select("producto", F.when(F.col("nr") > 0, F.col("pr") / F.greatest("qr", uno))
                     .otherwise(F.col("p") / F.greatest("q", uno)).alias("precio_unitario"))
 
 
@@ -220,9 +231,14 @@ def agg_plan4(pronostico: DataFrame, precios: DataFrame) -> DataFrame:
 
 
 def jn_seguimiento(pronostico: DataFrame, ventas: DataFrame, asof: Column) -> DataFrame:
-    """Past forecasts against what was sold; a week without sales has no real value."""
+    """Past forecasts against what was sold; a week without sales has no real value.
+
+    The weeks forecast, two dates, bound the part of the ledger that is read.
+    """
     pasadas = pronostico.filter(F.col("fecha") < asof).select("producto", "fecha", "prediccion")
-    real = agg_semana(ventas).select("producto", F.col("ds").alias("fecha"), "y")
+    ini, fin = pasadas.agg(F.min("fecha"), F.date_add(F.max("fecha"), 6)).first()
+    tramo = ventas.filter(F.col("Fecha").between(F.lit(ini).cast("date"), F.lit(fin).cast("date")))
+    real = agg_semana(tramo).select("producto", F.col("ds").alias("fecha"), "y")
     y = F.when(F.col("y") > 0, F.col("y"))
     return pasadas.join(real, ["producto", "fecha"], "left").select(
         "producto", "fecha", "prediccion", F.floor(y).cast("bigint").alias("real"),
@@ -262,14 +278,13 @@ def win_cola(hist: DataFrame, n: Column | int, ds: str = "ds", nombre: str = "pr
 
 def agg_prec_kpi(hist: DataFrame) -> DataFrame:
     """Overall error, error of the last four weeks' worth of rows, share of rows within it."""
-    e = met_error_sem(hist)
-    n = hist.select(F.count_distinct("producto") * 4).scalar()
-    mae = e.select(F.avg("error_abs")).scalar()
-    ult = win_cola(e, n).select(F.avg("error_abs")).scalar()
-    return e.agg(
-        F.avg("error_abs").alias("mae_total"),
-        (F.avg((F.col("error_abs") <= mae).cast("double")) * 100).alias("pct_bien"),
-    ).withColumn("mae_ult4", ult)
+    e = cortar(met_error_sem(hist))
+    mae, n = e.agg(F.avg("error_abs"), F.count_distinct("producto") * 4).first()
+    dentro = (F.col("error_abs") <= F.lit(mae).cast("double")).cast("double")
+    ult = win_cola(e, n).agg(F.avg("error_abs").alias("mae_ult4"))
+    return e.agg(F.avg("error_abs").alias("mae_total"),
+                 (F.avg(dentro) * 100).alias("pct_bien")) \
+        .withColumn("mae_ult4", ult.scalar())
 
 
 def agg_cobertura(serie: DataFrame) -> DataFrame:

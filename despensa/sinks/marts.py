@@ -9,27 +9,25 @@ from despensa import esquemas
 
 
 def snk_marts(marts: dict[str, DataFrame], carpeta: str) -> None:
-    """Overwrites the marts. The history is laid out by week, which the panel filters and sums by,
-    so that its number of folders does not grow with the catalogue."""
+    """Overwrites the marts. The history is written in product order, so a product's rows are found
+    by the file statistics; a folder for each product would grow with the catalogue."""
     for nombre, esquema in esquemas.MARTS.items():
-        df = marts[nombre]
-        cols = [c.split()[0] for c in esquema.split(", ")]
-        tipos = [c.split()[1] for c in esquema.split(", ")]
-        df = df.select(*[F.col(c).cast(t).alias(c) for c, t in zip(cols, tipos)])
-        w = df.write.mode("overwrite")
-        w.parquet(f"{carpeta}/{nombre}")
+        tipos = [c.split() for c in esquema.split(", ")]
+        df = marts[nombre].select(*[F.col(c).cast(t).alias(c) for c, t in tipos])
+        if nombre == "historial_walkforward":
+            df = df.orderBy("producto", "ds")
+        df.write.mode("overwrite").parquet(f"{carpeta}/{nombre}")
 
 
 def snk_append(nuevo: DataFrame, carpeta: str, fecha: str = "Fecha", lote: str = "0") -> None:
     """Adds rows to the ledger, laid out by month and batch.
 
     A batch writes only its own folders and replaces them when it is run again, so a retried batch
-    leaves no doubles. The rows are gathered by month first, split further by hash, so that a month
-    holding most rows is written by several tasks.
+    leaves no doubles. Rows are gathered by month with sizes evened out at run time: small months
+    share a task, a month that holds most of the rows is written by several.
     """
-    n = int(nuevo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     filas = nuevo.withColumns({"mes": F.date_format(fecha, "yyyy-MM"), "lote": F.lit(f"l-{lote}")})
-    (filas.repartition(n, "mes", F.pmod(F.xxhash64(*nuevo.columns), F.lit(8)))
+    (filas.hint("rebalance", "mes")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("mes", "lote").parquet(carpeta))
 
