@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from despensa.functions.dates import fec_lunes, fec_periodos
 from despensa.functions.numbers import num_participacion
+from despensa.functions.text import REGLAS_PLATO, cat_plato
 from despensa.soporte import acumular, cortar, dimension, sin_nulos
 
 # ---- fixed values: weekdays in order ----
@@ -108,24 +109,27 @@ def agg_tipo(ventas: DataFrame, tipo: str = "TipoPlato") -> DataFrame:
             .withColumn("TicketProm", num_participacion("Ingresos", "Facturas", 1.0)))
 
 
-def _por_producto(ventas: DataFrame) -> DataFrame:
-    return sin_nulos(ventas, "Nombre", "TipoPlato").groupBy("Nombre", "TipoPlato").agg(
+def _por_producto(ventas: DataFrame, reglas) -> DataFrame:
+    """One row per product. The dish type follows from the name, so it is worked out once per
+    product instead of once per line."""
+    t = sin_nulos(ventas, "Nombre").groupBy("Nombre").agg(
         F.sum("Total").alias("Ingresos"), F.sum("Cantidad").alias("Unidades"),
         F.count_distinct("Consecutivo").alias("Facturas"), F.avg("Precio").alias("Precio_prom"))
+    return t.withColumn("TipoPlato", cat_plato("Nombre", reglas))
 
 
-def agg_top(ventas: DataFrame, n: int = 12) -> DataFrame:
+def agg_top(ventas: DataFrame, n: int = 12, reglas=REGLAS_PLATO) -> DataFrame:
     """The n products with most revenue; each task keeps n rows, no full sort."""
-    return _por_producto(ventas).orderBy(F.col("Ingresos").desc(), "Nombre").limit(n)
+    return _por_producto(ventas, reglas).orderBy(F.col("Ingresos").desc(), "Nombre").limit(n)
 
 
-def agg_detalle(ventas: DataFrame) -> DataFrame:
+def agg_detalle(ventas: DataFrame, reglas=REGLAS_PLATO) -> DataFrame:
     """Every product with its share of revenue.
 
     The product table is stored and its total, one number, read off it: the ledger is scanned once
     and no window gathers all products.
     """
-    t = cortar(_por_producto(ventas))
+    t = cortar(_por_producto(ventas, reglas))
     todo = t.agg(F.sum("Ingresos")).first()[0]
     return t.withColumn("Pct", num_participacion("Ingresos", F.lit(todo).cast("double")))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from despensa.operators.filters import flt_local_fecha
-from despensa.soporte import acumular, cortar, percentil_exacto, sin_nulos
+from despensa.soporte import acumular, cortar, percentiles_exactos, sin_nulos
 
 ESTRELLA = "ESTRELLA (Alto Vol / Alto $)"
 PREMIUM = "PREMIUM (Bajo Vol / Alto $)"
@@ -30,8 +30,7 @@ def agg_bcg(info: DataFrame) -> DataFrame:
 
     ``info`` is read several times; pass a stored table (``cortar``) when it comes from a ledger.
     """
-    x = percentil_exacto(info, "cantidad_total", 0.5)
-    y = percentil_exacto(info, "plata_generada", 0.5)
+    x, y = percentiles_exactos(info, ["cantidad_total", "plata_generada"], 0.5)
     volumen, plata = F.col("cantidad_total") >= F.lit(x), F.col("plata_generada") >= F.lit(y)
     return info.withColumn(
         "Categoria_Matriz",

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from despensa.esquemas import MARTS
 from despensa.functions.numbers import num_redondeo
 from despensa.operators import baseline as bl
 from despensa.operators import boost as bo
@@ -71,8 +72,12 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
     serie = cortar(serie)
     cortas = f.flt_cortas(serie, o.minimo_serie, "serie muy corta")
     largas = f.flt_minimos(serie, o.minimo_serie)
+    if largas.isEmpty():
+        return _sin_modelos(serie, cortas)
     cuadro, _ = marco(largas, o)
     filas = cortar(bo.preparar(cuadro, o.minimo_filas))
+    if filas.isEmpty():
+        return _sin_modelos(serie, set_union(cortas, _pocas(cuadro, o)))
 
     ajuste = bo.ts_ajuste_boost(filas, o.pruebas_boost)
     prueba = bo.mejor_prueba(ajuste, o.pruebas_boost)
@@ -102,19 +107,27 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
         "historial_walkforward": test.filter("real > 0").select(
             "ds", "real", "prediccion", "prophet", "producto"),
         "precios_unitarios": precios,
-        "errores": set_union(cortas, *_errores(largas, cuadro, filas, medidas, o)),
+        "errores": set_union(cortas, _pocas(cuadro, o), _inactivas(filas, medidas)),
     }
 
 
-def _errores(largas, cuadro, filas, medidas, o) -> list[DataFrame]:
-    pocas = (cuadro.filter("y IS NOT NULL").groupBy("producto")
-             .agg(F.count_if(_completa()).alias("n_semanas"))
-             .filter(F.col("n_semanas") < o.minimo_filas)
-             .withColumn("error", F.lit("pocas filas modelables")))
-    inactivas = (filas.groupBy("producto").agg(F.count(F.lit(1)).alias("n_semanas"))
-                 .join(medidas, "producto", "left_anti")
-                 .withColumn("error", F.lit("sin semanas activas en prueba")))
-    return [pocas, inactivas]
+def _sin_modelos(serie: DataFrame, errores: DataFrame) -> dict[str, DataFrame]:
+    """Empty marts beside the reasons, when no product can be modelled."""
+    vacios = {n: serie.sparkSession.createDataFrame([], e) for n, e in MARTS.items()}
+    return {**vacios, "errores": errores}
+
+
+def _pocas(cuadro: DataFrame, o: Opciones) -> DataFrame:
+    return (cuadro.filter("y IS NOT NULL").groupBy("producto")
+            .agg(F.count_if(_completa()).alias("n_semanas"))
+            .filter(F.col("n_semanas") < o.minimo_filas)
+            .withColumn("error", F.lit("pocas filas modelables")))
+
+
+def _inactivas(filas: DataFrame, medidas: DataFrame) -> DataFrame:
+    return (filas.groupBy("producto").agg(F.count(F.lit(1)).alias("n_semanas"))
+            .join(medidas, "producto", "left_anti")
+            .withColumn("error", F.lit("sin semanas activas en prueba")))
 
 
 def _completa():

@@ -189,13 +189,13 @@ FROM v_panel GROUP BY Nombre, TipoPlato"""
 @consulta("agg_top", DETALLE + " ORDER BY Ingresos DESC, Nombre LIMIT 12",
           dobles="Ingresos Unidades Precio_prom")
 def _(t):
-    return p.agg_top(_panel(t), 12)
+    return p.agg_top(t.ventas(), 12, REGLAS)
 
 
 @consulta("agg_detalle", f"SELECT *, Ingresos / SUM(Ingresos) OVER () * 100 AS Pct FROM ({DETALLE}) d",
           dobles="Ingresos Unidades Precio_prom Pct:6")
 def _(t):
-    return p.agg_detalle(_panel(t))
+    return p.agg_detalle(t.ventas(), REGLAS)
 
 
 @consulta("agg_dia", """

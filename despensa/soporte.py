@@ -106,35 +106,50 @@ def acumular(df: DataFrame, metrica: str, nombre: str, acum: str = "acum", pos:
     )
 
 
-def percentil_exacto(df: DataFrame, col: str, p: float) -> float | None:
-    """Exact, linearly interpolated percentile of a whole column.
+def percentiles_exactos(df: DataFrame, cols: list[str], p: float, margen: float = 0.002
+                        ) -> list[float | None]:
+    """Exact, linearly interpolated percentile of whole columns.
 
     The built-in exact percentile keeps every distinct value in one task. Here an approximate pass
-    brackets the wanted rank; only the values inside the bracket are counted one by one. Reads the
-    column twice: pass a stored table.
+    brackets the wanted rank; only the values inside the bracket are counted one by one, and of
+    those outside the nearest on each side. Reads the columns twice: pass a stored table.
     """
-    x = df.select(F.col(col).cast("double").alias("x")).filter("x IS NOT NULL")
-    margen = 0.002
-    tramo = x.select(
-        F.percentile_approx("x", [max(0.0, p - margen), min(1.0, p + margen)], 10000)).first()[0]
-    if tramo is None:
-        return None
-    zona = F.when(F.col("x") < tramo[0], -1).when(F.col("x") > tramo[1], 1).otherwise(0)
-    w = Window.orderBy("zona", "v")
-    rango = (F.col("n_todos") - 1) * F.lit(p)
-    a, b, f = (
-        x.select(zona.alias("zona"), "x")
-        .groupBy("zona", F.when(F.col("zona") == 0, F.col("x")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    puntos = [max(0.0, p - margen), min(1.0, p + margen)]
+    tramos = df.agg(*[F.percentile_approx(F.col(c).cast("double"), puntos, 10000) for c in cols]) \
+        .first()
+    # (column, -1 below / 0 inside / 1 above its bracket, value)
+    filas = []
+    for k, (c, tramo) in enumerate(zip(cols, tramos)):
+        if tramo is not None:
+            x = F.col(c).cast("double")
+            zona = F.when(x < tramo[0], -1).when(x > tramo[1], 1).when(x.isNotNull(), 0)
+            filas.append(F.struct(F.lit(k).alias("k"), zona.alias("zona"), x.alias("x")))
+    if not filas:
+        return [None] * len(cols)
+    w = Window.partitionBy("k").orderBy("zona", "v")
+    rango = (F.col("todos") - 1) * F.lit(p)
+    zona = F.col("zona")
+    hallados = (
+        df.select(F.inline(F.array(*filas))).filter("zona IS NOT NULL")
+        .groupBy("k", "zona", F.when(zona == 0, F.col("x")).alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
         .withColumn("hasta", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n_todos", F.sum("n").over(Window.partitionBy(F.lit(1))))
-        .agg(
-            F.min(F.when(F.col("hasta") > F.floor(rango), F.col("v"))),
-            F.min(F.when(F.col("hasta") > F.ceil(rango), F.col("v"))),
-            F.first(rango - F.floor(rango)),
-        ).first()
+        .withColumn("todos", F.sum("n").over(Window.partitionBy("k")))
+        # Ranks whose value a row knows: all inside, the last one below, the first one above.
+        .withColumn("r0", F.when(zona == -1, F.col("hasta") - 1).otherwise(F.col("hasta") - F.col("n")))
+        .withColumn("r1", F.when(zona == 1, F.col("hasta") - F.col("n")).otherwise(F.col("hasta") - 1))
+        .withColumn("x", F.when(zona == -1, F.col("mx")).otherwise(F.col("mn")))
+        .groupBy("k").agg(
+            F.max(F.when(F.floor(rango).between(F.col("r0"), F.col("r1")), F.col("x"))).alias("a"),
+            F.max(F.when(F.ceil(rango).between(F.col("r0"), F.col("r1")), F.col("x"))).alias("b"),
+            F.first(rango - F.floor(rango)).alias("f"),
+        ).collect()  # one row per column
     )
-    return a + (b - a) * f
+    por = {r["k"]: r for r in hallados}
+    if any(r["a"] is None or r["b"] is None for r in hallados):
+        return percentiles_exactos(df, cols, p, margen * 8)
+    return [por[k]["a"] + (por[k]["b"] - por[k]["a"]) * por[k]["f"] if k in por else None
+            for k in range(len(cols))]
 
 
 def dimension(spark: SparkSession, **columnas: tuple[pa.DataType, list]) -> DataFrame:
