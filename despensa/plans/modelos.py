@@ -13,8 +13,8 @@ from despensa.operators import series as s
 from despensa.operators.calendar import calendario_semanal
 from despensa.operators.joins import set_union
 from despensa.plans import series as ps
-from despensa.plans.bindings import DESPLAZAMIENTO
-from despensa.plans.forecast import Opciones, marco, ts_orquestar
+from despensa.plans.bindings import DESPLAZAMIENTO, vista
+from despensa.plans.forecast import Opciones, marco, ts_orquestar, ts_resumen
 from despensa.plans.registro import consulta
 from despensa.soporte import cortar
 
@@ -131,6 +131,57 @@ def _(t):
     return ts_orquestar(t.ventas(), OPCIONES)["predicciones_4_semanas"]
 
 
-@consulta("ts_resumen")
+@consulta("ts_orquestar_resumen")
 def _(t):
     return ts_orquestar(t.ventas(), OPCIONES)["predicciones_top10"]
+
+
+# The same figures over the stand-in forecasts, where SQL can follow them.
+vista("v_medidas", """
+SELECT producto, COUNT(*) FILTER (WHERE "real" > 0) AS n_test,
+  AVG(ABS("real" - prediccion)) FILTER (WHERE "real" > 0) AS mae_hibrido,
+  AVG(2 * ABS("real" - prediccion) / (ABS("real") + ABS(prediccion) + 1e-8))
+    FILTER (WHERE "real" > 0) * 100 AS smape_hibrido,
+  AVG(ABS("real" - prophet)) AS mae_prophet,
+  AVG(ABS("real" - prophet)) FILTER (WHERE "real" > 0) AS mae_prophet_activas,
+  AVG(ABS("real" - prophet)) - AVG(ABS("real" - prediccion)) FILTER (WHERE "real" > 0)
+    AS mejora_mae,
+  AVG(ABS("real" - prophet)) FILTER (WHERE "real" > 0)
+    - AVG(ABS("real" - prediccion)) FILTER (WHERE "real" > 0) AS mejora_mismas_filas,
+  STDDEV_POP("real" - prediccion) FILTER (WHERE "real" > 0) AS std_residual
+FROM v_historial GROUP BY producto""", "v_historial")
+
+
+@consulta("met_holdout", "SELECT * FROM v_medidas",
+          dobles="mae_hibrido:6 smape_hibrido:6 mae_prophet:6 mae_prophet_activas:6 mejora_mae:6 "
+                 "mejora_mismas_filas:6 std_residual:6")
+def _(t):
+    return bo.met_holdout(t.historial())
+
+
+@consulta("ts_resumen", """
+SELECT producto, n_semanas, fecha AS fecha_proxima_semana, prediccion, prediccion * 0.5
+         AS prophet_solo, round_even(mae_hibrido, 2) AS mae_hibrido,
+       round_even(smape_hibrido, 3) AS smape_hibrido, round_even(mae_prophet, 2) AS mae_prophet,
+       round_even(mejora_mae, 2) AS mejora_mae, round_even(std_residual, 2) AS std_residual
+FROM v_medidas JOIN v_pronostico USING (producto)
+JOIN (SELECT producto, COUNT(*) AS n_semanas FROM v_serie GROUP BY 1) s USING (producto)
+WHERE semana_offset = 1""")
+def _(t):
+    cuatro = t.pronostico().withColumn("prophet_solo", F.col("prediccion") * 0.5)
+    return ts_resumen(ps.serie(t), cuatro, bo.met_holdout(t.historial()))
+
+
+# Percentile and count rules of the multi-step back-test, over two stand-in steps.
+@consulta("cuantiles_h", """
+SELECT producto, h AS semana_offset,
+       CASE WHEN COUNT(e) >= 3 THEN QUANTILE_CONT(e, 0.8) END AS p80
+FROM (SELECT producto, 1 AS h, CASE WHEN "real" > 0 THEN ABS("real" - prediccion) END AS e
+      FROM v_historial UNION ALL
+      SELECT producto, 2, CASE WHEN "real" > 0 THEN ABS("real" - prophet) END FROM v_historial) x
+GROUP BY producto, h""", dobles="p80:6")
+def _(t):
+    h = t.historial()
+    return bo.cuantiles_h(set_union(
+        h.select("producto", F.lit(1).alias("h"), "real", "prediccion"),
+        h.select("producto", F.lit(2).alias("h"), "real", F.col("prophet").alias("prediccion"))))

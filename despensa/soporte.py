@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Number of range buckets a global order is cut into. Only bucket totals, at most
-# CUBETAS * 257 rows, are ever gathered in one place.
-CUBETAS = 32
+# Bounds on the number of range buckets a global order is cut into. Only bucket totals, at most
+# 512 * 257 short rows, are ever gathered in one place.
+CUBETAS = (32, 512)
 
 
 def carpeta_compartida(spark: SparkSession) -> str:
@@ -54,7 +54,9 @@ def _orden(df: DataFrame, metrica: str, nombre: str) -> DataFrame:
     whole bucket on its own (many products with the same count) is cut further by the hash of the
     name, so no bucket can hold more than a few percent of the rows however the metric is spread.
     """
-    puntos = [i / CUBETAS for i in range(1, CUBETAS)]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(max(n, CUBETAS[0]), CUBETAS[1])
+    puntos = [i / n for i in range(1, n)]
     m = F.col(metrica).cast("double")
     cortes = df.select(F.percentile_approx(m, puntos, 10000)).first()[0] or []
     lista = F.array(*[F.lit(c) for c in cortes]).cast("array<double>")
@@ -106,7 +108,7 @@ def acumular(df: DataFrame, metrica: str, nombre: str, acum: str = "acum", pos:
     )
 
 
-def percentiles_exactos(df: DataFrame, cols: list[str], p: float, margen: float = 0.002
+def percentiles_exactos(df: DataFrame, cols: list[str], p: float, margen: float = 0.0002
                         ) -> list[float | None]:
     """Exact, linearly interpolated percentile of whole columns.
 
@@ -115,8 +117,8 @@ def percentiles_exactos(df: DataFrame, cols: list[str], p: float, margen: float
     those outside the nearest on each side. Reads the columns twice: pass a stored table.
     """
     puntos = [max(0.0, p - margen), min(1.0, p + margen)]
-    tramos = df.agg(*[F.percentile_approx(F.col(c).cast("double"), puntos, 10000) for c in cols]) \
-        .first()
+    tramos = df.agg(*[F.percentile_approx(F.col(c).cast("double"), puntos, 100_000)
+                      for c in cols]).first()
     # (column, -1 below / 0 inside / 1 above its bracket, value)
     filas = []
     for k, (c, tramo) in enumerate(zip(cols, tramos)):

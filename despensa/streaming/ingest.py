@@ -28,17 +28,24 @@ def guardado(spark: SparkSession, carpeta: str) -> DataFrame | None:
 def ingerir(paginas: DataFrame, carpeta: str, lote: str) -> int:
     """Adds the new invoices of a set of pages to the ledger; gives the number of rows added.
 
-    Rows of the same batch do not count as stored: a batch run again replaces its own rows.
+    Rows of the same batch do not count as stored: a batch run again replaces its own rows. The
+    batch is parsed once and stored; its lowest and highest invoice bound the part of the ledger
+    the duplicate check reads, so files and row groups of older invoices are skipped.
     """
-    lineas = normalizar(lineas_de_facturas(paginas))
-    antes = guardado(paginas.sparkSession, carpeta)
+    spark = paginas.sparkSession
+    lineas = cortar(normalizar(lineas_de_facturas(paginas)))
+    id = F.col("Consecutivo")
+    lo, hi = lineas.agg(F.min(id), F.max(id)).first()
+    if lo is None:
+        return 0
+    nuevas = lineas
+    antes = guardado(spark, carpeta)
     if antes is not None:
-        lineas = jn_dedup(lineas, antes.filter(F.col("lote") != f"l-{lote}"))
-    # Counted and written from one stored result, so the pages are parsed once.
-    lineas = cortar(lineas)
-    n = lineas.count()
+        antes = antes.filter(id.between(lo, hi) & (F.col("lote") != f"l-{lote}"))
+        nuevas = cortar(jn_dedup(lineas, antes))
+    n = nuevas.count()
     if n:
-        snk_append(lineas, carpeta, lote=lote)
+        snk_append(nuevas, carpeta, lote=lote)
     return n
 
 
