@@ -127,9 +127,10 @@ def mejor_prueba(ajuste: DataFrame, pruebas: Sequence[dict]) -> dict:
     return next(p for p in pruebas if p["prueba"] == fila[0])
 
 
-def ts_holdout(filas: DataFrame, prueba: dict) -> DataFrame:
+def ts_holdout(filas: DataFrame, prueba: dict, modelo: GBTRegressionModel | None = None
+               ) -> DataFrame:
     """Single fit on the first 80 %, predictions of every test row."""
-    modelo = ts_boost(filas.filter(F.col("i") <= F.col("corte")), prueba)
+    modelo = modelo or ts_boost(filas.filter(F.col("i") <= F.col("corte")), prueba)
     return predecir(filas.filter(F.col("i") > F.col("corte")), modelo).select(
         "producto", "ds", F.col("y").alias("real"), "prediccion", F.col("yhat").alias("prophet"))
 
@@ -162,6 +163,17 @@ def _antes(d: DataFrame, tramo: int, reajuste: int) -> DataFrame:
     return d.filter(F.col("i") <= F.col("corte") + F.lit(tramo * reajuste))
 
 
+def modelos_wf(filas: DataFrame, prueba: dict, reajuste: int) -> list[GBTRegressionModel]:
+    """All fits of a back-test side by side, and last the one over all rows.
+
+    The first is fitted on the training part alone, so it is the hold-out model too.
+    """
+    d, n = _tramos(filas, reajuste)
+    return ajustes(filas.sparkSession, [
+        *[lambda t=t: ts_boost(_antes(d, t, reajuste), prueba) for t in range(n)],
+        lambda: ts_boost(filas, prueba)])
+
+
 def ts_wf_paso1(filas: DataFrame, prueba: dict, reajuste: int = 1) -> DataFrame:
     """Walk-forward: each test week is predicted by a model fitted on weeks before it.
 
@@ -206,7 +218,8 @@ def _paso(df: DataFrame, modelo: GBTRegressionModel, h: int) -> DataFrame:
     return d.drop(*FEATURES)
 
 
-def ts_wf_multi(filas: DataFrame, prueba: dict, horizonte: int = 4, reajuste: int = 1) -> DataFrame:
+def ts_wf_multi(filas: DataFrame, prueba: dict, horizonte: int = 4, reajuste: int = 1,
+                modelos: Sequence[GBTRegressionModel] | None = None) -> DataFrame:
     """Multi-step back-test: from every origin in the test part predict h = 1..H, feeding
     predictions back as lags; one row per product, origin and step.
 
@@ -224,10 +237,11 @@ def ts_wf_multi(filas: DataFrame, prueba: dict, horizonte: int = 4, reajuste: in
     origenes = cortar(d.filter((F.col("i") > F.col("corte"))
                                & (F.col("i") <= F.col("n") - horizonte + 1)))
     origenes, n = _tramos(origenes, reajuste)
-    modelos = ajustes(base.sparkSession, [
-        lambda t=t: ts_boost(_antes(base, t, reajuste), prueba) for t in range(n)])
+    if modelos is None:
+        modelos = ajustes(base.sparkSession, [
+            lambda t=t: ts_boost(_antes(base, t, reajuste), prueba) for t in range(n)])
     partes = []
-    for t, modelo in enumerate(modelos):
+    for t, modelo in enumerate(modelos[:n]):
         x = origenes.filter(F.col("tramo") == t)
         for h in range(1, horizonte + 1):
             x = _paso(x, modelo, h)

@@ -81,11 +81,11 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
 
     ajuste = bo.ts_ajuste_boost(filas, o.pruebas_boost)
     prueba = bo.mejor_prueba(ajuste, o.pruebas_boost)
-    test = cortar(bo.ts_holdout(filas, prueba))
+    *pasos, final = bo.modelos_wf(filas, prueba, o.reajuste)
+    test = cortar(bo.ts_holdout(filas, prueba, pasos[0]))
     medidas = bo.met_holdout(test).filter(F.col("n_test") > 0)
-    anchos = bo.cuantiles_h(bo.ts_wf_multi(filas, prueba, o.horizonte, o.reajuste))
+    anchos = bo.cuantiles_h(bo.ts_wf_multi(filas, prueba, o.horizonte, o.reajuste, pasos))
 
-    final = bo.ts_boost(filas, prueba)
     escala = filas.groupBy("producto").agg(F.first("escala").alias("escala"))
     historia = cuadro.filter("y IS NOT NULL").select("producto", "ds", "y").join(escala, "producto")
     futuras = cuadro.filter("y IS NULL")
