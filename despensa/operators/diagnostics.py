@@ -29,7 +29,8 @@ def _autocorrelaciones(df: DataFrame, y: str, rezagos: int) -> DataFrame:
 def st_acf(df: DataFrame, y: str = "y", rezagos: int = 20) -> DataFrame:
     """Autocorrelation of lags 0..K with its 95 % band (variance grows with earlier lags)."""
     a = _autocorrelaciones(df, y, rezagos).select(
-        "producto", "n", F.posexplode(F.concat(F.array(F.lit(1.0)), "r")).alias("lag", "acf"))
+        "producto", "n", F.posexplode(F.concat(F.array(F.lit(1.0)), "r")).alias("lag", "acf")
+    ).filter(F.col("lag") < F.col("n"))  # a series of n weeks has lags up to n - 1
     previas = (Window.partitionBy("producto").orderBy("lag")
                .rowsBetween(Window.unboundedPreceding, -1))
     suma = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(previas),
@@ -62,8 +63,8 @@ def st_pacf(df: DataFrame, y: str = "y", rezagos: int = 20) -> DataFrame:
     return _autocorrelaciones(df, y, rezagos).select(
         "producto", "n", F.aggregate(ks, inicio, paso, lambda a: a["p"]).alias("p")
     ).select(
-        "producto", F.posexplode(F.concat(F.array(F.lit(1.0)), "p")).alias("lag", "pacf"),
-        (F.lit(Z95) / F.sqrt("n")).alias("banda"))
+        "producto", "n", F.posexplode(F.concat(F.array(F.lit(1.0)), "p")).alias("lag", "pacf"),
+        (F.lit(Z95) / F.sqrt("n")).alias("banda")).filter(F.col("lag") < F.col("n")).drop("n")
 
 
 def cola_chi2(x: float, gl: int) -> float:

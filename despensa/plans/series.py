@@ -345,7 +345,7 @@ pasos AS (
          list_append(list_transform(range(1, k + 1), lambda i: phi[i] - g * phi[k + 1 - i]), g),
          v * (1 - g * g), g
   FROM (SELECT *, (r[k + 1] - list_dot_product(phi, list_reverse(r[1:k]))) / v AS g FROM pasos
-        WHERE k < 20) s)
+        WHERE k < LEAST(20, n - 1)) s)
 SELECT producto, k AS lag, f AS pacf, 1.959963984540054 / SQRT(n) AS banda FROM pasos
 UNION ALL SELECT producto, 0, 1, 1.959963984540054 / SQRT(n) FROM lista""",
           dobles="pacf:6 banda:6")
