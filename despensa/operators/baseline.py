@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from despensa.functions.numbers import num_recorte
+from despensa.soporte import enviar_por_valor
+
+enviar_por_valor(__name__)
 
 # ---- fixed values: search ranges (name, low, high, log scale) and settings ----
 RANGOS = [("changepoint_prior_scale", 0.001, 0.5, True),

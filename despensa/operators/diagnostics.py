@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from despensa.soporte import enviar_por_valor
+
+enviar_por_valor(__name__)
+
 Z95 = 1.959963984540054
 
 

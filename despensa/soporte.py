@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ from pyspark.sql import functions as F
 CUBETAS = (32, 512)
 
 
+def enviar_por_valor(modulo: str) -> None:
+    """Ships the functions of a module with the job, so that executors need no copy of the package."""
+    cloudpickle.register_pickle_by_value(sys.modules[modulo])
+
+
 def carpeta_compartida(spark: SparkSession) -> str:
     """Folder for checkpoints and written tables, as the cluster names it.
 
