@@ -159,3 +159,18 @@ def test_chi2():
     for x, gl, p in ((3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05),
                      (11.070497693516351, 5, 0.05), (23.209251158954356, 10, 0.01)):
         assert math.isclose(dg.cola_chi2(x, gl), p, rel_tol=1e-9)
+
+
+def test_funciones_viajan_solas(tmp_path):
+    """Executors do not have the package: group functions must load without it."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    ruta = tmp_path / "f.pkl"
+    ruta.write_bytes(cloudpickle.dumps((bl.ajustar_serie, bl.efectos, dg.cola_chi2)))
+    codigo = ("import pickle, sys; fs = pickle.load(open(sys.argv[1], 'rb')); "
+              "assert 'despensa' not in sys.modules; print(fs[2](0.0, 3))")
+    r = subprocess.run([sys.executable, "-c", codigo, str(ruta)], cwd=tmp_path, text=True,
+                       capture_output=True, env={"PATH": "/usr/bin:/bin"})
+    assert r.returncode == 0 and r.stdout.strip() == "1.0", r.stderr
