@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import packing
+from despensa.llm import langid, linededup, packing
+from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,8 +28,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+LINES = """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents),
+told AS (
+  SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS t FROM l),
+numbered AS (
+  SELECT doc_id, place, t, row_number() OVER w AS nr,
+    lead(t, 1) OVER w AS t2, lead(t, 2) OVER w AS t3, lead(place, 2) OVER w AS until
+  FROM told WHERE t <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+seen AS (
+  SELECT *, row_number() OVER (PARTITION BY t, t2, t3 ORDER BY doc_id, nr) AS n
+  FROM numbered WHERE until IS NOT NULL),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(place, until + 1)) AS place FROM seen WHERE n > 1),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY place) FILTER (g.place IS NULL) AS text,
+    count(g.place) AS removed
+  FROM l LEFT JOIN gone g USING (doc_id, place) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  CAST(coalesce(k.removed, 0) AS INTEGER) AS lines_removed
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op2_line_windows", LINES)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return linededup.dedup_lines(table(spark, folder, "documents")).select(
+        "doc_id", "text", "lines_removed")
+
+
 @query("op5_harmonic_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
         "offset")
+
+
+@query("op7_centroid_langid")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
+    model = langid.fit(docs.filter(~F.col("held_out")))
+    return langid.predict(docs, model, keep=["doc_id", "held_out"])
