@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import langid, linededup, packing
+from despensa.llm import decontaminate, langid, linededup, packing, simhash, topk
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "text", "lines_removed")
 
 
+@query("op3_covering_simhash")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
+
+
 @query("op5_harmonic_packing")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).select(
@@ -71,3 +76,61 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
     model = langid.fit(docs.filter(~F.col("held_out")))
     return langid.predict(docs, model, keep=["doc_id", "held_out"])
+
+
+HITS = """
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(ws[p:p + n - 1], ' ') AS w FROM (
+    SELECT item_id, ws, least(len(ws), 10) AS n,
+      unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM items WHERE len(ws) > 0)),
+places AS (
+  SELECT doc_id, n, p, array_to_string(ws[p:p + n - 1], ' ') AS w FROM (
+    SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS p
+    FROM low, (SELECT DISTINCT n FROM windows) WHERE len(ws) >= n)),
+hits AS (SELECT doc_id, item_id, p, n FROM places JOIN windows USING (n, w)),
+words AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits)
+  GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items,
+    string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(ws), 0) AS BIGINT) AS n_words,
+  CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+@query("op8_positional_index", HITS)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+TOP = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+
+@query("op9_columnar_topk", TOP)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
