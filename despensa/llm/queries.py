@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import decontaminate, langid, linededup, packing, simhash, topk
+from despensa.llm import decontaminate, langid, linededup, packing, simhash, tokenfiles, topk
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,10 @@ WHERE rank <= 5
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op6_ranked_id_files")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    written = tokenfiles.write_ids(table(spark, folder, "documents"))
+    return tokenfiles.read_ids(spark, written).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
