@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import decontaminate, langid, linededup, packing, simhash, tokenfiles, topk
+from despensa.llm import decontaminate, langid, linededup, packing, simhash, tokenfiles, topk, toxicity
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     written = tokenfiles.write_ids(table(spark, folder, "documents"))
     return tokenfiles.read_ids(spark, written).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op1_convolutional_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 3, 1))
+    model = toxicity.fit(docs.filter(~F.col("held_out")), table(spark, folder, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id", "held_out"])
