@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import decontaminate, langid, linededup, packing, simhash, tokenfiles, topk, toxicity
+from despensa.llm import decontaminate, langid, linededup, packing, pii, simhash, tokenfiles, topk, toxicity
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,15 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 3, 1))
     model = toxicity.fit(docs.filter(~F.col("held_out")), table(spark, folder, "labels"))
     return toxicity.score(docs, model, keep=["doc_id", "held_out"])
+
+
+@query("op4_bootstrapped_pii")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    kinds = F.transform("base", lambda s: s.kind)
+    # The kinds' places: what is left of an array without a value is shorter by its count.
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, i))).cast("long").alias(f"n_{k}")
+              for i, k in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(F.array_sort(F.concat("base", "learned"))).alias("spans"))
