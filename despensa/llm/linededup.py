@@ -49,14 +49,14 @@ def without(text: str, first: list[int], size: int) -> tuple[str, int]:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                size: int = WINDOW) -> DataFrame:
+                size: int = WINDOW, counted: str = "lines_removed") -> DataFrame:
     """``docs`` with the later occurrences of repeated windows of ``size`` lines removed.
 
     A window is ``size`` consecutive lines that are not blank, compared without the blanks at
     their ends. Occurrences are ordered by id (null first), hash of the text, then place; the first
     one stays, the lines covered by any later one go, so the first occurrence of every line stays.
     Texts with fewer lines than a window never change. All columns come back, ``text_col`` cleaned
-    and ``lines_removed`` added (replacing a column of that name). Null texts stay null, a text all
+    and the number of lines taken added as ``counted`` (replacing a column of that name). Null texts stay null, a text all
     of whose lines are repeats becomes empty, and no row is dropped. Rows with the same id and the
     same text are one document and all get its result. The table may be empty.
 
@@ -64,7 +64,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined back as plain tables, so that the adaptive skew join splits a passage which a third of
     all rows share.
     """
-    cols = [c for c in docs.columns if c != "lines_removed"]
+    cols = [c for c in docs.columns if c != counted]
     plain = [f"c{i}" for i in range(len(cols))]
     text, doc = plain[cols.index(text_col)], plain[cols.index(id_col)]
     rows = docs.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(cols, plain)])
@@ -86,7 +86,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = rows.join(later.withColumnRenamed("th", "th2"),
                        (F.col(doc).eqNullSafe(F.col("d"))) & (F.col("th") == F.col("th2")), "left")
     schema = T.StructType([*rows.select(*plain).schema.fields,
-                           T.StructField("lines_removed", T.IntegerType())])
+                           T.StructField("removed", T.IntegerType())])
     where = plain.index(text)
 
     def clean(batches):
@@ -104,4 +104,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [*arrays, pa.array(removed, pa.int32())], names=schema.names)
 
     out = joined.select(*plain, "later").mapInArrow(clean, schema)
-    return out.toDF(*cols, "lines_removed")
+    return out.toDF(*cols, counted)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import decontaminate, langid, linededup, packing, pii, simhash, tokenfiles, topk, toxicity
+from despensa.llm import decontaminate, langid, linededup, packing, pii, simhash, tokenfiles, topk, toxicity, wrappers
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
         pii.spans_text(F.array_sort(F.concat("base", "learned"))).alias("spans"))
+
+
+@query("op10_page_wrappers")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, folder, "pages"))

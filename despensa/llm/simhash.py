@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from despensa.llm.base import staged, text_map
+from despensa.llm.base import staged, text_map, unused
 
 BITS = 64
 SEED = 42
@@ -272,6 +272,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     id stay, for nothing tells them from others.
     """
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
+    name = unused(docs.columns, "#gone")
     gone = found.filter(F.col(f"`{id_col}`") != F.col("component_id")).select(
-        F.col(f"`{id_col}`").alias("#gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("#gone"), "left_anti")
+        F.col(f"`{id_col}`").alias(name)).distinct()
+    return docs.join(staged(gone, "gone"), F.col(f"`{id_col}`") == F.col(name), "left_anti")
