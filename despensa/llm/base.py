@@ -90,7 +90,7 @@ def text_map(df: DataFrame, text: str, added: str, make: Callable, keep: list[st
     """
     new = T._parse_datatype_string(added)
     keep = [c for c in (df.columns if keep is None else keep) if c not in new.names]
-    rest = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("#text"))
+    rest = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias(unused(keep, "#text")))
     schema = T.StructType([*rest.schema.fields[:-1], *new.fields])
     target = arrow_schema(new)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from despensa.llm.base import WordIds, arrow_schema, slices, tokenizer_path
+from despensa.llm.base import WordIds, arrow_schema, slices, tokenizer_path, unused
 
 # Sequences of one worker are numbered below this; the worker's number stands above it.
 SEQUENCES = 1 << 40
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
     path = path or tokenizer_path()
-    rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias("#text"))
+    rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string").alias(unused([id_col], "#text")))
     schema = T.StructType([rows.schema[0], *T._parse_datatype_string(
         "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")])
     rest = arrow_schema(T.StructType(schema.fields[1:]))
@@ -116,10 +116,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*w.out)) or [[] for _ in schema.fields]
-            order = [0, 1, 2, 3, 4, 5, 6]
             w.out = []
             return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], kind), *[pa.array(cols[i], t) for i, t in zip(order[1:], rest.types)]],
+                [pa.array(cols[0], kind), *[pa.array(c, t) for c, t in zip(cols[1:], rest.types)]],
                 names=schema.names)
 
         for batch in batches:
