@@ -46,11 +46,6 @@ def unused(names: list[str], wanted: str) -> str:
     return wanted
 
 
-def replace_columns(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without columns of these names: a result takes the place of an input it clashes with."""
-    return df.select([F.col(f"`{c}`") for c in df.columns if c not in names])
-
-
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string(),
              T.DoubleType(): pa.float64(), T.BooleanType(): pa.bool_(), T.BinaryType(): pa.binary(),
