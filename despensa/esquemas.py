@@ -23,15 +23,16 @@ def texto(nombres: list[str]) -> T.StructType:
 
 
 # One landed page of the invoice service. Given in full: inference would turn a null
-# cost_center into a string.
+# cost_center into a string. Numbers are read as text, since some come quoted. A page that does
+# not parse keeps its text in _malo.
 FACTURAS_JSON = """
     results array<struct<
-      date: string, number: string, seller: string, total: double,
+      date: string, number: string, seller: string, total: string,
       payments: array<struct<payment_method_id: string>>,
       cost_center: struct<name: string>,
-      items: array<struct<code: string, description: string, quantity: double, price: double,
-                          taxes: array<struct<value: double>>>>>>,
-    pagination struct<total_results: bigint>
+      items: array<struct<code: string, description: string, quantity: string, price: string,
+                          taxes: array<struct<value: string>>>>>>,
+    pagination struct<total_results: bigint>, _malo string
 """
 
 MARTS = {

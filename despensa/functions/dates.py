@@ -12,12 +12,24 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cln_fecha(c: Column | str, formatos: tuple[str, ...] = ("yyyy-MM-dd", "dd/MM/yyyy")) -> Column:
-    """Text to date by the first format that fits, else null."""
+# ---- fixed values: formats of the sources, and the days nanosecond timestamps can hold ----
+ISO = ("yyyy-M-d",)
+DIA_PRIMERO = ("d/M/yyyy", "yyyy-M-d")
+PRIMER_DIA, ULTIMO_DIA = "1677-09-22", "2262-04-11"
+# -------------------------------------------------------------------------------------------
+
+
+def cln_fecha(c: Column | str, formatos: tuple[str, ...] = ISO) -> Column:
+    """Text to date by the first format that fits, else null.
+
+    Days and months may lack their leading zero. A day outside the range above is null: one mistyped
+    year would stretch every calendar taken from the first and last date.
+    """
     # A date may carry a time of day after it; only the day counts.
     dia = F.regexp_extract(_c(c), r"^\s*(\S+)", 1)
     dia = F.regexp_replace(dia, r"T.*$", "")
-    return F.coalesce(*[F.try_to_timestamp(dia, F.lit(f)).cast("date") for f in formatos])
+    fecha = F.coalesce(*[F.try_to_timestamp(dia, F.lit(f)).cast("date") for f in formatos])
+    return F.when(fecha.between(F.lit(PRIMER_DIA).cast("date"), F.lit(ULTIMO_DIA).cast("date")), fecha)
 
 
 def fec_lunes(c: Column | str) -> Column:

@@ -36,9 +36,31 @@ def num_recorte(c: Column | str) -> Column:
     return F.ceil(F.greatest(_c(c), F.lit(0.0)))
 
 
+def _mitades(x: float) -> tuple[float, float]:
+    """Upper and lower half of a number's digits, for exact products."""
+    a = 134217729.0 * x
+    alto = a - (a - x)
+    return alto, x - alto
+
+
 def num_redondeo(c: Column | str, n: int = 0) -> Column:
-    """Half-even rounding on the binary value."""
-    return F.bround(_c(c), n)
+    """Half-even rounding of the exact binary value: 0.15, a little below its text, gives 0.1.
+
+    The value is scaled with an exact product, number and error term, so only true halves are
+    ties. Values too large to have such places stay as they are.
+    """
+    x, s = _c(c).cast("double"), 10.0 ** n
+    a = x * F.lit(134217729.0)
+    xa = a - (a - x)
+    xb = x - xa
+    sa, sb = (F.lit(v) for v in _mitades(s))
+    p = x * F.lit(s)
+    error = ((xa * sa - p) + xa * sb + xb * sa) + xb * sb
+    k = F.floor(p).cast("double")
+    d = (p - k - F.lit(0.5)) + error
+    sube = (d > 0) | ((d == 0) & (F.pmod(k, F.lit(2.0)) == 1))
+    redondo = (k + F.when(sube, 1.0).otherwise(0.0)) / F.lit(s)
+    return F.when(F.abs(x) < F.lit(2.0 ** 52 / s), redondo).otherwise(x)
 
 
 def num_escala(c: Column | str, divisor: float) -> Column:

@@ -44,7 +44,7 @@ def _(t):
     })
     ruta = ruta_nueva(t.spark, "ventas")
     malo.write.options(**CSV).csv(ruta)
-    return src.src_ventas(t.spark, ruta, multilinea=False).select(
+    return src.src_ventas(t.spark, ruta).select(
         "Consecutivo", "Fecha", "Nombre", "Cantidad", "Precio", "Total")
 
 
@@ -353,10 +353,14 @@ def _(t):
     return j.jn_dedup(e.filter("Fecha >= DATE '2024-01-12'"), e.filter("Fecha < DATE '2024-01-16'"))
 
 
-def _paginas_eventos(e):
+def _paginas_eventos(e, ruta):
+    """Writes pages of events, their totals quoted, and one page that was cut off."""
     factura = F.struct(F.date_format("Fecha", "yyyy-MM-dd").alias("date"),
-                       F.col("Consecutivo").alias("number"), F.col("Total").alias("total"))
-    return e.select(F.array(factura).alias("results"))
+                       F.col("Consecutivo").alias("number"),
+                       F.col("Total").cast("string").alias("total"))
+    e.select(F.array(factura).alias("results")).write.json(ruta)
+    rota = e.limit(1).select(F.lit('{"results": [{"date": "2024-01-').alias("value"))
+    rota.write.mode("append").text(ruta)
 
 
 INGESTA = """
@@ -370,7 +374,7 @@ def _(t):
     e = _eventos(t)
     base = ruta_nueva(t.spark, "ingesta")
     for parte, filtro in (("a", "Fecha < DATE '2024-01-16'"), ("b", "Fecha >= DATE '2024-01-12'")):
-        _paginas_eventos(e.filter(filtro)).write.json(f"{base}/entrada/{parte}")
+        _paginas_eventos(e.filter(filtro), f"{base}/entrada/{parte}")
         # The same stream is started after each landing and takes what is new to it.
         ingest.stm_ingesta(t.spark, f"{base}/entrada/*", f"{base}/ledger",
                            f"{base}/control").awaitTermination()
@@ -381,8 +385,8 @@ def _(t):
 SELECT lote, mes, COUNT(*) AS filas, SUM(Total) AS Total FROM (
   SELECT 'l-1' AS lote, strftime(Fecha, '%Y-%m') AS mes, Total FROM v_evento
   WHERE Fecha < DATE '2024-01-16'
-  UNION ALL SELECT 'l-2', strftime(Fecha, '%Y-%m'), Total FROM v_nuevo) x GROUP BY 1, 2""",
-          dobles="Total")
+  UNION ALL SELECT 'l-2', strftime(Fecha, '%Y-%m'), Total FROM v_nuevo) x GROUP BY 1, 2
+UNION ALL SELECT unnest(['l-1', 'l-2', 'l-3']), 'rechazo', 1, 0""", dobles="Total")
 def _(t):
     # Batch form, the second landing handed in twice: the repeat adds nothing.
     e = _eventos(t)
@@ -391,10 +395,14 @@ def _(t):
     previas = e.filter("Fecha < DATE '2024-01-16'")
     for lote, parte in (("1", previas), ("2", nuevas), ("3", nuevas)):
         pagina = f"{ledger}-paginas-{lote}"
-        _paginas_eventos(parte).write.json(pagina)
+        _paginas_eventos(parte, pagina)
         ingest.ingerir(inv.src_facturas_json(t.spark, pagina), ledger, lote)
-    return t.spark.read.parquet(ledger).groupBy("lote", "mes").agg(
+    filas = t.spark.read.parquet(ledger).groupBy("lote", "mes").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("Total").alias("Total"))
+    malas = t.spark.read.parquet(ingest.rechazos(ledger)).groupBy("lote").agg(
+        F.count(F.lit(1)).alias("filas"))
+    return j.set_union(filas, malas.select("lote", F.lit("rechazo").alias("mes"), "filas",
+                                           F.lit(0.0).alias("Total")))
 
 
 # ---- marts, from the stand-in forecasts ----

@@ -33,26 +33,31 @@ def _(t):
                              ("o_orderstatus",))
 
 
-# Dates as text in the shapes the files use, and one that is no date.
+# Dates as text in the shapes the files use, one that is no date and one no calendar should reach.
 vista("v_fechas", """
 SELECT o_orderkey, CASE o_orderpriority
-  WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d')
+  WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%-m-%-d')
   WHEN '2-HIGH' THEN strftime(o_orderdate, '%d/%m/%Y')
   WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%Y-%m-%d 00:00:00')
+  WHEN '5-LOW' THEN '9999-12-31'
   ELSE strftime(o_orderdate, '31/02/%Y') END AS texto FROM orders""")
 
 
 @consulta("cln_fecha", """
 SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
-       THEN CAST(o_orderdate AS DATE) END AS Fecha FROM orders""")
+       THEN CAST(o_orderdate AS DATE) END AS Fecha,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM')
+       THEN CAST(o_orderdate AS DATE) END AS Iso FROM orders""")
 def _(t):
     o, d = t.t("orders"), F.col("o_orderdate")
     prioridad = F.col("o_orderpriority")
-    texto = (F.when(prioridad == "1-URGENT", F.date_format(d, "yyyy-MM-dd"))
+    texto = (F.when(prioridad == "1-URGENT", F.date_format(d, "yyyy-M-d"))
              .when(prioridad == "2-HIGH", F.date_format(d, "dd/MM/yyyy"))
              .when(prioridad == "3-MEDIUM", F.date_format(d, "yyyy-MM-dd HH:mm:ss"))
+             .when(prioridad == "5-LOW", "9999-12-31")
              .otherwise(F.concat(F.lit("31/02/"), F.date_format(d, "yyyy"))))
-    return o.select("o_orderkey", fd.cln_fecha(texto).alias("Fecha"))
+    return o.select("o_orderkey", fd.cln_fecha(texto, fd.DIA_PRIMERO).alias("Fecha"),
+                    fd.cln_fecha(texto).alias("Iso"))
 
 
 @consulta("cln_numero", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 0 "
@@ -214,12 +219,15 @@ def _(t):
 
 @consulta("num_redondeo", """
 SELECT producto, ds, round_even(y / 2, 0) AS r0, round_even(y / 4, 1) AS r1,
-       round_even(y / 8, 2) AS r2 FROM v_semanal""")
+       round_even(y / 8, 2) AS r2, CAST(format('{:.1f}', y / 20) AS DOUBLE) AS r3,
+       CAST(format('{:.2f}', (y + 335) / 200) AS DOUBLE) AS r4 FROM v_semanal""")
 def _(t):
     y = F.col("y")
     return t.semanal().select("producto", "ds", num.num_redondeo(y / 2, 0).alias("r0"),
                               num.num_redondeo(y / 4, 1).alias("r1"),
-                              num.num_redondeo(y / 8, 2).alias("r2"))
+                              num.num_redondeo(y / 8, 2).alias("r2"),
+                              num.num_redondeo(y / 20, 1).alias("r3"),
+                              num.num_redondeo((y + 335) / 200, 2).alias("r4"))
 
 
 # ---- filters ----
@@ -301,23 +309,26 @@ def _(t):
 
 
 @consulta("set_union", """
-SELECT Fecha, Total FROM v_ventas WHERE Establecimiento = 'CP'
+SELECT Fecha, Total FROM v_ventas
 UNION ALL SELECT Fecha, Valor FROM v_costos""", dobles="Total")
 def _(t):
     return j.set_union(
-        t.ventas().filter("Establecimiento = 'CP'").select("Fecha", "Total"),
+        t.ventas().select("Fecha", "Total"),
         t.costos().select("Fecha", F.col("Valor").alias("Total")))
 
 
 @consulta("set_union_tag", """
 SELECT Lugar, strftime(Fecha, '%Y-%m') AS Mes, SUM(Total) AS Total FROM (
   SELECT 'CP' AS Lugar, Fecha, Total FROM v_ventas WHERE Establecimiento = 'CP'
-  UNION ALL SELECT 'Principal', Fecha, Total FROM v_ventas WHERE Establecimiento = 'Principal') x
+  UNION ALL SELECT 'Principal', Fecha, Total FROM v_ventas WHERE Establecimiento = 'Principal'
+  UNION ALL SELECT 'otro', Fecha, Total FROM v_ventas
+  WHERE coalesce(Establecimiento, '') NOT IN ('CP', 'Principal')) x
 GROUP BY 1, 2""", dobles="Total")
 def _(t):
     v = t.ventas()
-    partes = {l: v.filter(F.col("Establecimiento") == l).select("Fecha", "Total")
-              for l in ("CP", "Principal")}
+    local = F.coalesce("Establecimiento", F.lit(""))
+    partes = {l: v.filter(local == l).select("Fecha", "Total") for l in ("CP", "Principal")}
+    partes["otro"] = v.filter(~local.isin("CP", "Principal")).select("Fecha", "Total")
     return j.set_union_tag(partes).groupBy("Lugar", p.periodo("Fecha", "Mes").alias("Mes")).agg(
         F.sum("Total").alias("Total"))
 

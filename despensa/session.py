@@ -16,6 +16,8 @@ AJUSTES = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # Files of a cut go when the frame that holds it goes.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture costs several milliseconds for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

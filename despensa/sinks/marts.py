@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +21,27 @@ def snk_marts(marts: dict[str, DataFrame], carpeta: str) -> None:
         df.write.mode("overwrite").parquet(f"{carpeta}/{nombre}")
 
 
-def snk_append(nuevo: DataFrame, carpeta: str, fecha: str = "Fecha", lote: str = "0") -> None:
-    """Adds rows to the ledger, laid out by month and batch.
+def snk_append(nuevo: DataFrame, carpeta: str, fecha: str = "Fecha", lote: str | None = None) -> str:
+    """Adds rows to the ledger, laid out by month and batch; gives the batch's name.
 
-    A batch writes only its own folders and replaces them when it is run again, so a retried batch
-    leaves no doubles. Rows are gathered by month with sizes evened out at run time: small months
+    Without a name the batch gets one of its own, so nothing stored is ever replaced. A named batch
+    owns its folders and replaces them when it is run again, so a retried batch leaves no doubles;
+    writers that name batches must not share names (see ``streaming.ingest``). Rows are gathered by month with sizes evened out at run time: small months
     share a task, a month that holds most of the rows is written by several.
     """
-    filas = nuevo.withColumns({"mes": F.date_format(fecha, "yyyy-MM"), "lote": F.lit(f"l-{lote}")})
+    lote = f"l-{lote or uuid.uuid4().hex}"
+    filas = nuevo.withColumns({"mes": F.date_format(fecha, "yyyy-MM"), "lote": F.lit(lote)})
     (filas.hint("rebalance", "mes")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("mes", "lote").parquet(carpeta))
+    return lote
+
+
+def compactar(spark: SparkSession, carpeta: str, destino: str) -> None:
+    """Copies the ledger to a new folder with one batch per month, so that folders and files do not
+    grow with the number of appends. The caller switches readers over; the old folder stays."""
+    todo = spark.read.parquet(carpeta).withColumn("lote", F.lit("l-compacto"))
+    todo.hint("rebalance", "mes").write.partitionBy("mes", "lote").parquet(destino)
 
 
 def snk_meta(spark: SparkSession, carpeta: str, n_productos: DataFrame, momento: str) -> None:

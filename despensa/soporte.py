@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -30,7 +31,7 @@ def carpeta_compartida(spark: SparkSession) -> str:
     if not ruta:
         ruta = spark.sparkContext.getCheckpointDir()
     if not ruta:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         ruta = tempfile.mkdtemp(prefix="despensa-")
     if not spark.sparkContext.getCheckpointDir():
@@ -43,6 +44,13 @@ def ruta_nueva(spark: SparkSession, nombre: str) -> str:
     return f"{carpeta_compartida(spark)}/{nombre}-{uuid.uuid4().hex}"
 
 
+def guardar(df: DataFrame, nombre: str) -> DataFrame:
+    """Like ``cortar``, as a Parquet table in the shared folder: later reads prune columns and rows."""
+    ruta = ruta_nueva(df.sparkSession, nombre)
+    df.write.parquet(ruta)
+    return df.sparkSession.read.schema(df.schema).parquet(ruta)
+
+
 def cortar(df: DataFrame) -> DataFrame:
     """Run the plan once and go on from the stored result.
 

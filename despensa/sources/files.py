@@ -11,15 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from despensa import esquemas
-from despensa.functions.dates import cln_fecha
+from despensa.functions.dates import DIA_PRIMERO, cln_fecha
 from despensa.functions.numbers import cln_moneda, cln_numero, cln_total
 from despensa.functions.text import cat_plato, cln_nombre
 
-DIA_PRIMERO = ("dd/MM/yyyy", "yyyy-MM-dd")
-
-
 def _csv(spark: SparkSession, ruta, nombres: list[str], cabecera: bool = True,
-         multilinea: bool = True) -> DataFrame:
+         multilinea: bool = False) -> DataFrame:
+    """Text under a fixed schema. Files are split among tasks; ``multilinea``, for quoted fields that
+    hold line breaks, reads each file in one."""
     return (spark.read.schema(esquemas.texto(nombres))
             .option("header", cabecera).option("enforceSchema", True)
             .option("multiLine", multilinea).option("quote", '"').option("escape", '"')
@@ -37,11 +36,8 @@ def prj_seleccion(df: DataFrame, mantener: list[str] | None = None,
 
 
 def src_ventas(spark: SparkSession, ruta, total: str = "producto", limpiar: bool = True,
-               multilinea: bool = True) -> DataFrame:
-    """Sales ledger. ``total`` says what a missing line total becomes (see ``cln_total``).
-
-    ``multilinea=False`` lets large files be split, for ledgers whose names hold no line breaks.
-    """
+               multilinea: bool = False) -> DataFrame:
+    """Sales ledger. ``total`` says what a missing line total becomes (see ``cln_total``)."""
     v = _csv(spark, ruta, esquemas.VENTAS, multilinea=multilinea)
     v = v.withColumn("Fecha", cln_fecha("Fecha")).filter(F.col("Fecha").isNotNull())
     v = v.withColumns({"Cantidad": cln_numero("Cantidad"), "Precio": cln_numero("Precio"),
@@ -50,31 +46,31 @@ def src_ventas(spark: SparkSession, ruta, total: str = "producto", limpiar: bool
     return v.withColumn("Nombre", cln_nombre("Nombre")) if limpiar else v
 
 
-def src_catalogo(spark: SparkSession, ruta) -> DataFrame:
+def src_catalogo(spark: SparkSession, ruta, multilinea: bool = True) -> DataFrame:
     """Product catalogue; names are quoted and may run over several lines."""
-    c = _csv(spark, ruta, esquemas.CATALOGO)
+    c = _csv(spark, ruta, esquemas.CATALOGO, multilinea=multilinea)
     return c.withColumns({n: F.col(n).try_cast("double")
                           for n in ("Trans", "Cant_total", "Precio_prom", "Ingresos_total")})
 
 
-def src_compras_csv(spark: SparkSession, ruta) -> DataFrame:
+def src_compras_csv(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
     """Purchase ledger: line records only, the tax totals between them left out."""
-    c = _csv(spark, ruta, esquemas.COMPRAS)
+    c = _csv(spark, ruta, esquemas.COMPRAS, multilinea=multilinea)
     return c.filter(F.col("Tipo_reg") == "Secuencia").select(
         cln_fecha("Fecha").alias("Fecha"), F.lit("Compra/Gasto").alias("Tipo"), "Proveedor",
         cln_numero("Total").alias("Valor")).filter(F.col("Fecha").isNotNull())
 
 
-def _posiciones(spark: SparkSession, ruta, n: int) -> DataFrame:
+def _posiciones(spark: SparkSession, ruta, n: int, multilinea: bool) -> DataFrame:
     """Report read by column position. The lines above the table stay in; callers drop them by
     their date, which does not parse."""
-    return _csv(spark, ruta, [f"c{i}" for i in range(n)], cabecera=False)
+    return _csv(spark, ruta, [f"c{i}" for i in range(n)], False, multilinea)
 
 
-def src_compras_rep(spark: SparkSession, ruta) -> DataFrame:
+def src_compras_rep(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
     """Purchase reports: type, date, supplier and amount at positions 0, 3, 6 and 8."""
     from despensa.operators.filters import flt_costos
-    r = _posiciones(spark, ruta, 9)
+    r = _posiciones(spark, ruta, 9, multilinea)
     r = r.select(cln_fecha("c3", DIA_PRIMERO).alias("Fecha"), F.col("c0").alias("Tipo"),
                  F.col("c6").alias("Proveedor"), cln_numero("c8").alias("Valor"))
     return flt_costos(r.filter(F.col("Fecha").isNotNull()))
@@ -85,14 +81,14 @@ def _de_ruta(clave: str, hasta_guion: bool) -> Column:
     ruta = F.url_decode("_metadata.file_path")
     # Folder names are escaped once more than the path is.
     carpeta = F.nullif(F.url_decode(F.regexp_extract(ruta, f"/{clave}=([^/]+)/", 1)), F.lit(""))
-    tallo = r"/([^/-]+)-[^/]*$" if hasta_guion else r"/([^/]+?)(?:\.[^./]*)?$"
-    return F.coalesce(carpeta, F.regexp_extract(ruta, tallo, 1))
+    tallo = F.regexp_extract(ruta, r"/([^/]+?)(?:\.[^./]*)?$", 1)
+    return F.coalesce(carpeta, F.substring_index(tallo, "-", 1) if hasta_guion else tallo)
 
 
-def src_facturas(spark: SparkSession, ruta) -> DataFrame:
+def src_facturas(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
     """Invoice reports by location: date and total at positions 1 and 13, location from the file
-    name up to the dash."""
-    r = _posiciones(spark, ruta, 14).withColumn("Local", _de_ruta("Local", True))
+    name up to the first dash, or the whole name without one."""
+    r = _posiciones(spark, ruta, 14, multilinea).withColumn("Local", _de_ruta("Local", True))
     r = r.select(cln_fecha("c1", DIA_PRIMERO).alias("Fecha"), cln_moneda("c13").alias("Total"),
                  "Local").filter(F.col("Fecha").isNotNull())
     return r.withColumn("Mes", F.date_format("Fecha", "yyyy-MM"))
@@ -102,13 +98,13 @@ REPORTE = ["Consecutivo", "Fecha", "Tipo_reg", "Tipo_clas", "Codigo", "Nombre",
            "Cantidad", "Precio", "Impuesto", "Total", "Forma_pago", "Num_comp", "Tipo_transaccion"]
 
 
-def src_reportes_mes(spark: SparkSession, ruta) -> DataFrame:
+def src_reportes_mes(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
     """Month reports: all files the path matches, absent months simply do not match.
 
     Rows keep their place (file, block, row), which the payment fill needs; it is the order of the
     file however the scan is split.
     """
-    r = _csv(spark, ruta, REPORTE, cabecera=False)
+    r = _csv(spark, ruta, REPORTE, False, multilinea)
     r = r.withColumns({
         "archivo": _de_ruta("archivo", False),
         "bloque": F.col("_metadata.file_path"),
@@ -119,12 +115,12 @@ def src_reportes_mes(spark: SparkSession, ruta) -> DataFrame:
         .filter(F.col("Fecha").isNotNull())
 
 
-def src_recetas(spark: SparkSession, ruta) -> DataFrame:
+def src_recetas(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
     """Recipe sheets as one long table. Position 0 holds the row number; the dish and its portion
     stand on the dish's first row only and are carried down."""
     from despensa.operators.recipes import recetas_de_hojas
     r = _csv(spark, ruta, ["fila", "porcion", "receta", "ingrediente", "cantidad", "unidad"],
-             cabecera=False)
+             False, multilinea)
     return recetas_de_hojas(r.withColumn("hoja", _de_ruta("hoja", False))
                             .withColumn("fila", F.col("fila").try_cast("bigint")))
 

@@ -15,7 +15,9 @@ def src_marts(spark: SparkSession, carpeta: str) -> dict[str, DataFrame]:
     for nombre, esquema in esquemas.MARTS.items():
         try:
             salida[nombre] = spark.read.schema(esquema).parquet(f"{carpeta}/{nombre}")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             salida[nombre] = spark.createDataFrame([], esquema)
     return salida
 

@@ -1,7 +1,8 @@
 """Incremental invoice ingest, in batch and as a stream, with one transform for both.
 
 An invoice is taken once: lines of an invoice already stored are dropped, lines of a new invoice
-are all kept. Dropping duplicate ids instead would lose lines.
+are all kept. Dropping duplicate ids instead would lose lines. Pages that cannot be read go to a
+table of rejects beside the ledger.
 """
 
 from __future__ import annotations
@@ -14,35 +15,49 @@ from pyspark.sql.streaming import StreamingQuery
 from despensa import esquemas
 from despensa.operators.joins import jn_dedup
 from despensa.sinks.marts import snk_append
-from despensa.soporte import cortar
-from despensa.sources.invoices import lineas_de_facturas, normalizar
+from despensa.soporte import guardar
+from despensa.sources.invoices import LECTURA, lineas_de_facturas, normalizar, paginas_malas
 
 
 def guardado(spark: SparkSession, carpeta: str) -> DataFrame | None:
+    """The stored ledger, None before the first append. A ledger that is there but cannot be read
+    is an error, for without it invoices would be taken twice."""
     try:
         return spark.read.parquet(carpeta)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
+def rechazos(carpeta: str) -> str:
+    """Where the rejects of a ledger are."""
+    return f"{carpeta.rstrip('/')}-rechazos"
+
+
 def ingerir(paginas: DataFrame, carpeta: str, lote: str) -> int:
     """Adds the new invoices of a set of pages to the ledger; gives the number of rows added.
 
     Rows of the same batch do not count as stored: a batch run again replaces its own rows. The
     batch is parsed once and stored; its lowest and highest invoice bound the part of the ledger
-    the duplicate check reads, so files and row groups of older invoices are skipped.
+    the duplicate check reads, so files and row groups of older invoices are skipped. Pages that
+    cannot be taken are kept, by batch, in the rejects.
     """
     spark = paginas.sparkSession
-    lineas = cortar(normalizar(lineas_de_facturas(paginas)))
+    malas = paginas_malas(paginas).withColumn("lote", F.lit(f"l-{lote}"))
+    (malas.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("lote").parquet(rechazos(carpeta)))
+    lineas = guardar(normalizar(lineas_de_facturas(paginas)), "lineas")
     id = F.col("Consecutivo")
-    lo, hi = lineas.agg(F.min(id), F.max(id)).first()
+    lo, hi, n = lineas.agg(F.min(id), F.max(id), F.count(F.lit(1))).first()
     if lo is None:
         return 0
-    nuevas = lineas
     antes = guardado(spark, carpeta)
-    if antes is not None:
-        antes = antes.filter(id.between(lo, hi) & (F.col("lote") != f"l-{lote}"))
-        nuevas = cortar(jn_dedup(lineas, antes))
+    if antes is None:
+        snk_append(lineas, carpeta, lote=lote)
+        return n
+    antes = antes.filter(id.between(lo, hi) & (F.col("lote") != f"l-{lote}"))
+    nuevas = guardar(jn_dedup(lineas, antes), "nuevas")
     n = nuevas.count()
     if n:
         snk_append(nuevas, carpeta, lote=lote)
@@ -50,17 +65,21 @@ def ingerir(paginas: DataFrame, carpeta: str, lote: str) -> int:
 
 
 def stm_ingesta(spark: SparkSession, entrada: str, carpeta: str, control: str,
-                archivos: int | None = None) -> StreamingQuery:
+                archivos: int | None = None, paginas: bool = False) -> StreamingQuery:
     """Stream form: every landed page file is handed to ``ingerir`` once, in micro-batches.
 
-    The batch number names the rows it writes, so a batch replayed after a failure is idempotent.
+    The stream's own id, kept in its control folder, and the batch number name the rows a batch
+    writes: a batch replayed after a failure is idempotent, and another stream, or one whose
+    control folder was reset, never writes over them. ``paginas`` as in the batch form.
     """
-    lector = spark.readStream.schema(esquemas.FACTURAS_JSON)
+    lector = spark.readStream.schema(esquemas.FACTURAS_JSON).options(**LECTURA).option(
+        "multiLine", paginas)
     if archivos:
         lector = lector.option("maxFilesPerTrigger", archivos)
 
     def lote(df: DataFrame, epoca: int) -> None:
-        ingerir(df, carpeta, f"s{epoca}")
+        flujo = spark.read.json(f"{control}/metadata").first()["id"]
+        ingerir(df, carpeta, f"{flujo}-{epoca}")
 
     return (lector.json(entrada).writeStream.foreachBatch(lote)
             .option("checkpointLocation", control).trigger(availableNow=True).start())

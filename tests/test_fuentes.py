@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from despensa.operators import recipes as r
 from despensa.operators.ordered import win_bfill
 from despensa.sinks import marts as snk
@@ -20,10 +21,10 @@ def test_ventas(spark, tmp_path):
         CAB + '1,2024-01-02,S,,c,"Bowl ""rico""\nGrande",v,2,5,0,,e,FV-1,Principal\n'
         "2,31/02/2024,S,,c,Jugo,v,1,5,0,5,e,FV-1,Principal\n"
         "3,2024-01-03,S,,c,Jugo,v,x,5,0,9,e,FV-1,\n", encoding="utf-8")
-    v = src.src_ventas(spark, str(tmp_path / "v.csv")).orderBy("Consecutivo").collect()
+    v = src.src_ventas(spark, str(tmp_path / "v.csv"), multilinea=True).orderBy("Consecutivo").collect()
     assert [(x["Consecutivo"], x["Nombre"], x["Cantidad"], x["Total"], x["Establecimiento"])
             for x in v] == [("1", 'Bowl "rico"', 2.0, 10.0, "Principal"), ("3", "Jugo", 0.0, 9.0, None)]
-    p = src.src_ventas(spark, str(tmp_path / "v.csv"), total="cero")
+    p = src.src_ventas(spark, str(tmp_path / "v.csv"), total="cero", multilinea=True)
     assert p.filter("Consecutivo = '1'").first()["Total"] == 0.0
 
 
@@ -142,6 +143,79 @@ def test_ingesta(spark, tmp_path):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_dos_flujos(spark, tmp_path):
+    """A second stream, or one whose control folder is new, adds to the ledger."""
+    libro = str(tmp_path / "libro")
+    for k, numero in enumerate((1, 2, 1)):
+        entrada = tmp_path / f"in{k}"
+        entrada.mkdir()
+        doc = {"results": [{"date": "2024-02-01", "number": numero, "total": "1.5", "items": []}]}
+        (entrada / "p.json").write_text(json.dumps(doc))
+        ingest.stm_ingesta(spark, str(entrada), libro, str(tmp_path / f"control{k}")).awaitTermination()
+    d = spark.read.parquet(libro).orderBy("Consecutivo").collect()
+    assert [(x["Consecutivo"], x["Total"]) for x in d] == [("1", 1.5), ("2", 1.5)]
+
+
+def test_dos_anexos(spark, tmp_path):
+    d = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 2, 5))], "k int, Fecha date")
+    libro = str(tmp_path / "libro")
+    assert snk.snk_append(d, libro) != snk.snk_append(d, libro)
+    assert snk.snk_append(d, libro, lote="a") == snk.snk_append(d, libro, lote="a") == "l-a"
+    assert spark.read.parquet(libro).count() == 6
+    snk.compactar(spark, libro, str(tmp_path / "nuevo"))
+    n = spark.read.parquet(str(tmp_path / "nuevo"))
+    assert n.count() == 6 and n.select("lote").distinct().count() == 1
+
+
+def test_paginas_malas(spark, tmp_path):
+    entrada = tmp_path / "in"
+    entrada.mkdir()
+    buena = {"results": [{"date": "2024-01-02", "number": "5", "items": [
+        {"code": "a", "quantity": "3", "price": "2.5", "taxes": [{"value": "1"}]}]}]}
+    (entrada / "a.json").write_text(json.dumps(buena))
+    (entrada / "b.json").write_text(json.dumps(buena)[:40])
+    (entrada / "c.json").write_text('{"error": "limit"}')
+    libro = str(tmp_path / "libro")
+    assert ingest.ingerir(inv.src_facturas_json(spark, str(entrada)), libro, "1") == 1
+    x = spark.read.parquet(libro).first()
+    assert (x["Cantidad"], x["Precio"], x["Impuesto"], x["Total"]) == (3.0, 2.5, 1.0, 8.5)
+    assert spark.read.parquet(ingest.rechazos(libro)).count() == 2
+    (entrada / "d.json").write_text(json.dumps(buena, indent=1))
+    flujo = str(tmp_path / "flujo")
+    ingest.stm_ingesta(spark, str(entrada), flujo, str(tmp_path / "ctl"), paginas=True).awaitTermination()
+    assert spark.read.parquet(flujo).count() == 2 and spark.read.parquet(ingest.rechazos(flujo)).count() == 2
+
+
+def test_libro_ilegible(spark, tmp_path):
+    (tmp_path / "libro").mkdir()
+    (tmp_path / "libro" / "x.parquet").write_text("no parquet")
+    assert ingest.guardado(spark, str(tmp_path / "nada")) is None
+    with pytest.raises(Exception):
+        ingest.guardado(spark, str(tmp_path / "libro")).count()
+
+
+def test_local_sin_guion(spark, tmp_path):
+    fila = ["x"] * 14
+    fila[1], fila[13] = "3/2/2025", "5"
+    for n in ("Principal.csv", "CP-2025-01.csv"):
+        (tmp_path / n).write_text(",".join(fila))
+    d = src.src_facturas(spark, str(tmp_path / "*.csv")).orderBy("Local").collect()
+    assert [(x["Local"], x["Fecha"]) for x in d] == [
+        ("CP", dt.date(2025, 2, 3)), ("Principal", dt.date(2025, 2, 3))]
+
+
+def test_un_archivo_en_varias_tareas(spark, tmp_path):
+    (tmp_path / "v.csv").write_text(CAB + "1,2024-01-02,S,,c,Jugo,v,1,5,0,5,e,FV-1,CP\n" * 60_000)
+    antes = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        v = src.src_ventas(spark, str(tmp_path / "v.csv"))
+        assert v.rdd.getNumPartitions() > 2 and v.count() == 60_000
+        assert src.src_ventas(spark, str(tmp_path / "v.csv"), multilinea=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", antes)
+
+
 def test_marts_ausentes(spark, tmp_path):
     m = sm.src_marts(spark, str(tmp_path / "nada"))
     assert set(m) == {"predicciones_top10", "predicciones_4_semanas", "historial_walkforward",

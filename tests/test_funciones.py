@@ -63,8 +63,23 @@ def test_fechas(spark):
     entra = ["2024-02-29", "29/02/2024", "31/02/2024", "2024-01-05 10:20:00", "2024-01-05T10:20:00",
              "x", None]
     d = dt.date
-    assert una(spark, entra, fd.cln_fecha("x")) == [
+    assert una(spark, entra, fd.cln_fecha("x", fd.DIA_PRIMERO)) == [
         d(2024, 2, 29), d(2024, 2, 29), None, d(2024, 1, 5), d(2024, 1, 5), None, None]
+    entra = ["2024-1-5", "29/02/2024", "9999-12-31", "1677-09-21", "2262-04-11", "2024-02-30"]
+    assert una(spark, entra, fd.cln_fecha("x")) == [d(2024, 1, 5), None, None, None, d(2262, 4, 11), None]
+
+
+def test_redondeo_como_el_valor_binario(spark):
+    import random
+    g = random.Random(1)
+    xs = [0.15, 0.25, 0.35, 0.45, 2.675, 1.005, -0.15, -2.5, 0.5, 1.5, 1e300, 0.0, 123456789.125, 1e15 + 0.3]
+    xs += [round(g.uniform(-1e4, 1e4), g.randint(0, 4)) for _ in range(2000)]
+    xs += [g.randint(-10**6, 10**6) / 8 for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select(
+        "x", *[num.num_redondeo("x", n).alias(f"r{n}") for n in (0, 1, 2, 3)])
+    for r in df.collect():
+        for n in (0, 1, 2, 3):
+            assert r[f"r{n}"] == round(r["x"], n), (r["x"], n)
 
 
 def test_nulos_fuera_de_grupos(spark):
