@@ -81,9 +81,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter("n > 1").select("h", F.col("f.d").alias("fd"), F.col("f.th").alias("fth"),
                                 F.col("f.at").alias("fat")), "repeated")
     later = staged(
-        windows.join(first, "h").filter("NOT (d <=> fd AND th = fth AND at = fat)")
+        windows.join(first.hint("merge"), "h").filter("NOT (d <=> fd AND th = fth AND at = fat)")
         .groupBy("d", "th").agg(F.collect_set("at").alias("later")), "later")
-    joined = rows.join(later.withColumnRenamed("th", "th2"),
+    # Always a merge join: which rows move must not depend on whether the list of repeats happens
+    # to fit a broadcast.
+    joined = rows.join(later.withColumnRenamed("th", "th2").hint("merge"),
                        (F.col(doc).eqNullSafe(F.col("d"))) & (F.col("th") == F.col("th2")), "left")
     schema = T.StructType([*rows.select(*plain).schema.fields,
                            T.StructField("removed", T.IntegerType())])
