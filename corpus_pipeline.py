@@ -51,7 +51,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     found = decontaminate.decontaminate(named, items, id_col=name)
     other = unused(named.columns, "#leaked")
     leaked = found.filter("contaminated").select(F.col(f"`{name}`").alias(other)).distinct()
-    return named.join(staged(leaked, "leaked"), F.col(f"`{name}`") == F.col(other), "left_anti").select(
+    # Always a merge join: what moves must not depend on whether the list fits a broadcast.
+    return named.join(staged(leaked, "leaked").hint("merge"), F.col(f"`{name}`") == F.col(other), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -130,8 +130,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", clusters: int =
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
     # Equal texts share a hash; so the sample holds each text once.
     h = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
+    # One row per language, as the model has: small enough to send with the model's other parts.
     sizes = labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    rows = (labelled.withColumn("h", h).join(sizes, "l")
+    rows = (labelled.withColumn("h", h).join(F.broadcast(sizes), "l")
             .filter(F.col("h") * F.col("n") < rows_per_language)
             .dropDuplicates(["l", "t"]).orderBy("l", "h", "t").collect())
     letters, by_lang = Letters(), {}

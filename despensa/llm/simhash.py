@@ -275,4 +275,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     name = unused(docs.columns, "#gone")
     gone = found.filter(F.col(f"`{id_col}`") != F.col("component_id")).select(
         F.col(f"`{id_col}`").alias(name)).distinct()
-    return docs.join(staged(gone, "gone"), F.col(f"`{id_col}`") == F.col(name), "left_anti")
+    # Always a merge join: what moves must not depend on whether the list fits a broadcast.
+    return docs.join(staged(gone, "gone").hint("merge"), F.col(f"`{id_col}`") == F.col(name), "left_anti")
