@@ -120,13 +120,6 @@ def ts_ajuste_boost(filas: DataFrame, pruebas: Sequence[dict], k: int = 3) -> Da
                   .agg(F.avg("mae").alias("mae")))
 
 
-def mejor_prueba(ajuste: DataFrame, pruebas: Sequence[dict]) -> dict:
-    """The trial with the least mean error over products: one number crosses to the driver."""
-    fila = (ajuste.groupBy("prueba").agg(F.avg("mae").alias("mae"))
-            .agg(F.min_by("prueba", F.struct("mae", "prueba"))).first())
-    return next(p for p in pruebas if p["prueba"] == fila[0])
-
-
 def ts_holdout(filas: DataFrame, prueba: dict, modelo: GBTRegressionModel | None = None
                ) -> DataFrame:
     """Single fit on the first 80 %, predictions of every test row."""

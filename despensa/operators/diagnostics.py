@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,22 +72,37 @@ def st_pacf(df: DataFrame, y: str = "y", rezagos: int = 20) -> DataFrame:
         (F.lit(Z95) / F.sqrt("n")).alias("banda")).filter(F.col("lag") < F.col("n")).drop("n")
 
 
-def cola_chi2(x: float, gl: int) -> float:
-    """Upper tail of a chi-square with whole degrees of freedom, in closed form."""
-    if x <= 0:
-        return 1.0
-    h = x / 2.0
+def _erfc(z: np.ndarray) -> np.ndarray:
+    """Complementary error function of numbers not below 0: a series of positive terms up to 2.5,
+    a continued fraction beyond."""
+    chica = np.minimum(z, 2.5)
+    termino = suma = chica
+    for k in range(1, 60):
+        termino = termino * 2 * chica * chica / (2 * k + 1)
+        suma = suma + termino
+    cerca = 1 - 2 / math.sqrt(math.pi) * np.exp(-chica * chica) * suma
+    grande = np.maximum(z, 2.5)
+    f = grande
+    for k in range(60, 0, -1):
+        f = grande + k / 2 / f
+    return np.where(z <= 2.5, cerca, np.exp(-grande * grande) / f / math.sqrt(math.pi))
+
+
+def cola_chi2(x, gl: int):
+    """Upper tail of a chi-square with whole degrees of freedom, in closed form, for all values of
+    ``x`` at once; the loops run over the degrees of freedom only."""
+    h = np.maximum(np.asarray(x, float), 0.0) / 2.0
     if gl % 2 == 0:
-        termino, suma = 1.0, 1.0
+        termino = suma = np.ones_like(h)
         for i in range(1, gl // 2):
-            termino *= h / i
-            suma += termino
-        return math.exp(-h) * suma
-    termino, suma = math.sqrt(h) / math.gamma(1.5), 0.0
+            termino = termino * h / i
+            suma = suma + termino
+        return np.exp(-h) * suma
+    termino, suma = np.sqrt(h) / math.gamma(1.5), np.zeros_like(h)
     for i in range(1, (gl + 1) // 2):
-        suma += termino
-        termino *= h / (i + 0.5)
-    return math.erfc(math.sqrt(h)) + math.exp(-h) * suma
+        suma = suma + termino
+        termino = termino * h / (i + 0.5)
+    return _erfc(np.sqrt(h)) + np.exp(-h) * suma
 
 
 def st_ljung(df: DataFrame, y: str = "residuo", rezagos: int = 15) -> DataFrame:
@@ -96,8 +112,10 @@ def st_ljung(df: DataFrame, y: str = "residuo", rezagos: int = 15) -> DataFrame:
     """
     @F.pandas_udf("double")
     def cola(q: pd.Series, gl: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) else cola_chi2(float(a), int(b))
-                          for a, b in zip(q, gl)], dtype="float64")
+        p, x, k = np.full(len(q), np.nan), q.to_numpy("float64"), gl.to_numpy()
+        for b in np.unique(k):  # one turn for each lag
+            p[k == b] = cola_chi2(x[k == b], int(b))
+        return pd.Series(p).where(q.notna().to_numpy())
 
     a = _autocorrelaciones(df, y, rezagos).select(
         "producto", "n", F.posexplode("r").alias("pos", "r")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Closed for rebuilding: these weeks hold no demand.
+# Fixed value. Closed for rebuilding: these weeks hold no demand.
 CIERRE = ("2024-10-01", "2024-12-31")
 
 
@@ -70,8 +70,8 @@ def flt_cortas(df: DataFrame, minimo: int, error: str, clave: str = "producto")
 
 
 def flt_recientes(df: DataFrame, dias: int = 90, fecha: str = "Fecha") -> DataFrame:
-    """Last ``dias`` days before the newest date. The newest date is one scalar, read from the
-    file statistics or a single partial aggregate, not a window over the ledger."""
+    """Last ``dias`` days before the newest date. The newest date is one scalar from a partial
+    aggregate over one column, not a window over the ledger."""
     ultimo = df.select(F.max(fecha)).scalar()
     return df.filter(F.col(fecha) >= F.date_sub(ultimo, dias))
 

@@ -17,8 +17,9 @@ def jn_dedup(nuevo: DataFrame, existente: DataFrame, id: str = "Consecutivo") ->
     """New rows whose invoice is not stored yet. Repeats inside ``nuevo`` are lines of one invoice
     and stay.
 
-    The stored side is first cut down to the invoices of the batch. With a small batch that cut is
-    a broadcast filter over a one-column scan, so the stored ledger is never shuffled.
+    The stored side is first cut down to the invoices of the batch. As long as the batch's invoice
+    numbers fit the broadcast threshold that cut is a filter over a one-column scan; a larger batch
+    shuffles the stored invoice numbers, that column alone.
     """
     lote = nuevo.select(id).distinct()
     vistos = existente.select(id).join(lote, id, "left_semi").distinct()

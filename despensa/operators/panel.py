@@ -119,8 +119,20 @@ def _por_producto(ventas: DataFrame, reglas) -> DataFrame:
 
 
 def agg_top(ventas: DataFrame, n: int = 12, reglas=REGLAS_PLATO) -> DataFrame:
-    """The n products with most revenue; each task keeps n rows, no full sort."""
-    return _por_producto(ventas, reglas).orderBy(F.col("Ingresos").desc(), "Nombre").limit(n)
+    """The n products with most revenue; each task keeps n rows, no full sort.
+
+    The n are found by sums alone; only their invoices are shuffled to be counted.
+    """
+    v = sin_nulos(ventas, "Nombre")
+    mejores = cortar(v.groupBy("Nombre").agg(
+        F.sum("Total").alias("Ingresos"), F.sum("Cantidad").alias("Unidades"),
+        F.avg("Precio").alias("Precio_prom"))
+        .orderBy(F.col("Ingresos").desc(), "Nombre").limit(n))
+    facturas = v.join(F.broadcast(mejores.select("Nombre")), "Nombre", "left_semi") \
+        .groupBy("Nombre").agg(F.count_distinct("Consecutivo").alias("Facturas"))
+    return (mejores.join(facturas, "Nombre").withColumn("TipoPlato", cat_plato("Nombre", reglas))
+            .select("Nombre", "Ingresos", "Unidades", "Facturas", "Precio_prom", "TipoPlato")
+            .orderBy(F.col("Ingresos").desc(), "Nombre"))
 
 
 def agg_detalle(ventas: DataFrame, reglas=REGLAS_PLATO) -> DataFrame:
@@ -145,13 +157,12 @@ def agg_dia(ventas: DataFrame) -> DataFrame:
 
 
 def agg_pivote(ventas: DataFrame, meses: Sequence[str] | None = None) -> DataFrame:
-    """Weekday by month revenue matrix. Weekday-month sums are made first; the months, a list as
-    long as the calendar, are read off that small table when not given."""
-    v = ventas.groupBy(F.weekday("Fecha").alias("n"), periodo("Fecha", "Mes").alias("Mes")) \
-        .agg(F.sum("Total").alias("t"))
+    """Weekday by month revenue matrix. Weekday-month sums are made once and stored; the months, a
+    list as long as the calendar, are read off that small table when not given."""
+    v = cortar(ventas.groupBy(F.weekday("Fecha").alias("n"), periodo("Fecha", "Mes").alias("Mes"))
+               .agg(F.sum("Total").alias("t")))
     if meses is None:
-        meses = [r[0] for r in ventas.select(F.trunc("Fecha", "month").alias("m")).distinct()
-                 .select(F.date_format("m", "yyyy-MM")).orderBy(F.lit(1)).collect()]
+        meses = [r[0] for r in v.select("Mes").distinct().orderBy("Mes").collect()]
     dia = F.element_at(F.array(*[F.lit(c) for _, c in DIAS]), F.col("n") + 1)
     return (v.groupBy(dia.alias("Dia")).pivot("Mes", list(meses)).agg(F.sum("t"))
             .na.fill(0.0))
@@ -274,10 +285,21 @@ def agg_prec_sem(hist: DataFrame) -> DataFrame:
 
 
 def win_cola(hist: DataFrame, n: Column | int, ds: str = "ds", nombre: str = "producto") -> DataFrame:
-    """The last n rows by date; within a date in md5 order of the name."""
-    dia = hist.withColumn("_d", F.unix_date(ds))
-    return acumular(dia, "_d", nombre, "_a", "_pos", "_t").filter(F.col("_pos") <= n) \
-        .drop("_d", "_a", "_pos", "_t")
+    """The last n rows by date; within a date in md5 order of the name.
+
+    Rows are counted by date first, a table as long as the calendar; later dates are taken whole
+    and only the date where n falls is ranked.
+    """
+    antes = Window.orderBy(F.col("_d").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    dias = (hist.filter(F.col(ds).isNotNull()).groupBy(F.col(ds).alias("_d"))
+            .agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("_p", F.coalesce(F.sum("_c").over(antes), F.lit(0)))
+            .filter(F.col("_p") < n))
+    d = hist.join(F.broadcast(dias), F.col(ds) == F.col("_d"))
+    enteras = d.filter(F.col("_p") + F.col("_c") <= n)
+    borde = acumular(d.filter(F.col("_p") + F.col("_c") > n).withColumn("_uno", F.lit(1)), "_uno",
+                     nombre, "_a", "_pos", "_t").filter(F.col("_pos") <= F.lit(n) - F.col("_p"))
+    return enteras.select(*hist.columns).unionByName(borde.select(*hist.columns))
 
 
 def agg_prec_kpi(hist: DataFrame) -> DataFrame:

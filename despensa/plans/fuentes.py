@@ -65,11 +65,13 @@ def _(t):
     return src.src_catalogo(t.spark, ruta).drop("Precio_prom")
 
 
-@consulta("src_compras_csv", """
+COMPRAS_SQL = """
 SELECT CAST(o_orderdate AS DATE) AS Fecha, 'Compra/Gasto' AS Tipo,
        CAST(o_custkey AS VARCHAR) AS Proveedor, o_totalprice AS Valor
-FROM orders WHERE o_orderstatus <> 'P'""")
-def _(t):
+FROM orders WHERE o_orderstatus <> 'P'"""
+
+
+def _compras(t):
     o = t.t("orders")
     valores = {"Consecutivo": F.col("o_orderkey"), "Proveedor": F.col("o_custkey"),
                "Fecha": F.date_format("o_orderdate", "yyyy-MM-dd"), "Total": F.col("o_totalprice"),
@@ -77,7 +79,12 @@ def _(t):
     d = o.select([valores.get(c, F.lit("")).cast("string").alias(c) for c in esquemas.COMPRAS])
     ruta = ruta_nueva(t.spark, "compras")
     d.write.options(**CSV).csv(ruta)
-    return src.src_compras_csv(t.spark, ruta)
+    return ruta
+
+
+@consulta("src_compras_csv", COMPRAS_SQL)
+def _(t):
+    return src.src_compras_csv(t.spark, _compras(t))
 
 
 def _informe(df, n: int, por: dict, ruta: str, particion: str | None = None):
@@ -88,14 +95,27 @@ def _informe(df, n: int, por: dict, ruta: str, particion: str | None = None):
     (w.partitionBy(particion) if particion else w).csv(ruta)
 
 
-@consulta("src_compras_rep", "SELECT * FROM v_costos WHERE Proveedor <> 'MACHINERY'")
-def _(t):
+def _compras_rep(t):
     fecha = F.when(F.col("Proveedor") != "MACHINERY", F.date_format("Fecha", "dd/MM/yyyy")) \
         .otherwise("Fecha")  # these rows look like the lines above the table
     ruta = ruta_nueva(t.spark, "compras-rep")
     _informe(t.costos_crudos(), 9, {0: F.col("Tipo"), 3: fecha, 6: F.col("Proveedor"),
                                     8: F.col("Valor")}, ruta)
-    return src.src_compras_rep(t.spark, ruta)
+    return ruta
+
+
+@consulta("src_compras_rep", "SELECT * FROM v_costos WHERE Proveedor <> 'MACHINERY'")
+def _(t):
+    return src.src_compras_rep(t.spark, _compras_rep(t))
+
+
+@consulta("cargar_costos", f"""
+SELECT *, strftime(Fecha, '%Y-%m') AS Mes, strftime(date_trunc('week', Fecha), '%Y-%m-%d') AS Semana,
+       strftime(Fecha, '%Y-%m-%d') AS Dia
+FROM (SELECT Fecha, Tipo, Proveedor, Valor FROM v_costos WHERE Proveedor <> 'MACHINERY'
+      UNION ALL SELECT Fecha, Tipo, Proveedor, Valor FROM ({COMPRAS_SQL}) c) x""")
+def _(t):
+    return src.cargar_costos(t.spark, _compras_rep(t), _compras(t))
 
 
 @consulta("src_facturas", """
@@ -139,6 +159,53 @@ def _(t):
         F.count(F.lit(1)).alias("n"), F.count("Forma_pago").alias("con_pago"))
 
 
+def _libros(t):
+    """Reports of invoices and purchases: an item row, then the row with its payment method."""
+    o = t.t("orders")
+    compra = F.col("o_orderstatus") == "O"
+    dia = F.date_format("o_orderdate", "dd/MM/yyyy")
+    comunes = {"Consecutivo": F.col("o_orderkey"), "Fecha": dia, "Tipo_reg": F.lit("Secuencia"),
+               "Cantidad": F.lit(2), "Precio": F.col("o_totalprice") / 2, "Total": F.col("o_totalprice"),
+               "Num_comp": F.when(F.col("o_orderstatus") == "F", "FV-1").otherwise("FV-4"),
+               "Tipo_transaccion": F.when(compra, src.COMPRA).otherwise(src.VENTA),
+               "Factura": F.col("o_clerk") if "o_clerk" in o.columns else F.lit("F"),
+               "ID": F.col("o_custkey"), "Proveedor": F.concat(F.lit("P"), F.col("o_custkey")),
+               **{c: dia for c in src.FECHAS_COMPRAS}}
+    filas = []
+    for k, suyos in enumerate(({"Codigo": F.lit("A")}, {"Forma_pago": F.col("o_orderpriority")})):
+        valores = {**comunes, **suyos}
+        filas.append(o.select(
+            *[valores.get(c, F.lit("")).cast("string").alias(c) for c in src.REPORTE + src.REPORTE_COMPRAS],
+            F.year("o_orderdate").alias("archivo"), F.col("o_orderkey").alias("k"), F.lit(k).alias("j")))
+    ruta = ruta_nueva(t.spark, "libros")
+    n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    # An invoice's rows stay together: files are cut between invoices.
+    (j.set_union(*filas).repartitionByRange(n, "archivo", "k").sortWithinPartitions("archivo", "k", "j")
+     .drop("k", "j").write.option("quoteAll", True).partitionBy("archivo").csv(ruta))
+    return ruta
+
+
+@consulta("libro_ventas", """
+SELECT CAST(o_orderkey AS VARCHAR) AS Consecutivo, CAST(o_orderdate AS DATE) AS Fecha,
+       o_orderpriority AS Forma_pago, o_totalprice AS Total,
+       CASE o_orderstatus WHEN 'F' THEN 'Principal' ELSE 'CP' END AS Establecimiento
+FROM orders WHERE o_orderstatus <> 'O'""")
+def _(t):
+    return src.libro_reportes(t.spark, _libros(t)).select(
+        "Consecutivo", "Fecha", "Forma_pago", "Total", "Establecimiento")
+
+
+@consulta("libro_compras", """
+SELECT CAST(o_orderkey AS VARCHAR) AS Consecutivo, CAST(o_orderdate AS DATE) AS Fecha,
+       CAST(o_orderdate AS DATE) AS Fecha_m, CAST(o_orderdate AS DATE) AS Fecha_v,
+       CAST(o_custkey AS VARCHAR) AS ID, 'P' || o_custkey AS Proveedor, o_orderpriority AS Forma_pago,
+       o_totalprice AS Total
+FROM orders WHERE o_orderstatus = 'O'""")
+def _(t):
+    return src.libro_reportes(t.spark, _libros(t), src.COMPRA).select(
+        "Consecutivo", "Fecha", "Fecha_m", "Fecha_v", "ID", "Proveedor", "Forma_pago", "Total")
+
+
 @consulta("agg_auditoria", "SELECT archivo, MIN(Fecha) AS desde, MAX(Fecha) AS hasta "
                            "FROM v_reporte GROUP BY 1")
 def _(t):

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from despensa import esquemas
-from despensa.functions.dates import DIA_PRIMERO, cln_fecha
+from despensa.functions.dates import DIA_PRIMERO, cln_fecha, fec_periodos
 from despensa.functions.numbers import cln_moneda, cln_numero, cln_total
-from despensa.functions.text import cat_plato, cln_nombre
+from despensa.functions.text import cat_local, cat_plato, cln_nombre
 
 def _csv(spark: SparkSession, ruta, nombres: list[str], cabecera: bool = True,
          multilinea: bool = False) -> DataFrame:
@@ -76,6 +76,15 @@ def src_compras_rep(spark: SparkSession, ruta, multilinea: bool = False) -> Data
     return flt_costos(r.filter(F.col("Fecha").isNotNull()))
 
 
+def cargar_costos(spark: SparkSession, ruta_informes, ruta_csv) -> DataFrame:
+    """Costs of all sources, purchase reports and purchase ledger, with month, week and day."""
+    from despensa.operators.joins import set_union
+    c = set_union(src_compras_rep(spark, ruta_informes), src_compras_csv(spark, ruta_csv))
+    periodos = fec_periodos("Fecha")
+    return c.select("Fecha", "Tipo", "Proveedor", "Valor",
+                    *[periodos[p].alias(p) for p in ("Mes", "Semana", "Dia")])
+
+
 def _de_ruta(clave: str, hasta_guion: bool) -> Column:
     """Name a file stands for: from a ``clave=`` folder, else from the file's own name."""
     ruta = F.url_decode("_metadata.file_path")
@@ -94,17 +103,47 @@ def src_facturas(spark: SparkSession, ruta, multilinea: bool = False) -> DataFra
     return r.withColumn("Mes", F.date_format("Fecha", "yyyy-MM"))
 
 
+# ---- fixed values: columns of the month reports, and what their two ledgers keep ----
 REPORTE = ["Consecutivo", "Fecha", "Tipo_reg", "Tipo_clas", "Codigo", "Nombre", "Vendedor",
            "Cantidad", "Precio", "Impuesto", "Total", "Forma_pago", "Num_comp", "Tipo_transaccion"]
+REPORTE_COMPRAS = ["Factura", "ID", "Proveedor", "Fecha_m", "Fecha_e", "Contacto", "Fecha_v"]
+FECHAS_COMPRAS = ["Fecha_m", "Fecha_e", "Fecha_v"]
+VENTA, COMPRA = "Factura de venta", "Factura de compra"
+LIBRO_VENTAS = ["Consecutivo", "Fecha", "Codigo", "Nombre", "Vendedor", "Cantidad", "Precio", "Impuesto",
+                "Total", "Forma_pago", "Num_comp", "Establecimiento"]
+LIBRO_COMPRAS = ["Consecutivo", "Factura", "ID", "Proveedor", "Fecha", "Fecha_m", "Fecha_e", "Contacto",
+                 "Tipo_reg", "Tipo_clas", "Codigo", "Nombre", "Cantidad", "Precio", "Total", "Forma_pago",
+                 "Fecha_v"]
+# -------------------------------------------------------------------------------------
+
+
+def libro_reportes(spark: SparkSession, ruta, tipo: str = VENTA, multilinea: bool = False) -> DataFrame:
+    """Sales or purchase ledger out of the month reports, in one job.
+
+    Rows of one transaction type; the payment method, which stands below the items it belongs to,
+    is filled upwards inside each file; rows without a product code, the payment rows, go. Sales
+    get their location from the document prefix, purchases their three further dates.
+    """
+    from despensa.operators.filters import flt_nulos, flt_tipo
+    from despensa.operators.ordered import win_bfill
+    r = flt_tipo(src_reportes_mes(spark, ruta, multilinea), tipo)
+    r = win_bfill(r, "Forma_pago", ["bloque"], "fila", F.col("inicio"))
+    r = flt_nulos(r, "Codigo").withColumns({
+        "Cantidad": cln_numero("Cantidad"), "Precio": cln_numero("Precio"), "Total": cln_numero("Total")})
+    if tipo == COMPRA:
+        return r.withColumns({c: cln_fecha(c, DIA_PRIMERO) for c in FECHAS_COMPRAS}).select(*LIBRO_COMPRAS)
+    return r.withColumns({"Impuesto": cln_numero("Impuesto"), "Establecimiento": cat_local("Num_comp")}) \
+        .select(*LIBRO_VENTAS)
 
 
 def src_reportes_mes(spark: SparkSession, ruta, multilinea: bool = False) -> DataFrame:
-    """Month reports: all files the path matches, absent months simply do not match.
+    """Month reports: all files the path matches, absent months simply do not match. The purchase
+    columns stand after the sale columns and are null in reports that lack them.
 
     Rows keep their place (file, block, row), which the payment fill needs; it is the order of the
     file however the scan is split.
     """
-    r = _csv(spark, ruta, REPORTE, False, multilinea)
+    r = _csv(spark, ruta, REPORTE + REPORTE_COMPRAS, False, multilinea)
     r = r.withColumns({
         "archivo": _de_ruta("archivo", False),
         "bloque": F.col("_metadata.file_path"),
