@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# ---- fixed values: columns of the input files, nested documents and marts, accents left out ----
 VENTAS = [
     "Consecutivo", "Fecha", "Tipo_reg", "Tipo_clas", "Codigo", "Nombre", "Vendedor",
     "Cantidad", "Precio", "Impuesto", "Total", "Forma_pago", "Num_comp", "Establecimiento",

@@ -200,6 +200,14 @@ def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict
         buscar, f"producto string, prueba int, {ESQUEMA_PARAMS}, mae double")
 
 
+def ts_base_anual(serie: DataFrame, semanas: DataFrame, futuras: int = 26) -> DataFrame:
+    """Baseline of the exploratory variant: yearly season of order 10, half a year ahead, 0 where a
+    week sold nothing. ``semanas`` must reach as far."""
+    from despensa.operators.series import set_expandir, ts_cero
+    r = ts_base(set_expandir(serie, futuras), semanas, periodo=365.25, orden=10, entero=False)
+    return ts_cero(r.join(serie, ["producto", "ds"], "left"), F.col("y") == 0, ("yhat",))
+
+
 def agg_mejor_prueba(pruebas: DataFrame, *cols: str) -> DataFrame:
     """Trial with the least error per product, the earliest on a tie."""
     orden = F.struct("mae", "prueba")

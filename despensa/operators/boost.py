@@ -92,12 +92,14 @@ def predecir(df: DataFrame, modelo: GBTRegressionModel, features: Sequence[str]
     ).drop("_f", "_p")
 
 
-def ajustes(spark, tareas: Sequence[Callable[[], GBTRegressionModel]], a_la_vez: int = 8
+def ajustes(spark, tareas: Sequence[Callable[[], GBTRegressionModel]], a_la_vez: int | None = None
             ) -> list[GBTRegressionModel]:
     """Runs independent fits side by side, as a cross-validator does: a single boosting is a chain
-    of small jobs that leaves most of the cluster idle."""
+    of small jobs that leaves most of the cluster idle. By default as many as the cluster has
+    task slots."""
     if len(tareas) < 2:
         return [f() for f in tareas]
+    a_la_vez = a_la_vez or max(1, spark.sparkContext.defaultParallelism)
     with ThreadPool(min(a_la_vez, len(tareas))) as pool:
         return pool.map(lambda f: inheritable_thread_target(spark)(f)(), tareas, chunksize=1)
 
@@ -120,11 +122,11 @@ def ts_ajuste_boost(filas: DataFrame, pruebas: Sequence[dict], k: int = 3) -> Da
                   .agg(F.avg("mae").alias("mae")))
 
 
-def ts_holdout(filas: DataFrame, prueba: dict, modelo: GBTRegressionModel | None = None
-               ) -> DataFrame:
+def ts_holdout(filas: DataFrame, prueba: dict, modelo: GBTRegressionModel | None = None,
+               features: Sequence[str] = FEATURES) -> DataFrame:
     """Single fit on the first 80 %, predictions of every test row."""
-    modelo = modelo or ts_boost(filas.filter(F.col("i") <= F.col("corte")), prueba)
-    return predecir(filas.filter(F.col("i") > F.col("corte")), modelo).select(
+    modelo = modelo or ts_boost(filas.filter(F.col("i") <= F.col("corte")), prueba, features)
+    return predecir(filas.filter(F.col("i") > F.col("corte")), modelo, features).select(
         "producto", "ds", F.col("y").alias("real"), "prediccion", F.col("yhat").alias("prophet"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from despensa.soporte import dimension
 from despensa.sources import calendar as cal
 
+# Words of the period names that stop the academic week.
 PARADAS = ("receso", "santa", "finales", "induccion")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from despensa.functions.text import cln_acentos, cln_variantes, cln_venta
 from despensa.operators.filters import flt_encabezado
 from despensa.operators.ordered import win_ffill
+from despensa.soporte import cortar
 
 
 def _lleno(c: str) -> Column:
@@ -32,12 +33,17 @@ def recetas_de_hojas(hojas: DataFrame) -> DataFrame:
         F.struct("hoja", "fila").alias("orden"))
 
 
-def _trozos(c: Column) -> Column:
-    """All distinct substrings of a short name."""
+def _largos(df: DataFrame, texto: str = "texto") -> Column:
+    """The lengths that texts have, as a literal: never more than the longest has characters."""
+    return F.array(*[F.lit(r[0]) for r in df.select(F.length(texto)).distinct().orderBy(F.lit(1)).collect()])
+
+
+def _trozos(c: Column, largos: Column) -> Column:
+    """Distinct substrings of the given lengths: only those can equal a text of the other side."""
     n = F.length(c)
     return F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substr(c, i, k)))))
+        F.filter(largos, lambda k: k <= n),
+        lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, k)))))
 
 
 def jn_receta(recetas: DataFrame, nombres: DataFrame, nombre: str = "producto",
@@ -55,18 +61,20 @@ def jn_receta(recetas: DataFrame, nombres: DataFrame, nombre: str = "producto",
         .withColumn("texto", cln_acentos("plato")).filter(F.length("texto") > 0)
         .groupBy("texto").agg(F.min(F.struct("o", "plato")).alias("p"))
     )
+    platos = cortar(platos)
     variantes = nombres.select(nombre).filter(F.col(nombre).isNotNull()).distinct().select(
         nombre, F.posexplode(cln_variantes(cln_venta(nombre))).alias("pos", "texto")
     ).filter(F.length("texto") > 0)
+    variantes = cortar(variantes)
     exacto = variantes.join(platos, "texto").select(
         nombre, F.struct(F.lit(1).alias("etapa"), "pos", "p").alias("m"))
     dentro = (
-        variantes.select(nombre, "pos", F.explode(_trozos(F.col("texto"))).alias("texto"))
+        variantes.select(nombre, "pos", F.explode(_trozos(F.col("texto"), _largos(platos))).alias("texto"))
         .join(platos, "texto")
         .groupBy(nombre).agg(F.min(F.struct(F.lit(2).alias("etapa"), "pos", "p")).alias("m"))
     )
     partes = (
-        platos.select(F.explode(_trozos(F.col("texto"))).alias("texto"), "p")
+        platos.select(F.explode(_trozos(F.col("texto"), _largos(variantes))).alias("texto"), "p")
         .groupBy("texto").agg(F.min("p").alias("p"))
     )
     fuera = variantes.join(partes, "texto").select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from despensa.operators.filters import flt_local_fecha
 from despensa.soporte import acumular, cortar, percentiles_exactos, sin_nulos
 
+# The names of the quadrants.
 ESTRELLA = "ESTRELLA (Alto Vol / Alto $)"
 PREMIUM = "PREMIUM (Bajo Vol / Alto $)"
 GANCHO = "GANCHO (Alto Vol / Bajo $)"

@@ -13,6 +13,7 @@ from despensa.operators.calendar import calendario_semanal
 from despensa.sources import calendar as cal
 from despensa.soporte import cortar
 
+# ---- fixed values: column names of the published feature tables, written in ASCII ----
 # The inputs of the residual model, in order.
 FEATURES = [
     "yhat", "yhat_lower", "yhat_upper", "mes", "semana_anio", "trimestre",
@@ -27,11 +28,14 @@ FEATURES_HIBRIDO = [
     "fin_parciales_1", "inicio_parciales_2", "fin_parciales_2", "mes_sin", "mes_cos",
     "semana_sin", "semana_cos", "lag_1_clean", "rolling_4", "vuelta_a_clases", "post_vacaciones",
 ]
+# --------------------------------------------------------------------------------------
 
 
-def ts_serie(ventas: DataFrame) -> DataFrame:
+def ts_serie(ventas: DataFrame, solo: DataFrame | None = None) -> DataFrame:
     """Weekly units of every product over the weeks of the whole ledger, 0 where none were sold.
 
+    ``solo`` (producto) keeps these products before their gaps are filled.
+
     Weekly sums are stored, so the ledger is read once; its date range, two numbers, comes from
     them. Each sold week then fills the weeks up to the next one by itself: no product-by-week
     cross join, and the result is already partitioned by product for the windows that follow.
@@ -40,7 +44,10 @@ def ts_serie(ventas: DataFrame) -> DataFrame:
         ventas.groupBy(F.col("Nombre").alias("producto"), fec_lunes("Fecha").alias("ds"))
         .agg(F.sum("Cantidad").alias("y")).filter("ds IS NOT NULL"))
     ini, fin = semanal.agg(F.min("ds"), F.max("ds")).first()
-    return jn_calendario(semanal.filter("producto IS NOT NULL"), ini, fin)
+    semanal = semanal.filter("producto IS NOT NULL")
+    if solo is not None:
+        semanal = semanal.join(solo, "producto", "left_semi")
+    return jn_calendario(semanal, ini, fin)
 
 
 def jn_calendario(semanal: DataFrame, ini: dt.date, fin: dt.date) -> DataFrame:

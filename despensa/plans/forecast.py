@@ -67,8 +67,7 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
     reason; nothing is raised for a single product."""
     criticos = productos_criticos(ventas, o.local, o.desde).select(
         F.col("Nombre").alias("producto"))
-    serie = f.flt_cierre(s.ts_serie(ventas).join(criticos, "producto", "left_semi"),
-                         dias_atras=o.dias_atras)
+    serie = f.flt_cierre(s.ts_serie(ventas, criticos), dias_atras=o.dias_atras)
     serie = cortar(serie)
     cortas = f.flt_cortas(serie, o.minimo_serie, "serie muy corta")
     largas = f.flt_minimos(serie, o.minimo_serie)

@@ -57,9 +57,7 @@ def _(t):
 @consulta("ts_base_anual")
 def _(t):
     serie = _serie(t)
-    ext = s.set_expandir(serie, 26)
-    r = bl.ts_base(ext, _semanas(t, serie, 27), periodo=365.25, orden=10, entero=False)
-    return s.ts_cero(r.join(serie, ["producto", "ds"], "left"), F.col("y") == 0, ("yhat",))
+    return bl.ts_base_anual(serie, _semanas(t, serie, 27))
 
 
 @consulta("ts_ajuste_base")
@@ -91,6 +89,44 @@ def _(t):
         "producto", "ds", "y", "yhat", "prediccion")
 
 
+# One tree of depth one on one yes-or-no input is a mean per group, which SQL can follow.
+RAIZ = {"arboles": 1, "paso": 1.0, "profundidad": 1, "muestra": 1.0, "columnas": 1.0, "minimo_hoja": 1}
+UNA = ["mes"]
+
+
+def _dos_grupos(t):
+    """Model rows of the stand-in forecasts: the input says whether the month is even."""
+    return cortar(s.con_posicion(t.historial()).select(
+        "producto", "ds", F.col("real").alias("y"), F.col("prophet").alias("yhat"),
+        F.lit(1.0).alias("escala"), (F.month("ds") % 2).cast("double").alias("mes"), "i", "n",
+        F.floor(F.col("n") * 0.8).cast("int").alias("corte")))
+
+
+vista("v_dos_grupos", """
+SELECT *, CAST(floor(n * 0.8) AS INTEGER) AS corte FROM (
+  SELECT producto, ds, "real" AS y, prophet AS yhat, month(ds) % 2 AS par,
+         ROW_NUMBER() OVER (PARTITION BY producto ORDER BY ds) AS i,
+         COUNT(*) OVER (PARTITION BY producto) AS n FROM v_historial) x""", "v_historial")
+
+
+@consulta("ts_boost_grupos", """
+SELECT producto, ds, GREATEST(0, yhat + AVG(y - yhat) OVER (PARTITION BY par)) AS prediccion
+FROM v_dos_grupos""", dobles="prediccion:4")
+def _(t):
+    filas = _dos_grupos(t)
+    return bo.predecir(filas, bo.ts_boost(filas, RAIZ, UNA), UNA).select("producto", "ds", "prediccion")
+
+
+@consulta("ts_holdout_grupos", """
+SELECT producto, ds, y AS "real", GREATEST(0, yhat + r) AS prediccion, yhat AS prophet
+FROM v_dos_grupos JOIN (SELECT par, AVG(y - yhat) AS r FROM v_dos_grupos WHERE i <= corte GROUP BY 1) m
+USING (par) WHERE i > corte""", dobles="prediccion:4 prophet:4")
+def _(t):
+    filas = _dos_grupos(t)
+    modelo = bo.ts_boost(filas.filter(F.col("i") <= F.col("corte")), RAIZ, UNA)
+    return bo.ts_holdout(filas, RAIZ, modelo, UNA)
+
+
 @consulta("met_importancia")
 def _(t):
     filas = _filas(t)
