@@ -116,11 +116,12 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", clusters: int = 4,
-        rows_per_language: int = 1500, slack: float = 0.08) -> Model | None:
+        rows_per_language: int = 1500, slack: float = 0.08, longest: int = 50_000) -> Model | None:
     """Learns from the rows of ``docs`` with a language; None if there are none with letters.
 
     Document frequencies count all rows. Centroids and radii are fitted on a bounded sample, about
-    ``rows_per_language`` rows of each language, picked by a hash of the text.
+    ``rows_per_language`` rows of each language, picked by a hash of the text, without texts of
+    over ``longest`` characters.
     """
     labelled = docs.filter(F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
@@ -133,23 +134,23 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", clusters: int =
     # One row per language, as the model has: small enough to send with the model's other parts.
     sizes = labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
     rows = (labelled.withColumn("h", h).join(F.broadcast(sizes), "l")
-            .filter(F.col("h") * F.col("n") < rows_per_language)
+            .filter((F.col("h") * F.col("n") < rows_per_language) & (F.length("t") <= longest))
             .dropDuplicates(["l", "t"]).orderBy("l", "h", "t").collect())
     letters, by_lang = Letters(), {}
     for r in rows:
-        cp = letters(r["t"] or "")
+        cp = letters(r["t"])
         if len(cp):
-            by_lang.setdefault(r["l"], []).append(cp)
+            by_lang.setdefault(r["l"], []).append((vectors([cp], idf)[0], band(cp)))
     languages = sorted(by_lang)
     if not languages:
         return None
     centroids, owner, radius = [], [], np.ones((len(languages), BANDS), np.float32)
     for i, name in enumerate(languages):
-        v = vectors(by_lang[name], idf)
+        v, bands = np.stack([x for x, _ in by_lang[name]]), np.array([b for _, b in by_lang.pop(name)])
         c = spread(v, clusters)
         centroids.append(c)
         owner += [i] * len(c)
-        distance, bands = 1 - (v @ c.T).max(1), np.array([band(x) for x in by_lang[name]])
+        distance = 1 - (v @ c.T).max(1)
         for b in range(BANDS):
             # A band with few texts takes what shorter texts reach; shorter ones lie further off.
             if (bands == b).sum() >= 20:
