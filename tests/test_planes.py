@@ -59,3 +59,42 @@ def test_una_pasada_por_producto(spark, sf):
     """The features of all products need one shuffle by product after the weekly sums."""
     p = plan(entrada.queries()["win_rolling"](spark, sf))
     assert p.count("Exchange hashpartitioning") + p.count("hashpartitioning(producto") <= 4
+
+
+# Queries whose library functions store a table on the way: their plan is looked at without the cut.
+CON_CORTES = ["ts_serie", "ts_features", "win_rolling", "agg_top", "agg_pivote", "agg_detalle", "jn_receta",
+              "win_cola"]
+
+
+@pytest.mark.parametrize("clave", CON_CORTES)
+def test_plan_antes_del_corte(spark, sf, monkeypatch, clave):
+    import sys
+
+    for nombre, modulo in list(sys.modules.items()):
+        if nombre.startswith("despensa.") and hasattr(modulo, "cortar"):
+            monkeypatch.setattr(modulo, "cortar", lambda df: df)
+    p = plan(entrada.queries()[clave](spark, sf))
+    assert "Scan parquet" in p  # the files, not a stored result
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    assert "BatchEvalPython" not in p
+
+
+def test_serie_filtra_antes_de_llenar(spark):
+    from despensa.operators.series import ts_serie
+
+    v = spark.createDataFrame([("a", "2024-01-02", 1.0), ("b", "2024-01-20", 2.0), (None, "2024-02-20", 1.0)],
+                              "Nombre string, Fecha string, Cantidad double").withColumn("Fecha", F.to_date("Fecha"))
+    solo = spark.createDataFrame([("b",)], "producto string")
+    d = [(x["producto"], str(x["ds"]), x["y"]) for x in ts_serie(v, solo).orderBy("ds").collect()]
+    assert d[0] == ("b", "2024-01-01", 0.0) and d[-1][1] == "2024-02-19" and len(d) == 8
+    assert d[2] == ("b", "2024-01-15", 2.0)
+
+
+def test_top_cuenta_solo_sus_facturas(spark):
+    from despensa.operators.panel import agg_top
+
+    v = spark.createDataFrame([("a", 5.0, 1.0, "1", 5.0), ("a", 5.0, 1.0, "1", 5.0), ("b", 20.0, 2.0, "2", 10.0),
+                               ("c", 1.0, 1.0, "3", 1.0), (None, 99.0, 1.0, "4", 9.0)],
+                              "Nombre string, Total double, Cantidad double, Consecutivo string, Precio double")
+    d = [(x["Nombre"], x["Ingresos"], x["Facturas"]) for x in agg_top(v, 2).collect()]
+    assert d == [("b", 20.0, 1), ("a", 10.0, 1)]
