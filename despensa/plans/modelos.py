@@ -197,9 +197,11 @@ def _(t):
 
 @consulta("ts_resumen", """
 SELECT producto, n_semanas, fecha AS fecha_proxima_semana, prediccion, prediccion * 0.5
-         AS prophet_solo, round_even(mae_hibrido, 2) AS mae_hibrido,
-       round_even(smape_hibrido, 3) AS smape_hibrido, round_even(mae_prophet, 2) AS mae_prophet,
-       round_even(mejora_mae, 2) AS mejora_mae, round_even(std_residual, 2) AS std_residual
+         AS prophet_solo, CAST(format('{:.2f}', mae_hibrido) AS DOUBLE) AS mae_hibrido,
+       CAST(format('{:.3f}', smape_hibrido) AS DOUBLE) AS smape_hibrido,
+       CAST(format('{:.2f}', mae_prophet) AS DOUBLE) AS mae_prophet,
+       CAST(format('{:.2f}', mejora_mae) AS DOUBLE) AS mejora_mae,
+       CAST(format('{:.2f}', std_residual) AS DOUBLE) AS std_residual
 FROM v_medidas JOIN v_pronostico USING (producto)
 JOIN (SELECT producto, COUNT(*) AS n_semanas FROM v_serie GROUP BY 1) s USING (producto)
 WHERE semana_offset = 1""")
