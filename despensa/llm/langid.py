@@ -3,11 +3,12 @@
 Texts become unit vectors of hashed letter n-grams (one to three letters, lower-cased, other
 characters as one blank). Every language gets several centroids by spherical k-means; a text takes
 the language of the nearest one by cosine and is rejected when it lies further from it than that
-language's texts of its length do.
+language's texts of its length do. Those distances come from all labelled rows, of any length.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,9 @@ from despensa.llm.base import slices, text_map
 BUCKETS = 4096
 # Multipliers of the n-gram hash: fixed odd numbers, any would do.
 MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
-BANDS = 24
+BANDS = 32
+# Distances are counted in so many steps of equal width; a band needs so many texts to speak for itself.
+STEPS, ENOUGH = 1000, 20
 
 
 @dataclass
@@ -65,15 +68,20 @@ def counts(cp: np.ndarray) -> np.ndarray:
     return np.bincount(np.concatenate([g >> shift for g in grams]), minlength=BUCKETS)
 
 
+def weighted(v: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit rows from rows of counts, in place."""
+    np.log1p(v, out=v)
+    v *= idf
+    n = np.linalg.norm(v, axis=1, keepdims=True)
+    return v / np.maximum(n, 1e-9)
+
+
 def vectors(letters: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     v = np.zeros((len(letters), BUCKETS), np.float32)
     for i, cp in enumerate(letters):
         if len(cp):
             v[i] = counts(cp)
-    np.log1p(v, out=v)
-    v *= idf
-    n = np.linalg.norm(v, axis=1, keepdims=True)
-    return v / np.maximum(n, 1e-9)
+    return weighted(v, idf)
 
 
 def band(cp: np.ndarray) -> int:
@@ -115,13 +123,84 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[int, np.ndarray]:
     return got.get(-1, 0), np.array([got.get(b, 0) for b in range(BUCKETS)], np.float64)
 
 
+def sampled_counts(rows: DataFrame) -> DataFrame:
+    """l, n letters and packed n-gram counts of each text with letters; ``rows`` has t, l, h."""
+
+    def run(batches):
+        letters = Letters()
+        for batch in batches:
+            for part in slices(batch, 0):
+                out = []
+                for t, name, h in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    cp = letters(t or "")
+                    if len(cp):
+                        c = counts(cp).astype("<u4").tobytes()
+                        out.append((name, h, len(cp), zlib.crc32(c), zlib.compress(c, 1)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x[i] for x in out], k) for i, k in enumerate(
+                        (pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.binary()))],
+                    names=["l", "h", "n", "crc", "c"])
+
+    return rows.select("t", "l", "h").mapInArrow(run, "l string, h double, n long, crc long, c binary")
+
+
+def distances(labelled: DataFrame, model: Model) -> np.ndarray:
+    """How many texts lie in each step of distance from the nearest centroid of their own language:
+    language x band x STEPS. All rows count, whatever their length."""
+    held = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m, letters = held.value, Letters()
+        at = {name: i for i, name in enumerate(m.languages)}
+        own = [np.flatnonzero(m.owner == i) for i in range(len(m.languages))]
+        seen = np.zeros((len(m.languages), BANDS, STEPS), np.int64)
+        for batch in batches:
+            for part in slices(batch, 0):
+                told = [(letters(t or ""), at.get(name)) for t, name in zip(
+                    *(part.column(i).to_pylist() for i in range(2)))]
+                told = [(cp, i) for cp, i in told if len(cp) and i is not None]
+                for k in range(0, len(told), 256):
+                    some = told[k:k + 256]
+                    near = vectors([cp for cp, _ in some], m.idf) @ m.centroids.T
+                    for (cp, i), row in zip(some, near):
+                        d = 1 - float(row[own[i]].max())
+                        seen[i, band(cp), min(STEPS - 1, max(0, int(d * STEPS)))] += 1
+        i, b, d = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.astype(np.int64)) for x in (i, b, d, seen[i, b, d])], names=["i", "b", "d", "n"])
+
+    out = np.zeros((len(model.languages), BANDS, STEPS), np.int64)
+    rows = labelled.select("t", "l").mapInArrow(run, "i long, b long, d long, n long")
+    for r in rows.groupBy("i", "b", "d").agg(F.sum("n").alias("n")).collect():
+        out[r["i"], r["b"], r["d"]] = r["n"]
+    return out
+
+
+def quantile(seen: np.ndarray, share: float) -> float:
+    """Upper end of the step in which ``share`` of the counted distances is reached."""
+    total = np.cumsum(seen)
+    return (int(np.searchsorted(total, share * total[-1])) + 1) / STEPS
+
+
+def lengthened(c: np.ndarray, letters: np.ndarray, b: int, rng) -> np.ndarray:
+    """Counts of texts of band ``b`` put together from all texts of one language, from few, and from one."""
+    times = -(-3 * 2 ** b // 4) / max(1.0, letters.mean())  # a band's middle, in texts
+    out = []
+    for few in (len(c), 8, 1) * 12:
+        some = rng.choice(len(c), min(few, len(c)), replace=False)
+        w = rng.multinomial(max(1, round(times / 2)), np.full(len(some), 1 / len(some)))
+        out.append(w.astype(np.float32) @ c[some])
+    return np.stack(out)
+
+
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", clusters: int = 4,
-        rows_per_language: int = 1500, slack: float = 0.08, longest: int = 50_000) -> Model | None:
+        rows_per_language: int = 1500, slack: float = 0.08, share: float = 0.999) -> Model | None:
     """Learns from the rows of ``docs`` with a language; None if there are none with letters.
 
-    Document frequencies count all rows. Centroids and radii are fitted on a bounded sample, about
-    ``rows_per_language`` rows of each language, picked by a hash of the text, without texts of
-    over ``longest`` characters.
+    Document frequencies and radii count all rows: a band's radius is the distance that ``share`` of
+    a language's texts of that length keep to, and ``slack``. Centroids are fitted on a bounded
+    sample, about ``rows_per_language`` rows of each language, picked by a hash of the text. Bands
+    longer than what is labelled are measured on texts put together from the sample.
     """
     labelled = docs.filter(F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
@@ -133,31 +212,37 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", clusters: int =
     h = F.pmod(F.xxhash64("t"), F.lit(1 << 40)) / float(1 << 40)
     # One row per language, as the model has: small enough to send with the model's other parts.
     sizes = labelled.groupBy("l").agg(F.count(F.lit(1)).alias("n"))
-    rows = (labelled.withColumn("h", h).join(F.broadcast(sizes), "l")
-            .filter((F.col("h") * F.col("n") < rows_per_language) & (F.length("t") <= longest))
-            .dropDuplicates(["l", "t"]).orderBy("l", "h", "t").collect())
-    letters, by_lang = Letters(), {}
-    for r in rows:
-        cp = letters(r["t"])
-        if len(cp):
-            by_lang.setdefault(r["l"], []).append((vectors([cp], idf)[0], band(cp)))
+    picked = (labelled.withColumn("h", h).join(F.broadcast(sizes), "l")
+              .filter(F.col("h") * F.col("n") < rows_per_language))
+    by_lang: dict[str, list] = {}
+    for r in sampled_counts(picked).dropDuplicates(["l", "h", "n", "crc"]).orderBy("l", "h", "n", "crc").collect():
+        by_lang.setdefault(r["l"], []).append((r["n"], bytes(r["c"])))
     languages = sorted(by_lang)
     if not languages:
         return None
-    centroids, owner, radius = [], [], np.ones((len(languages), BANDS), np.float32)
+    centroids, owner, longer = [], [], []
     for i, name in enumerate(languages):
-        v, bands = np.stack([x for x, _ in by_lang[name]]), np.array([b for _, b in by_lang.pop(name)])
-        c = spread(v, clusters)
-        centroids.append(c)
-        owner += [i] * len(c)
-        distance = 1 - (v @ c.T).max(1)
+        sizes = np.array([x for x, _ in by_lang[name]], np.float64)
+        c = np.stack([np.frombuffer(zlib.decompress(x), "<u4") for _, x in by_lang.pop(name)]).astype(np.float32)
+        near = spread(weighted(c.copy(), idf), clusters)
+        centroids.append(near)
+        owner += [i] * len(near)
+        rng, mine = np.random.default_rng(i), np.array([int(x).bit_length() for x in sizes])
+        longer.append([float((1 - (weighted(lengthened(c, sizes, b, rng), idf) @ near.T).max(1)).max())
+                       if b > mine.min() and (mine == b).sum() < ENOUGH else 0.0 for b in range(BANDS)])
+    model = Model(languages, idf, np.concatenate(centroids), np.array(owner),
+                  np.ones((len(languages), BANDS), np.float32))
+    seen = distances(labelled, model)
+    for i in range(len(languages)):
+        full = [b for b in range(BANDS) if seen[i, b].sum() >= ENOUGH]
         for b in range(BANDS):
-            # A band with few texts takes what shorter texts reach; shorter ones lie further off.
-            if (bands == b).sum() >= 20:
-                radius[i, b] = distance[bands == b].max() + slack
-            elif b and (bands < b).any():
-                radius[i, b] = radius[i, b - 1]
-    return Model(languages, idf, np.concatenate(centroids), np.array(owner), radius)
+            if b in full:
+                model.radius[i, b] = quantile(seen[i, b], share) + slack
+            elif full and b > full[0]:
+                # Few texts of this length: what shorter ones, all of these, and lengthened ones reach.
+                reach = max(longer[i][b], quantile(seen[i, b], share) if seen[i, b].any() else 0.0)
+                model.radius[i, b] = max(reach + slack, model.radius[i, b - 1])
+    return model
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text", keep: list[str] | None = None
