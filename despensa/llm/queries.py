@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from despensa.llm import decontaminate, langid, linededup, packing, pii, simhash, tokenfiles, topk, toxicity, wrappers
+from despensa.llm import (
+    decontaminate,
+    langid,
+    linededup,
+    packing,
+    phrases,
+    pii,
+    simhash,
+    tokenfiles,
+    topk,
+    toxicity,
+    wrappers,
+)
 from despensa.llm.base import held_out
 
 CONSULTAS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +177,42 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_page_wrappers")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return wrappers.extract_text(table(spark, folder, "pages"))
+
+
+PHRASES = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS ws FROM documents),
+f AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS n FROM (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+    FROM pieces, (VALUES (1), (2), (3)) sizes(k) WHERE len(ws) >= k)
+  GROUP BY ALL),
+often AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE n >= 10),
+cuts AS (
+  SELECT lang, phrase, ws, n AS a, unnest(range(1, k)) AS cut FROM often WHERE k > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.n AS l, y.n AS r,
+    CAST((CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.n AS HUGEINT) * y.n) AS BIGINT) AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[cut + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_pairs AS (
+  SELECT lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase, n
+  FROM often WHERE k = 3),
+gone AS (
+  SELECT DISTINCT b.lang, b.phrase FROM best b JOIN inner_pairs i USING (lang, phrase) WHERE 100 * i.n >= 50 * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM best ANTI JOIN gone USING (lang, phrase)),
+sizes AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op11_toivonen_phrases", PHRASES)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"), longest=3, at_least=10, first=2000, inside=50)
