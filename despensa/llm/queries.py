@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from despensa.llm import (
+    conversations,
     decontaminate,
     langid,
     linededup,
@@ -216,3 +217,42 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang)
 @query("op11_toivonen_phrases", PHRASES)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents"), longest=3, at_least=10, first=2000, inside=50)
+
+
+TRIE = """
+WITH c AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''),
+    substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7],
+      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, b)),
+    CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h FROM c),
+s AS (
+  SELECT h.conv_id, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) AS seq
+  FROM h LEFT JOIN h b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM s),
+nodes AS (
+  SELECT depth, seq[1:depth] AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(seq) = depth), '')) AS ends_sha256
+  FROM p GROUP BY 1, 2),
+told AS (
+  SELECT n.*, coalesce(len(regexp_extract_all(node[depth].text, '[^\\x20\\x09-\\x0D]+')), 0) AS words,
+    (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.node[1:n.depth] = n.node) AS n_children
+  FROM nodes n),
+below AS (
+  SELECT t.depth, t.node, CAST(count(*) FILTER (u.n_children = 0) AS BIGINT) AS n_leaves,
+    CAST(sum((u.n_convs - 1) * u.words) AS BIGINT) AS saved_tokens
+  FROM told t JOIN told u ON u.depth >= t.depth AND u.node[1:t.depth] = t.node GROUP BY 1, 2)
+SELECT t.conv_id, t.depth, p.conv_id AS parent_conv_id, t.n_convs, t.n_children, b.n_leaves, b.saved_tokens, t.ends_sha256
+FROM told t JOIN below b ON b.depth = t.depth AND b.node = t.node
+LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.node = t.node[1:t.depth - 1]
+"""
+
+
+@query("op12_conversation_trie", TRIE)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversations.rebuilt(conversations.turns_of(table(spark, folder, "conversations")), group=20, most=3)
+    return conversations.prefix_trie(turns).drop("key", "parent")
