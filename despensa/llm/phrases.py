@@ -1,37 +1,41 @@
-"""Collocations by Toivonen mining: a sample proposes, full passes count exactly until nothing is open.
-
-A share of the texts proposes phrases. The first full pass counts every proposed phrase and its
-negative border: all words, and every longer phrase whose parts (without the last word, without the
-first) are proposed. A border phrase that turns out frequent is a failure, for phrases that
-hold it were not looked at; the next pass counts those, and so on until a pass has no failure. Each
-phrase is counted in exactly one pass, over all texts, so its count is exact.
-
-What is proposed goes to the tasks as a Bloom filter of bounded size. A false positive counts a
-phrase more than needed and never changes a count.
+"""Collocations by Toivonen mining: a sample proposes, full passes count until nothing is open.
+
+A share of the texts proposes phrases. The first full pass counts, by 64-bit key, every proposed phrase
+and its negative border: all words, and every longer phrase whose parts (without the last word,
+without the first) are proposed. A border phrase that turns out frequent is a failure: longer phrases that
+hold it were not looked at. The second pass counts, by their spelling, all phrases found frequent and
+whatever the failures open: every uncounted phrase whose parts are frequent or counted now. As all
+words are counted in the first pass, by induction over the length that closes the search.
+Counts that are returned come from the second pass alone, so two phrases with one key cost a
+count and never change one.
+
+What is proposed or frequent goes to the tasks as a Bloom filter of bounded size. A false
+positive, too, counts a phrase more than needed and never changes a count.
 """
 
 from __future__ import annotations
 
 import string
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from despensa.llm.base import arrow_schema, shuffle_partitions, staged, unused
+from despensa.llm.base import arrow_schema, shuffle_partitions, slices, staged, unused
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 # Tokens counted at a time, bytes split at a time, words remembered: bounds on a worker's memory.
-TOKENS, BYTES, WORDS = 1_000_000, 4_000_000, 500_000
+TOKENS, BYTES, WORDS, ROWS = 1_000_000, 2_000_000, 300_000, 100_000
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
-COUNTS = "lang string, words int, phrase string, n long, key long, known boolean"
-PROPOSALS = "key long, n long"
+COUNTS = "lang string, words int, phrase string, n long"
+KEYS = "key long, n long"
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -49,6 +53,13 @@ def has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return found
 
 
+def at_places(bits: np.ndarray, keys: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """``has`` asked only where it matters, false elsewhere."""
+    out, at = np.zeros(len(keys), bool), np.flatnonzero(where)
+    out[at] = has(bits, keys[at])
+    return out
+
+
 class Words(dict):
     """Numbers of the words of one language, from 1; 0 is a break, -1 nothing."""
 
@@ -117,28 +128,25 @@ class Tally:
             rest = np.array([self._words(w[0])[w[1]] if w else 0 for w in waiting], np.int64)
         self.held, self.size = [rest], len(rest)
 
-    def levels(self, ids: np.ndarray, starts: int, filters: list[np.ndarray]
-               ) -> Iterator[tuple[int, np.ndarray, list[np.ndarray], np.ndarray]]:
-        """For each length: keys of all places, which places each filter asks for, which are phrases."""
+    def levels(self, ids: np.ndarray, proposed: np.ndarray | None
+               ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length: keys of all places, where a phrase starts, where it is proposed or border."""
         hashes = np.array(self.hashes, np.uint64)
         first, real = hashes[ids], ids > 0
-        keys, whole = first, real
-        member = [has(bits, hashes)[ids] & real for bits in filters]
-        yield 1, keys[:starts], [whole[:starts]] * max(len(filters), 1), whole[:starts]
+        keys, whole, border = first, real, real
+        yield 1, keys, whole, border
         for k in range(2, self.longest + 1):
-            keys = mixed(keys[:-1], first[k - 1:])
-            whole = whole[:-1] & real[k - 1:]
-            asked = [m[:-1] & m[1:] for m in member] if filters else [whole]
-            yield k, keys[:starts], [a[:starts] for a in asked], whole[:starts]
-            if k < self.longest:
-                member = []
-                for bits, a in zip(filters, asked):
-                    a, at = a.copy(), np.flatnonzero(a)
-                    a[at] = has(bits, keys[at])
-                    member.append(a)
-
-    def distinct(self, ids: np.ndarray, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """The phrases of ``k`` words that start at these places: their words, counts and a place of each."""
+            if proposed is None:
+                keys, whole = mixed(keys[:-1], first[k - 1:]), whole[:-1] & real[k - 1:]
+                border = whole
+            else:
+                held = (has(proposed, hashes)[ids] if k == 2 else at_places(proposed, keys, border)) & border
+                keys, whole = mixed(keys[:-1], first[k - 1:]), whole[:-1] & real[k - 1:]
+                border = held[:-1] & held[1:] & whole
+            yield k, keys, whole, border
+
+    def distinct(self, ids: np.ndarray, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """The phrases of ``k`` words that start at these places: their words and counts."""
         width = len(self.all).bit_length()
         if k * width < 63:
             code = ids[at]
@@ -161,31 +169,36 @@ def streamed(texts: DataFrame, longest: int, counted: Callable, schema: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(longest, counted)
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                yield from tally.add(lang, text)
+            for part in slices(batch, 1):
+                for lang, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
+                    yield from tally.add(lang, text)
         yield from tally.flush(last=True)
 
     return texts.mapInArrow(run, schema)
 
 
-def phrase_key(tally: Tally, words: list[np.ndarray]) -> np.ndarray:
-    hashes = np.array(tally.hashes, np.uint64)
-    return reduce(mixed, [hashes[w] for w in words])
+def in_parts(columns: list[pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
+    for i in range(0, len(whole), ROWS):
+        yield whole.slice(i, ROWS)
 
 
-def proposals(texts: DataFrame, longest: int, at_least: int) -> DataFrame:
-    """Keys of phrases of the sample shorter than ``longest`` that occur ``at_least`` times in it."""
+def key_counts(texts: DataFrame, longest: int, proposed: Broadcast | None) -> DataFrame:
+    """How often each key occurs: of all phrases, or of those proposed and their border."""
+    schema = arrow_schema(T._parse_datatype_string(KEYS))
+
     def counted(tally: Tally, ids: np.ndarray, starts: int) -> Iterator[pa.RecordBatch]:
-        for k, keys, _, whole in tally.levels(ids, starts, []):
-            found, n = np.unique(keys[whole], return_counts=True)
-            yield pa.RecordBatch.from_arrays([found.view(np.int64), n], names=["key", "n"])
+        bits = None if proposed is None else np.frombuffer(proposed.value, np.uint8)
+        for _, keys, _, border in tally.levels(ids, bits):
+            found, n = np.unique(keys[:starts][border[:starts]], return_counts=True)
+            yield from in_parts([pa.array(found.view(np.int64)), pa.array(n)], schema)
 
-    rows = streamed(texts, longest - 1, counted, PROPOSALS)
-    return rows.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= at_least).select("key")
+    return streamed(texts, longest, counted, KEYS).groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def filter_of(keys: DataFrame, most: int) -> bytes:
     """A Bloom filter of the keys. Its size is bounded, and with it what the driver gathers."""
+    keys = staged(keys.select("key"), "keys")
     wanted = max(BITS[0], min(most, keys.count() * BITS[2]))
     size = 1 << (wanted - 1).bit_length()
     size = size if size <= most else size // 2
@@ -199,45 +212,36 @@ def filter_of(keys: DataFrame, most: int) -> bytes:
     return bytes(out)
 
 
-def counts(texts: DataFrame, longest: int, filters: list[bytes]) -> DataFrame:
-    """Counts of the phrases the last filter asks for and no earlier one did; with a single filter of
-    all words, too, and of their sum as a phrase of no word. ``known``: the filter holds the phrase."""
-    sent = texts.sparkSession.sparkContext.broadcast(filters)
-    schema = arrow_schema(texts.sparkSession.createDataFrame([], COUNTS).schema)
+def spelled_counts(texts: DataFrame, longest: int, proposed: Broadcast, frequent: Broadcast) -> DataFrame:
+    """Counts, by spelling, of phrases whose key is frequent and of those that failures open; the
+    sum of all words as a phrase of no word."""
+    schema = arrow_schema(T._parse_datatype_string(COUNTS))
 
-    def rows(tally: Tally, words: list[np.ndarray], n: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+    def rows(tally: Tally, words: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
         spelled = pa.array(tally.all, pa.binary())
         phrase = pc.binary_join_element_wise(*[spelled.take(pa.array(w)) for w in words], b" ")
-        keys = phrase_key(tally, words)
-        return pa.RecordBatch.from_arrays([
-            pa.array(tally.langs, pa.string()).take(pa.array(words[0])), pa.array(np.full(len(n), len(words), np.int32)),
-            phrase.cast(pa.string()), pa.array(n.astype(np.int64)), pa.array(keys.view(np.int64)),
-            pa.array(has(bits, keys) if len(words) < longest else np.ones(len(n), bool))], schema=schema)
+        yield from in_parts([pa.array(tally.langs, pa.string()).take(pa.array(words[0])),
+                             pa.array(np.full(len(n), len(words))), phrase, pa.array(n)], schema)
+
+    def totals(tally: Tally, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        number, n = np.unique(ids[ids > 0], return_counts=True)
+        of = pa.table({"lang": pa.array(tally.langs).take(pa.array(number)), "n": n}).group_by("lang").aggregate([("n", "sum")])
+        yield from in_parts([of["lang"].combine_chunks(), pa.array([0] * len(of)), pa.array([""] * len(of)),
+                             of["n_sum"].combine_chunks()], schema)
 
     def counted(tally: Tally, ids: np.ndarray, starts: int) -> Iterator[pa.RecordBatch]:
-        bits = [np.frombuffer(f, np.uint8) for f in sent.value]
-        for k, _, asked, whole in tally.levels(ids, starts, bits):
-            if k == 1 and len(bits) > 1:
-                continue
-            now = asked[-1] & whole
-            for before in asked[:-1]:
-                now &= ~before
-            at = np.flatnonzero(now)
+        first, often = (np.frombuffer(b.value, np.uint8) for b in (proposed, frequent))
+        yield from totals(tally, ids[:starts])
+        member = None
+        for k, keys, whole, border in tally.levels(ids, first):
+            parts = whole if member is None else member[:-1] & member[1:] & whole
+            # A phrase the first pass has counted is known to be frequent or not; another one is open.
+            member = parts & (~border | at_places(often, keys, parts & border))
+            at = np.flatnonzero(member[:starts])
             if len(at):
-                words, n = tally.distinct(ids, at, k)
-                yield rows(tally, words, n, bits[-1])
-                if k == 1:
-                    yield totals(tally, words[0], n)
+                yield from rows(tally, *tally.distinct(ids, at, k))
 
-    def totals(tally: Tally, words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        of = pa.table({"lang": pa.array(tally.langs).take(pa.array(words)), "n": n}).group_by("lang").aggregate([("n", "sum")])
-        none = len(of)
-        return pa.RecordBatch.from_arrays([
-            of["lang"].combine_chunks(), pa.array([0] * none, pa.int32()), pa.array([""] * none), of["n_sum"].combine_chunks().cast(pa.int64()),
-            pa.array([0] * none, pa.int64()), pa.array([True] * none)], schema=schema)
-
-    return streamed(texts, longest, counted, COUNTS).groupBy("lang", "words", "phrase").agg(
-        F.sum("n").alias("n"), F.max("key").alias("key"), F.max("known").alias("known"))
+    return streamed(texts, longest, counted, COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3,
@@ -248,22 +252,19 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     has the number of all word occurrences. A-Z are lower-cased, texts cut at ``.,;:!?`` and line
     ends, words at blanks and tabs; phrases don't reach over a cut. Null texts are empty, a null
     language is ``und``; texts of any length are read whole, repeated rows count as often as they
-    occur, an empty table has no phrases. ``share`` of the texts (by hash) proposes: it changes
-    how many passes are needed, never a result.
+    occur, an empty table has no phrases. ``share`` of the texts (by hash) proposes: it changes how much
+    the second pass has left to count, never a result.
     """
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                         F.col(f"`{text_col}`").cast("string").alias("text"))
-    keep = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    longest = max(longest, 2)
-    proposed = staged(proposals(keep, longest, max(2, round(at_least * share / 2))), "proposed")
-    filters, found = [filter_of(proposed, most_bits)], None
-    while True:
-        told = staged(counts(texts, longest, filters).filter(
-            (F.col("n") >= at_least) | (F.col("words") == 0)), "frequent")
-        found = told if found is None else found.unionByName(told)
-        if told.filter(~F.col("known")).isEmpty():
-            return found.select("lang", "words", "phrase", "n")
-        filters.append(filter_of(found.filter(F.col("words").between(1, longest - 1)).select("key"), most_bits))
+    longest, send = max(longest, 2), docs.sparkSession.sparkContext.broadcast
+    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    often = max(2, round(at_least * share / 2))
+    proposed = send(filter_of(key_counts(sample, longest - 1, None).filter(F.col("n") >= often), most_bits))
+    frequent = send(filter_of(key_counts(texts, longest, proposed).filter(F.col("n") >= at_least), most_bits))
+    # The row of no words holds a language's size and stays whatever it is.
+    return staged(spelled_counts(texts, longest, proposed, frequent).filter(
+        (F.col("n") >= at_least) | (F.col("words") == 0)), "phrases")
 
 
 def first_of_each(df: DataFrame, group: str, order: list[Column], salt: Column, first: int, rank: str) -> DataFrame:

@@ -54,18 +54,22 @@ def test_as_brute_force_whatever_the_sample_proposes(docs_of, share):
     assert mined(docs_of, rows, share=share, at_least=5) == brute(rows, at_least=5)
 
 
-def test_border_failures_open_further_passes(docs_of, monkeypatch):
-    """A phrase that no sampled text holds is found, in as many passes as it is long."""
-    rows = [("en", "rare three words")] * 12 + [("en", "some other text")] * 3
-    passes = []
-    count = phrases.counts
-    monkeypatch.setattr(phrases, "counts", lambda *a: passes.append(len(a[2])) or count(*a))
+def test_border_failures_are_expanded(docs_of, monkeypatch):
+    """A phrase that no sampled text holds is found; without failures nothing more is counted."""
+    rows = [("en", "rare three words here")] * 12 + [("en", "some other text")] * 3
+    counted = {}
+    count = phrases.spelled_counts
+
+    def seen(*a):
+        out = count(*a)
+        counted[len(counted)] = {r["phrase"] for r in out.collect()}
+        return out
+
+    monkeypatch.setattr(phrases, "spelled_counts", seen)
     got = mined(docs_of, rows, share=0.0)
-    assert got == brute(rows) and ("en", 1, "rare three words", 12, 12, 12, 45, 1000000) in got
-    assert passes == [1, 2, 3]
-    passes.clear()
+    assert got == brute(rows) and ("en", 1, "rare three words", 12, 12, 12, 57, 1000000) in got
     assert mined(docs_of, rows, share=1.0) == brute(rows)
-    assert passes == [1]
+    assert counted[0] == counted[1] and "other text" not in counted[1]
 
 
 def test_full_filters_and_small_buffers_change_nothing(docs_of, monkeypatch):
