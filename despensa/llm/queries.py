@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from despensa.llm import (
     conversations,
     decontaminate,
+    fingerprints,
     langid,
     linededup,
     packing,
@@ -256,3 +257,8 @@ LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.node = t.node[1:t.depth - 1]
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     turns = conversations.rebuilt(conversations.turns_of(table(spark, folder, "conversations")), group=20, most=3)
     return conversations.prefix_trie(turns).drop("key", "parent")
+
+
+@query("op13_piecewise_fingerprints")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))

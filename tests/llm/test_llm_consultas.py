@@ -19,4 +19,4 @@ def test_as_sql(spark, duck, sf, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.CONSULTAS)
-    assert numbers == list(range(1, 13))
+    assert numbers == list(range(1, 14))
