@@ -445,7 +445,7 @@ def _(t):
         # The same stream is started after each landing and takes what is new to it.
         ingest.stm_ingesta(t.spark, f"{base}/entrada/*", f"{base}/ledger",
                            f"{base}/control").awaitTermination()
-    return t.spark.read.parquet(f"{base}/ledger").select("mes", "Consecutivo", "Fecha", "Total")
+    return ingest.guardado(t.spark, f"{base}/ledger").select("mes", "Consecutivo", "Fecha", "Total")
 
 
 @consulta("snk_append", """
@@ -464,7 +464,7 @@ def _(t):
         pagina = f"{ledger}-paginas-{lote}"
         _paginas_eventos(parte, pagina)
         ingest.ingerir(inv.src_facturas_json(t.spark, pagina), ledger, lote)
-    filas = t.spark.read.parquet(ledger).groupBy("lote", "mes").agg(
+    filas = ingest.guardado(t.spark, ledger).groupBy("lote", "mes").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("Total").alias("Total"))
     malas = t.spark.read.parquet(ingest.rechazos(ledger)).groupBy("lote").agg(
         F.count(F.lit(1)).alias("filas"))

@@ -46,7 +46,11 @@ def ruta_nueva(spark: SparkSession, nombre: str) -> str:
 
 def guardar(df: DataFrame, nombre: str) -> DataFrame:
     """Like ``cortar``, as a Parquet table in the shared folder: later reads prune columns and rows."""
-    ruta = ruta_nueva(df.sparkSession, nombre)
+    return guardar_en(df, ruta_nueva(df.sparkSession, nombre))
+
+
+def guardar_en(df: DataFrame, ruta: str) -> DataFrame:
+    """``guardar`` at a path the caller removes when the table is used."""
     df.write.parquet(ruta)
     return df.sparkSession.read.schema(df.schema).parquet(ruta)
 

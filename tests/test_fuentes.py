@@ -129,17 +129,17 @@ def test_ingesta(spark, tmp_path):
     assert ingest.ingerir(pag, lote, "1") == 3
     assert ingest.ingerir(pag, lote, "2") == 0
     assert ingest.ingerir(pag, lote, "1") == 3  # the batch run again replaces itself
-    assert spark.read.parquet(lote).count() == 3
+    assert ingest.guardado(spark, lote).count() == 3
     otra = {"results": [{"date": "2024-02-01", "number": 9, "total": 1, "items": []},
                         {"date": "2024-01-02", "number": 7, "total": 1, "items": []}]}
     for n, doc in (("p1.json", FACTURAS), ("p2.json", otra), ("p3.json", otra)):
         (entrada / n).write_text(json.dumps(doc))
         ingest.stm_ingesta(spark, str(entrada), flujo, str(tmp_path / "control")).awaitTermination()
         ingest.ingerir(inv.src_facturas_json(spark, str(entrada / n)), lote, n)
-    assert sorted(x[0] for x in spark.read.parquet(flujo).select("Consecutivo").collect()) == [
+    assert sorted(x[0] for x in ingest.guardado(spark, flujo).select("Consecutivo").collect()) == [
         "7", "7", "8", "9"]
-    cols = [c for c in spark.read.parquet(lote).columns if c != "lote"]
-    a, b = (spark.read.parquet(x).select(*cols) for x in (lote, flujo))
+    cols = [c for c in ingest.guardado(spark, lote).columns if c != "lote"]
+    a, b = (ingest.guardado(spark, x).select(*cols) for x in (lote, flujo))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -152,7 +152,7 @@ def test_dos_flujos(spark, tmp_path):
         doc = {"results": [{"date": "2024-02-01", "number": numero, "total": "1.5", "items": []}]}
         (entrada / "p.json").write_text(json.dumps(doc))
         ingest.stm_ingesta(spark, str(entrada), libro, str(tmp_path / f"control{k}")).awaitTermination()
-    d = spark.read.parquet(libro).orderBy("Consecutivo").collect()
+    d = ingest.guardado(spark, libro).orderBy("Consecutivo").collect()
     assert [(x["Consecutivo"], x["Total"]) for x in d] == [("1", 1.5), ("2", 1.5)]
 
 
@@ -161,9 +161,9 @@ def test_dos_anexos(spark, tmp_path):
     libro = str(tmp_path / "libro")
     assert snk.snk_append(d, libro) != snk.snk_append(d, libro)
     assert snk.snk_append(d, libro, lote="a") == snk.snk_append(d, libro, lote="a") == "l-a"
-    assert spark.read.parquet(libro).count() == 6
+    assert ingest.guardado(spark, libro).count() == 6
     snk.compactar(spark, libro, str(tmp_path / "nuevo"))
-    n = spark.read.parquet(str(tmp_path / "nuevo"))
+    n = ingest.guardado(spark, str(tmp_path / "nuevo"))
     assert n.count() == 6 and n.select("lote").distinct().count() == 1
 
 
@@ -177,13 +177,13 @@ def test_paginas_malas(spark, tmp_path):
     (entrada / "c.json").write_text('{"error": "limit"}')
     libro = str(tmp_path / "libro")
     assert ingest.ingerir(inv.src_facturas_json(spark, str(entrada)), libro, "1") == 1
-    x = spark.read.parquet(libro).first()
+    x = ingest.guardado(spark, libro).first()
     assert (x["Cantidad"], x["Precio"], x["Impuesto"], x["Total"]) == (3.0, 2.5, 1.0, 8.5)
     assert spark.read.parquet(ingest.rechazos(libro)).count() == 2
     (entrada / "d.json").write_text(json.dumps(buena, indent=1))
     flujo = str(tmp_path / "flujo")
     ingest.stm_ingesta(spark, str(entrada), flujo, str(tmp_path / "ctl"), paginas=True).awaitTermination()
-    assert spark.read.parquet(flujo).count() == 2 and spark.read.parquet(ingest.rechazos(flujo)).count() == 2
+    assert ingest.guardado(spark, flujo).count() == 2 and spark.read.parquet(ingest.rechazos(flujo)).count() == 2
 
 
 def test_libro_ilegible(spark, tmp_path):
