@@ -16,6 +16,7 @@ positive, too, counts a phrase more than needed and never changes a count.
 from __future__ import annotations
 
 import string
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ from despensa.llm.base import arrow_schema, shuffle_partitions, slices, staged,
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 # Tokens counted at a time, bytes split at a time, words remembered: bounds on a worker's memory.
-TOKENS, BYTES, WORDS, ROWS = 1_000_000, 2_000_000, 300_000, 100_000
+TOKENS, BYTES, WORDS, ROWS = 400_000, 500_000, 300_000, 20_000
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
 COUNTS = "lang string, words int, phrase string, n long"
@@ -63,15 +64,16 @@ def at_places(bits: np.ndarray, keys: np.ndarray, where: np.ndarray) -> np.ndarr
 class Words(dict):
     """Numbers of the words of one language, from 1; 0 is a break, -1 nothing."""
 
-    def __init__(self, lang: str, all_words: list, langs: list, hashes: list):
+    def __init__(self, lang: str, all_words: list, langs: list, hashes: array):
         super().__init__({b"": -1, b"\n": 0})
-        self.lang, self.all, self.langs, self.hashes = lang, all_words, langs, hashes
+        self.lang, self.start = lang, lang.encode() + b"\0"
+        self.all, self.langs, self.hashes = all_words, langs, hashes
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self.all)
         self.all.append(word)
         self.langs.append(self.lang)
-        self.hashes.append(xxhash.xxh64_intdigest(self.lang.encode() + b"\0" + word))
+        self.hashes.append(xxhash.xxh64_intdigest(self.start + word))
         return n
 
 
@@ -87,7 +89,7 @@ class Tally:
         self._forget()
 
     def _forget(self) -> None:
-        self.all, self.langs, self.hashes = [b""], [""], [0]
+        self.all, self.langs, self.hashes = [b""], [""], array("Q", [0])
         self.by_lang: dict[str, Words] = {}
 
     def _words(self, lang: str) -> Words:
