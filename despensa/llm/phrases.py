@@ -16,7 +16,6 @@ positive, too, counts a phrase more than needed and never changes a count.
 from __future__ import annotations
 
 import string
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,12 +30,14 @@ from pyspark.sql import types as T
 from despensa.llm.base import arrow_schema, shuffle_partitions, slices, staged, unused
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-# Tokens counted at a time, bytes split at a time, words remembered: bounds on a worker's memory.
-TOKENS, BYTES, WORDS, ROWS = 400_000, 500_000, 300_000, 20_000
+# Bytes of text counted at a time and rows of a batch: bounds on a worker's memory.
+BYTES, ROWS = 3_000_000, 20_000
+# Ranges of keys that one task adds up one after the other.
+RANGES = 8
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
 COUNTS = "lang string, words int, phrase string, n long"
-KEYS = "key long, n long"
+RUNS = "bucket int, keys binary, n binary"
 
 
 def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -61,95 +62,46 @@ def at_places(bits: np.ndarray, keys: np.ndarray, where: np.ndarray) -> np.ndarr
     return out
 
 
-class Words(dict):
-    """Numbers of the words of one language, from 1; 0 is a break, -1 nothing."""
-
-    def __init__(self, lang: str, all_words: list, langs: list, hashes: array):
-        super().__init__({b"": -1, b"\n": 0})
-        self.lang, self.start = lang, lang.encode() + b"\0"
-        self.all, self.langs, self.hashes = all_words, langs, hashes
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self.all)
-        self.all.append(word)
-        self.langs.append(self.lang)
-        self.hashes.append(xxhash.xxh64_intdigest(self.start + word))
-        return n
-
-
-class Tally:
-    """Counts the phrases of a stream of texts, a bounded number of tokens at a time."""
+class Part:
+    """The words of a stretch of text of one language, numbered from 1; 0 is a break."""
 
     TABLE = bytes.maketrans(string.ascii_uppercase.encode() + b"\t" + BREAKS,
                             string.ascii_lowercase.encode() + b" " + b"\n" * len(BREAKS))
 
-    def __init__(self, longest: int, counted: Callable):
-        self.longest, self.counted = longest, counted
-        self.held, self.size = [], 0
-        self._forget()
-
-    def _forget(self) -> None:
-        self.all, self.langs, self.hashes = [b""], [""], array("Q", [0])
-        self.by_lang: dict[str, Words] = {}
-
-    def _words(self, lang: str) -> Words:
-        if lang not in self.by_lang:
-            self.by_lang[lang] = Words(lang, self.all, self.langs, self.hashes)
-        return self.by_lang[lang]
-
-    def add(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
-        told, at = text.translate(self.TABLE), 0
-        while at < len(told):
-            end = len(told)
-            if end - at > BYTES:
-                cut = told.find(b" ", at + BYTES)
-                end = cut if cut >= 0 else end
-            tokens = told[at:end].replace(b"\n", b" \n ").split(b" ")
-            at = end
-            ids = np.fromiter(map(self._words(lang).__getitem__, tokens), np.int64, len(tokens))
-            self._hold(ids[ids >= 0])
-            if self.size >= TOKENS or len(self.all) > WORDS:
-                yield from self.flush()
-        self._hold(np.zeros(1, np.int64))
-
-    def _hold(self, ids: np.ndarray) -> None:
-        self.held.append(ids)
-        self.size += len(ids)
-
-    def flush(self, last: bool = False) -> Iterator[pa.RecordBatch]:
-        """Counts the phrases that start in what is held, but for the last words, which wait."""
-        more = self.longest - 1
-        ids = np.concatenate([*self.held, np.zeros(more if last else 0, np.int64)])
-        starts = max(len(ids) - more, 0)
-        if starts:
-            yield from self.counted(self, ids, starts)
-        rest = ids[starts:]
-        if len(self.all) > WORDS:
-            waiting = [(self.langs[i], self.all[i]) if i else None for i in rest]
-            self._forget()
-            rest = np.array([self._words(w[0])[w[1]] if w else 0 for w in waiting], np.int64)
-        self.held, self.size = [rest], len(rest)
-
-    def levels(self, ids: np.ndarray, proposed: np.ndarray | None
-               ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    def __init__(self, lang: str, text: bytes, longest: int, last: bool):
+        tokens = pc.split_pattern(pa.array([text], pa.binary()), " ").flatten().dictionary_encode()
+        words = tokens.dictionary.to_pylist()
+        number = np.array([-1 if w == b"" else 0 if w == b"\n" else 1 for w in words], np.int64)
+        real = np.flatnonzero(number == 1)
+        number[real] = np.arange(1, len(real) + 1)
+        self.lang, self.longest = lang, longest
+        self.words = pa.concat_arrays([pa.array([b""]), tokens.dictionary.take(pa.array(real))])
+        start = lang.encode() + b"\0"
+        self.hashes = np.array([0, *[xxhash.xxh64_intdigest(start + words[i]) for i in real]], np.uint64)
+        ids = number[tokens.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        ids, more = ids[ids >= 0], longest - 1
+        # The last words wait for what follows, unless nothing does.
+        self.starts = len(ids) if last else max(len(ids) - more, 0)
+        waiting = ids[self.starts:]
+        self.rest = b" ".join(w if i else b"\n" for i, w in zip(waiting, self.words.take(pa.array(waiting)).to_pylist()))
+        self.ids = np.concatenate([ids, np.zeros(more if last else 0, np.int64)])
+
+    def levels(self, proposed: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each length: keys of all places, where a phrase starts, where it is proposed or border."""
-        hashes = np.array(self.hashes, np.uint64)
-        first, real = hashes[ids], ids > 0
+        ids = self.ids
+        first, real = self.hashes[ids], ids > 0
         keys, whole, border = first, real, real
         yield 1, keys, whole, border
         for k in range(2, self.longest + 1):
-            if proposed is None:
-                keys, whole = mixed(keys[:-1], first[k - 1:]), whole[:-1] & real[k - 1:]
-                border = whole
-            else:
-                held = (has(proposed, hashes)[ids] if k == 2 else at_places(proposed, keys, border)) & border
-                keys, whole = mixed(keys[:-1], first[k - 1:]), whole[:-1] & real[k - 1:]
-                border = held[:-1] & held[1:] & whole
+            if proposed is not None:
+                held = (has(proposed, self.hashes)[ids] if k == 2 else at_places(proposed, keys, border)) & border
+            keys, whole = mixed(keys[:-1], first[k - 1:]), whole[:-1] & real[k - 1:]
+            border = whole if proposed is None else held[:-1] & held[1:] & whole
             yield k, keys, whole, border
 
-    def distinct(self, ids: np.ndarray, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
+    def distinct(self, at: np.ndarray, k: int) -> tuple[list[np.ndarray], np.ndarray]:
         """The phrases of ``k`` words that start at these places: their words and counts."""
-        width = len(self.all).bit_length()
+        ids, width = self.ids, len(self.words).bit_length()
         if k * width < 63:
             code = ids[at]
             for j in range(1, k):
@@ -158,23 +110,50 @@ class Tally:
             return [code >> width * (k - 1 - j) & (1 << width) - 1 for j in range(k)], n
         code = ids[at]
         for j in range(1, k):
-            code = np.unique(code, return_inverse=True)[1] * len(self.all) + ids[at + j]
+            code = np.unique(code, return_inverse=True)[1] * len(self.words) + ids[at + j]
         _, where, n = np.unique(code, return_index=True, return_counts=True)
         return [ids[at[where] + j] for j in range(k)], n
 
 
+def parts(texts: Iterator[tuple[str, bytes]], longest: int) -> Iterator[Part]:
+    """Cuts a stream of texts by language into parts of a bounded size; every phrase starts in one."""
+    held: dict[str, list[bytes]] = {}
+    size = 0
+
+    def cut(last: bool) -> Iterator[Part]:
+        for lang in list(held):
+            part = Part(lang, b" ".join(held[lang]), longest, last)
+            if part.starts:
+                yield part
+            held[lang] = [part.rest]
+
+    for lang, text in texts:
+        told, at = text.translate(Part.TABLE).replace(b"\n", b" \n "), 0
+        while at < len(told):
+            end = told.find(b" ", at + BYTES)
+            end = len(told) if end < 0 else end
+            held.setdefault(lang, []).append(told[at:end])
+            size, at = size + end - at, end
+            if size >= BYTES:
+                yield from cut(False)
+                size = 0
+        held.setdefault(lang, []).append(b"\n")
+    yield from cut(True)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
 
-def streamed(texts: DataFrame, longest: int, counted: Callable, schema: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(longest, counted)
+def streamed(texts: DataFrame, longest: int, counted: Callable[[Part], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
         for batch in batches:
-            for part in slices(batch, 1):
-                for lang, text in zip(part.column(0).to_pylist(), text_bytes(part.column(1))):
-                    yield from tally.add(lang, text)
-        yield from tally.flush(last=True)
+            for piece in slices(batch, 1):
+                yield from zip(piece.column(0).to_pylist(), text_bytes(piece.column(1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts(rows(batches), longest):
+            yield from counted(part)
 
     return texts.mapInArrow(run, schema)
 
@@ -185,22 +164,58 @@ def in_parts(columns: list[pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBa
         yield whole.slice(i, ROWS)
 
 
-def key_counts(texts: DataFrame, longest: int, proposed: Broadcast | None) -> DataFrame:
-    """How often each key occurs: of all phrases, or of those proposed and their border."""
-    schema = arrow_schema(T._parse_datatype_string(KEYS))
+def frequent_keys(texts: DataFrame, longest: int, proposed: Broadcast | None, at_least: int) -> DataFrame:
+    """Keys that occur often enough: of all phrases, or of those proposed and their border.
 
-    def counted(tally: Tally, ids: np.ndarray, starts: int) -> Iterator[pa.RecordBatch]:
+    Keys and counts travel as sorted runs, one for each range of keys and part of a text, and are merged
+    range by range: a row for each key would cost several times as much to move.
+    """
+    schema, ranges = arrow_schema(T._parse_datatype_string(RUNS)), shuffle_partitions(texts.sparkSession) * RANGES
+
+    def counted(part: Part) -> Iterator[pa.RecordBatch]:
         bits = None if proposed is None else np.frombuffer(proposed.value, np.uint8)
-        for _, keys, _, border in tally.levels(ids, bits):
-            found, n = np.unique(keys[:starts][border[:starts]], return_counts=True)
-            yield from in_parts([pa.array(found.view(np.int64)), pa.array(n)], schema)
+        found, n = np.unique(np.concatenate([
+            keys[:part.starts][border[:part.starts]] for _, keys, _, border in part.levels(bits)]), return_counts=True)
+        # Keys are hashes: ranges of them are of about equal size.
+        ends = np.searchsorted(found, np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64))
+        cuts = [0, *ends.tolist(), len(found)]
+        yield from in_parts([
+            pa.array(np.arange(ranges)), pa.array([found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+            pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], schema)
+
+    def merged(runs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in runs])
+        n = np.concatenate([np.frombuffer(x, "<u4") for _, x in runs]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+        return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+
+        def done() -> pa.RecordBatch:
+            keys, n = merged(held)
+            return pa.RecordBatch.from_arrays([pa.array(keys[n >= at_least].view(np.int64))], names=["key"])
 
-    return streamed(texts, longest, counted, KEYS).groupBy("key").agg(F.sum("n").alias("n"))
+        for batch in batches:
+            for piece in slices(batch, 1):
+                for bucket, keys, n in zip(*[c.to_pylist() for c in piece.columns]):
+                    if bucket != at and held:
+                        yield done()
+                        held = []
+                    at = bucket
+                    held.append((keys, n))
+        if held:
+            yield done()
+
+    runs = streamed(texts, longest, counted, RUNS)
+    return runs.repartition(ranges // RANGES, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "key long")
 
 
 def filter_of(keys: DataFrame, most: int) -> bytes:
     """A Bloom filter of the keys. Its size is bounded, and with it what the driver gathers."""
-    keys = staged(keys.select("key"), "keys")
+    keys = staged(keys, "keys")
     wanted = max(BITS[0], min(most, keys.count() * BITS[2]))
     size = 1 << (wanted - 1).bit_length()
     size = size if size <= most else size // 2
@@ -219,29 +234,22 @@ def spelled_counts(texts: DataFrame, longest: int, proposed: Broadcast, frequent
     sum of all words as a phrase of no word."""
     schema = arrow_schema(T._parse_datatype_string(COUNTS))
 
-    def rows(tally: Tally, words: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        spelled = pa.array(tally.all, pa.binary())
-        phrase = pc.binary_join_element_wise(*[spelled.take(pa.array(w)) for w in words], b" ")
-        yield from in_parts([pa.array(tally.langs, pa.string()).take(pa.array(words[0])),
-                             pa.array(np.full(len(n), len(words))), phrase, pa.array(n)], schema)
-
-    def totals(tally: Tally, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        number, n = np.unique(ids[ids > 0], return_counts=True)
-        of = pa.table({"lang": pa.array(tally.langs).take(pa.array(number)), "n": n}).group_by("lang").aggregate([("n", "sum")])
-        yield from in_parts([of["lang"].combine_chunks(), pa.array([0] * len(of)), pa.array([""] * len(of)),
-                             of["n_sum"].combine_chunks()], schema)
+    def rows(part: Part, phrase: pa.Array, words: int, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from in_parts([pa.repeat(part.lang, len(n)), pa.array(np.full(len(n), words)), phrase, pa.array(n)], schema)
 
-    def counted(tally: Tally, ids: np.ndarray, starts: int) -> Iterator[pa.RecordBatch]:
+    def counted(part: Part) -> Iterator[pa.RecordBatch]:
         first, often = (np.frombuffer(b.value, np.uint8) for b in (proposed, frequent))
-        yield from totals(tally, ids[:starts])
+        all_words = np.count_nonzero(part.ids[:part.starts])
+        yield from rows(part, pa.array([""]), 0, np.array([all_words]))
         member = None
-        for k, keys, whole, border in tally.levels(ids, first):
-            parts = whole if member is None else member[:-1] & member[1:] & whole
+        for k, keys, whole, border in part.levels(first):
+            open_to = whole if member is None else member[:-1] & member[1:] & whole
             # A phrase the first pass has counted is known to be frequent or not; another one is open.
-            member = parts & (~border | at_places(often, keys, parts & border))
-            at = np.flatnonzero(member[:starts])
+            member = open_to & (~border | at_places(often, keys, open_to & border))
+            at = np.flatnonzero(member[:part.starts])
             if len(at):
-                yield from rows(tally, *tally.distinct(ids, at, k))
+                words, n = part.distinct(at, k)
+                yield from rows(part, pc.binary_join_element_wise(*[part.words.take(pa.array(w)) for w in words], b" "), k, n)
 
     return streamed(texts, longest, counted, COUNTS).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
 
@@ -262,8 +270,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     longest, send = max(longest, 2), docs.sparkSession.sparkContext.broadcast
     sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     often = max(2, round(at_least * share / 2))
-    proposed = send(filter_of(key_counts(sample, longest - 1, None).filter(F.col("n") >= often), most_bits))
-    frequent = send(filter_of(key_counts(texts, longest, proposed).filter(F.col("n") >= at_least), most_bits))
+    proposed = send(filter_of(frequent_keys(sample, longest - 1, None, often), most_bits))
+    frequent = send(filter_of(frequent_keys(texts, longest, proposed, at_least), most_bits))
     # The row of no words holds a language's size and stays whatever it is.
     return staged(spelled_counts(texts, longest, proposed, frequent).filter(
         (F.col("n") >= at_least) | (F.col("words") == 0)), "phrases")

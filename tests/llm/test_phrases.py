@@ -78,19 +78,18 @@ def test_full_filters_and_small_buffers_change_nothing(docs_of, monkeypatch):
     how = dict(longest=4, at_least=4, first=15, inside=70)
     monkeypatch.setattr(phrases, "BITS", (1 << 15, 1 << 28, 0))
     assert mined(docs_of, rows, **how) == want
-    monkeypatch.setattr(phrases, "TOKENS", 50)
-    monkeypatch.setattr(phrases, "WORDS", 6)
     monkeypatch.setattr(phrases, "BYTES", 40)
     assert mined(docs_of, rows, **how) == want
+    monkeypatch.setattr(phrases, "BYTES", 1)
+    assert mined(docs_of, rows, **how) == want
 
 
 def test_more_words_than_packed_codes_hold():
     import numpy as np
-    tally = phrases.Tally(3, None)
-    tally.all = [b""] * (1 << 22)
-    ids = np.random.default_rng(3).integers(1, 1 << 22, 4000).repeat(2)
-    at = np.arange(len(ids) - 2)
-    (a, b, c), n = tally.distinct(ids, at, 3)
+    part = phrases.Part("en", b"", 3, True)
+    part.words = [b""] * (1 << 22)
+    part.ids = ids = np.random.default_rng(3).integers(1, 1 << 22, 4000).repeat(2)
+    (a, b, c), n = part.distinct(np.arange(len(ids) - 2), 3)
     want = Counter(zip(ids, ids[1:], ids[2:]))
     assert {x: k for x, k in zip(zip(a, b, c), n)} == want
 
