@@ -73,13 +73,13 @@ def efectos(dias: np.ndarray, festivos: Sequence, visto: np.ndarray, periodo: fl
     return np.column_stack([np.sin(fase), np.cos(fase), marca]), len(nombres)
 
 
-def tendencia(dias: np.ndarray, visto: np.ndarray, rango: float) -> np.ndarray:
+def tendencia(dias: np.ndarray, visto: np.ndarray, rango: float, quiebres: int = QUIEBRES) -> np.ndarray:
     """Level, slope and the bends spread evenly over the first ``rango`` of the history."""
     ini, fin = dias[visto][0], dias[visto][-1]
     t = (dias - ini) / max(fin - ini, 1)
     tv = t[visto]
     corte = max(int(len(tv) * rango) - 1, 1)
-    k = min(QUIEBRES, corte)
+    k = min(quiebres, corte)
     s = tv[np.linspace(0, corte, k + 1).round().astype(int)[1:]]
     return np.column_stack([np.ones_like(t), t, np.clip(t[:, None] - s[None, :], 0, None)])
 
@@ -88,17 +88,18 @@ def _resolver(x: np.ndarray, y: np.ndarray, pena: np.ndarray, var: float) -> np.
     return np.linalg.solve(x.T @ x + np.diag(pena * var), x.T @ y)
 
 
-def ajustar_serie(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict
-                  ) -> tuple[np.ndarray, float]:
-    """Fitted values of all rows (rows with null y are forecast) and the residual spread."""
+def ajustar_serie(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict,
+                  quiebres: int = QUIEBRES, pena: float = 1.0) -> tuple[np.ndarray, float]:
+    """Fitted values of all rows (rows with null y are forecast) and the residual spread. ``pena`` scales
+    the penalty of every part; 0 is a plain least-squares fit."""
     visto = ~np.isnan(y)
     escala = max(np.abs(y[visto]).max(), 1e-9)
     v = y[visto] / escala
-    tend = tendencia(dias.astype(float), visto, p["changepoint_range"])
-    pena_t = np.r_[1 / 25.0, 1 / 25.0,
-                   np.full(tend.shape[1] - 2, 1 / p["changepoint_prior_scale"] ** 2)]
-    pena_e = np.r_[np.full(efec.shape[1] - n_fest, 1 / p["seasonality_prior_scale"] ** 2),
-                   np.full(n_fest, 1 / p["holidays_prior_scale"] ** 2)]
+    tend = tendencia(dias.astype(float), visto, p["changepoint_range"], quiebres)
+    pena_t = pena * np.r_[1 / 25.0, 1 / 25.0,
+                          np.full(tend.shape[1] - 2, 1 / p["changepoint_prior_scale"] ** 2)]
+    pena_e = pena * np.r_[np.full(efec.shape[1] - n_fest, 1 / p["seasonality_prior_scale"] ** 2),
+                          np.full(n_fest, 1 / p["holidays_prior_scale"] ** 2)]
     var = max(v.var(), 1e-6)
     if p["seasonality_mode"] == "additive":
         x, pena = np.column_stack([tend, efec]), np.r_[pena_t, pena_e]
@@ -139,11 +140,13 @@ def con_festivos(serie: DataFrame, semanas: DataFrame, *extra: str) -> DataFrame
 
 
 def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None = None,
-            periodo: float = PERIODO, orden: int = ORDEN, entero: bool = True) -> DataFrame:
+            periodo: float = PERIODO, orden: int = ORDEN, entero: bool = True, quiebres: int = QUIEBRES,
+            pena: float = 1.0) -> DataFrame:
     """Baseline yhat with its 80 % band for every row of ``serie``; rows with null y are forecast.
 
     ``parametros`` holds one row per product; without it the default settings are used. Results
-    are never negative and, with ``entero``, rounded up to whole units.
+    are never negative and, with ``entero``, rounded up to whole units. Without bends, season (order 0),
+    holidays and penalty it is the least-squares line.
     """
     d = con_festivos(serie, semanas)
     if parametros is None:
@@ -156,7 +159,7 @@ def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None =
         p = g.iloc[0][COLS_PARAMS].to_dict()
         dias, y = _dias(g["ds"]), g["y"].to_numpy(float)
         efec, n_fest = efectos(dias, g["festivos"], ~np.isnan(y), periodo, orden)
-        yhat, s = ajustar_serie(dias, y, efec, n_fest, p)
+        yhat, s = ajustar_serie(dias, y, efec, n_fest, p, quiebres, pena)
         return pd.DataFrame({"producto": g["producto"].to_numpy(), "ds": g["ds"].to_numpy(),
                              "yhat": yhat, "yhat_lower": yhat - Z80 * s,
                              "yhat_upper": yhat + Z80 * s})
@@ -168,7 +171,8 @@ def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None =
                           for c in ("yhat", "yhat_lower", "yhat_upper")})
 
 
-def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict]) -> DataFrame:
+def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict], orden: int = ORDEN,
+                   quiebres: int = QUIEBRES, pena: float = 1.0) -> DataFrame:
     """Error of every trial for every product: fitted on the rows with ``parte = 'train'``, scored
     on the active weeks of the rest. A trial that cannot be scored gets 9999.
 
@@ -183,13 +187,13 @@ def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict
         y, dias = g["y"].to_numpy(float), _dias(g["ds"])
         ent = (g["parte"] == "train").to_numpy()
         activa = ~ent & (y > 0)
-        efec, n_fest = efectos(dias, g["festivos"], ent)
+        efec, n_fest = efectos(dias, g["festivos"], ent, orden=orden)
         filas = []
         for p in lista:
             mae = FALLO
             if activa.any() and ent.sum() > 2:
                 try:
-                    yhat, _ = ajustar_serie(dias, np.where(ent, y, np.nan), efec, n_fest, p)
+                    yhat, _ = ajustar_serie(dias, np.where(ent, y, np.nan), efec, n_fest, p, quiebres, pena)
                     mae = float(np.abs(np.ceil(np.clip(yhat, 0, None)) - y)[activa].mean())
                 except np.linalg.LinAlgError:
                     mae = FALLO
@@ -200,11 +204,11 @@ def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict
         buscar, f"producto string, prueba int, {ESQUEMA_PARAMS}, mae double")
 
 
-def ts_base_anual(serie: DataFrame, semanas: DataFrame, futuras: int = 26) -> DataFrame:
+def ts_base_anual(serie: DataFrame, semanas: DataFrame, futuras: int = 26, orden: int = 10, **como) -> DataFrame:
     """Baseline of the exploratory variant: yearly season of order 10, half a year ahead, 0 where a
     week sold nothing. ``semanas`` must reach as far."""
     from despensa.operators.series import set_expandir, ts_cero
-    r = ts_base(set_expandir(serie, futuras), semanas, periodo=365.25, orden=10, entero=False)
+    r = ts_base(set_expandir(serie, futuras), semanas, periodo=365.25, orden=orden, entero=False, **como)
     return ts_cero(r.join(serie, ["producto", "ds"], "left"), F.col("y") == 0, ("yhat",))
 
 

@@ -2,26 +2,29 @@
 
 One gradient-boosted model is fitted over the weeks of all products; levels and residuals are put
 on each product's own scale first, so that a slow seller and a best seller can share trees. The
-fit itself is distributed and its number does not grow with the catalogue.
+fit itself is distributed and its number does not grow with the catalogue. What was fitted is a table of
+nodes (see ``operators.arboles``): searches, back-tests and the horizon are one plan each, however
+many fits they use.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterable, Sequence
 
 import numpy as np
-from pyspark import inheritable_thread_target
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from despensa.functions import metrics as m
+from despensa.operators.arboles import Ensamble, ajustar_todos, con_nodos, encoger, matriz
 from despensa.operators.horizon import percentil80
 from despensa.operators.series import FEATURES, con_posicion, flt_modelables, win_folds
-from despensa.soporte import carpeta_compartida, cortar
+from despensa.soporte import carpeta_compartida, cortar, enviar_por_valor
+
+enviar_por_valor(__name__)
 
 # ---- fixed values: search ranges ----
 ARBOLES = (100, 600)
@@ -29,24 +32,32 @@ PASO = (0.01, 0.25)
 PROFUNDIDAD = (2, 7)
 FRACCION = (0.5, 1.0)
 MINIMO_HOJA = (1, 15)
+ALFA = (0.0, 2.0)
+LAMBDA = (0.5, 5.0)
 # -------------------------------------
 
 NIVELES = ["yhat", "yhat_lower", "yhat_upper", "lag_1", "lag_2", "lag_4", "rolling_4", "rolling_8"]
 
 
 def pruebas_boost(n: int = 30, semilla: int = 42, arboles: tuple[int, int] = ARBOLES,
-                  profundidad: tuple[int, int] = PROFUNDIDAD) -> list[dict]:
-    """Seeded draws from the search ranges."""
+                  profundidad: tuple[int, int] = PROFUNDIDAD, cuentas: int = 3) -> list[dict]:
+    """Seeded draws from the search ranges. Each draw of the other parameters is tried with ``cuentas``
+    numbers of trees, for one fit scores all of them."""
     g = np.random.default_rng(semilla)
-    return [{
-        "prueba": i,
-        "arboles": int(g.integers(arboles[0], arboles[1] + 1)),
-        "paso": float(np.exp(g.uniform(*np.log(PASO)))),
-        "profundidad": int(g.integers(profundidad[0], profundidad[1] + 1)),
-        "muestra": float(g.uniform(*FRACCION)),
-        "columnas": float(g.uniform(*FRACCION)),
-        "minimo_hoja": int(g.integers(MINIMO_HOJA[0], MINIMO_HOJA[1] + 1)),
-    } for i in range(n)]
+    salida: list[dict] = []
+    while len(salida) < n:
+        otros = {
+            "paso": float(np.exp(g.uniform(*np.log(PASO)))),
+            "profundidad": int(g.integers(profundidad[0], profundidad[1] + 1)),
+            "muestra": float(g.uniform(*FRACCION)),
+            "columnas": float(g.uniform(*FRACCION)),
+            "minimo_hoja": int(g.integers(MINIMO_HOJA[0], MINIMO_HOJA[1] + 1)),
+            "alfa": float(g.uniform(*ALFA)),
+            "lambda": float(g.uniform(*LAMBDA)),
+        }
+        for c in sorted(int(x) for x in g.integers(arboles[0], arboles[1] + 1, cuentas)):
+            salida.append({"prueba": len(salida), "arboles": c, **otros})
+    return salida[:n]
 
 
 def preparar(marco: DataFrame, minimo: int = 25, parte: float = 0.80) -> DataFrame:
@@ -61,10 +72,15 @@ def preparar(marco: DataFrame, minimo: int = 25, parte: float = 0.80) -> DataFra
     return d.withColumn("escala", F.greatest(F.coalesce(media, F.lit(1.0)), F.lit(1.0)))
 
 
+def _entradas(features: Sequence[str], de=F.col) -> list[Column]:
+    """Model inputs: levels on the product's scale, missing ones as 0, as the source fills them."""
+    return [F.coalesce((de(c) / F.col("escala") if c in NIVELES else de(c)).cast("double"), F.lit(0.0))
+            for c in features]
+
+
 def _vector(df: DataFrame, features: Sequence[str], col: str) -> DataFrame:
-    """Model inputs as a vector: levels on the product's scale, missing ones as 0."""
-    e = {f"_x_{c}": F.coalesce((F.col(c) / F.col("escala") if c in NIVELES else F.col(c))
-                               .cast("double"), F.lit(0.0)) for c in features}
+    """Model inputs as a vector."""
+    e = dict(zip((f"_x_{c}" for c in features), _entradas(features)))
     d = df.withColumns(e)
     return VectorAssembler(inputCols=list(e), outputCol=col).transform(d).drop(*e)
 
@@ -92,41 +108,71 @@ def predecir(df: DataFrame, modelo: GBTRegressionModel, features: Sequence[str]
     ).drop("_f", "_p")
 
 
-def ajustes(spark, tareas: Sequence[Callable[[], GBTRegressionModel]], a_la_vez: int | None = None
-            ) -> list[GBTRegressionModel]:
-    """Runs independent fits side by side, as a cross-validator does: a single boosting is a chain
-    of small jobs that leaves most of the cluster idle. By default as many as the cluster has
-    task slots."""
-    if len(tareas) < 2:
-        return [f() for f in tareas]
-    a_la_vez = a_la_vez or max(1, spark.sparkContext.defaultParallelism)
-    with ThreadPool(min(a_la_vez, len(tareas))) as pool:
-        return pool.map(lambda f: inheritable_thread_target(spark)(f)(), tareas, chunksize=1)
+def _regular(prueba: dict) -> tuple[float, float]:
+    return prueba.get("alfa", 0.0), prueba.get("lambda", 0.0)
+
+
+def con_prediccion(filas: DataFrame, nodos: DataFrame, features: Sequence[str] = FEATURES,
+                   salida: str = "prediccion") -> DataFrame:
+    """``predecir`` by the fit that ``ajuste`` names in each row, out of the table of nodes."""
+    def paso(de: pa.Table, e: Ensamble, _: int) -> list:
+        return [pa.array(e.predecir(matriz(de.column("_x"))))]
+
+    d = con_nodos(filas.withColumn("_x", F.array(*_entradas(features))), nodos, paso, "_p double")
+    return d.withColumn(salida, F.greatest(
+        F.lit(0.0), F.coalesce("yhat", F.lit(0.0)) + F.col("_p") * F.col("escala"))).drop("_x", "_p")
+
+
+def _estructuras(pruebas: Sequence[dict]) -> list[list[dict]]:
+    """Trials that differ in the number of trees alone."""
+    grupos: dict[tuple, list[dict]] = {}
+    for p in pruebas:
+        grupos.setdefault(tuple(sorted((k, v) for k, v in p.items() if k not in ("prueba", "arboles"))), []).append(p)
+    return list(grupos.values())
 
 
-def ts_ajuste_boost(filas: DataFrame, pruebas: Sequence[dict], k: int = 3) -> DataFrame:
+def ts_ajuste_boost(filas: DataFrame, pruebas: Sequence[dict], k: int = 3, features: Sequence[str] = FEATURES
+                    ) -> DataFrame:
     """Error of every trial on expanding time folds of the training rows, per product.
 
-    The driver walks the trial list only; each fit and each score is a distributed job.
+    Trials that differ in the number of trees alone share one fit a fold, of the largest number: the
+    first trees of a boosting are the boosting of fewer trees. All trials and folds are scored by one plan.
     """
     d = cortar(win_folds(filas.filter(F.col("i") <= F.col("corte")).drop("i", "n"), k))
     pliegue = F.coalesce("pliegue", F.lit(0))
-    pares = [(p, f) for p in pruebas for f in range(1, k + 1)]
-    modelos = ajustes(d.sparkSession, [
-        lambda p=p, f=f: ts_boost(d.filter(pliegue < f), p) for p, f in pares])
-    puntos = [
-        predecir(d.filter(pliegue == f), modelo)
-        .groupBy("producto").agg(m.met_mae("y", "prediccion").alias("mae"))
-        .withColumn("prueba", F.lit(p["prueba"])) for (p, f), modelo in zip(pares, modelos)]
-    return cortar(reduce(DataFrame.unionByName, puntos).groupBy("producto", "prueba")
-                  .agg(F.avg("mae").alias("mae")))
-
-
-def ts_holdout(filas: DataFrame, prueba: dict, modelo: GBTRegressionModel | None = None,
-               features: Sequence[str] = FEATURES) -> DataFrame:
-    """Single fit on the first 80 %, predictions of every test row."""
-    modelo = modelo or ts_boost(filas.filter(F.col("i") <= F.col("corte")), prueba, features)
-    return predecir(filas.filter(F.col("i") > F.col("corte")), modelo, features).select(
+    grupos = _estructuras(pruebas)
+    pares = [(g * k + f - 1, max(grupo, key=lambda p: p["arboles"]), f)
+             for g, grupo in enumerate(grupos) for f in range(1, k + 1)]
+    nodos = ajustar_todos(d.sparkSession, [
+        (a, lambda p=p, f=f: ts_boost(d.filter(pliegue < f), p, features)) for a, p, f in pares])
+    nodos = encoger(nodos, {a: _regular(p) for a, p, _ in pares})
+    cuales = [([p["prueba"] for p in g], [p["arboles"] for p in g]) for g in grupos]
+
+    def puntos(de: pa.Table, e: Ensamble, ajuste: int) -> list:
+        numeros, cuentas = cuales[ajuste // k]
+        p = e.hasta(matriz(de.column("_x")), cuentas)
+        corr = de.column("escala").to_numpy().astype(float)[:, None] * p
+        return [pa.array([numeros] * len(p), pa.list_(pa.int32())), pa.array(list(corr), pa.list_(pa.float64()))]
+
+    escritas = d.filter("pliegue IS NOT NULL").select(
+        F.explode(F.array(*[(F.lit(g * k) + F.col("pliegue") - 1).cast("bigint") for g in range(len(grupos))])).alias("ajuste"),
+        "producto", "ds", "pliegue", "y", "yhat", "escala", F.array(*_entradas(features)).alias("_x"))
+    dichas = con_nodos(escritas, nodos, puntos, "pruebas array<int>, correccion array<double>").select(
+        "producto", "pliegue", "y", "yhat", F.inline(F.arrays_zip("pruebas", "correccion")))
+    dichas = dichas.withColumn("prediccion", F.greatest(F.lit(0.0), F.coalesce("yhat", F.lit(0.0)) + F.col("correccion")))
+    return cortar(dichas.groupBy("producto", F.col("pruebas").alias("prueba"), "pliegue")
+                  .agg(m.met_mae("y", "prediccion").alias("mae"))
+                  .groupBy("producto", "prueba").agg(F.avg("mae").alias("mae")))
+
+
+def ts_holdout(filas: DataFrame, prueba: dict | None = None, features: Sequence[str] = FEATURES,
+               nodos: DataFrame | None = None) -> DataFrame:
+    """Single fit on the first 80 %, predictions of every test row. ``nodos`` as in ``ts_wf_multi``."""
+    d = con_prueba(filas, prueba)
+    if nodos is None:
+        nodos = ajustes_wf(filas, [prueba], 1, features, {(prueba["prueba"], 0)})
+    d = d.filter(F.col("i") > F.col("corte")).withColumn("ajuste", _ajuste(F.lit(0)))
+    return con_prediccion(d, nodos, features).select(
         "producto", "ds", F.col("y").alias("real"), "prediccion", F.col("yhat").alias("prophet"))
 
 
@@ -158,94 +204,129 @@ def _antes(d: DataFrame, tramo: int, reajuste: int) -> DataFrame:
     return d.filter(F.col("i") <= F.col("corte") + F.lit(tramo * reajuste))
 
 
-def modelos_wf(filas: DataFrame, prueba: dict, reajuste: int) -> list[GBTRegressionModel]:
-    """All fits of a back-test side by side, and last the one over all rows.
+# Fits of a back-test by number: a trial's fits follow each other, 0 over all rows, then the stretches.
+POR_PRUEBA = 100_000
+
+
+def _ajuste(tramo: Column | int) -> Column:
+    """Number of the fit that predicts a stretch; -1 for the one over all rows."""
+    return (F.col("prueba").cast("bigint") * POR_PRUEBA + tramo + 1).cast("bigint")
 
-    The first is fitted on the training part alone, so it is the hold-out model too.
-    """
-    d, n = _tramos(filas, reajuste)
-    return ajustes(filas.sparkSession, [
-        *[lambda t=t: ts_boost(_antes(d, t, reajuste), prueba) for t in range(n)],
-        lambda: ts_boost(filas, prueba)])
 
+def con_prueba(filas: DataFrame, prueba: dict | None) -> DataFrame:
+    """Each row's trial; with ``prueba`` the same for all, else the rows name it themselves."""
+    return filas if prueba is None else filas.withColumn("prueba", F.lit(prueba["prueba"]))
 
-def ts_wf_paso1(filas: DataFrame, prueba: dict, reajuste: int = 1) -> DataFrame:
+
+def ajustes_wf(filas: DataFrame, pruebas: Sequence[dict], reajuste: int = 1, features: Sequence[str] = FEATURES,
+               cuales: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+    """Nodes of the fits of a back-test: for every trial one over all rows and one for each stretch of
+    ``reajuste`` test weeks, on the weeks before it. ``cuales`` names the pairs (trial, stretch) that
+    are needed; -1 stands for all rows. A fit takes the rows of all products, so products share it.
+    The fit of stretch 0 knows the training part alone: it is the hold-out model.
+    """
+    d, n = _tramos(filas, reajuste)
+    d = cortar(d)
+    por = {p["prueba"]: p for p in pruebas}
+    pares = sorted(set(cuales) if cuales is not None else {(p, t) for p in por for t in range(-1, n)})
+    nodos = ajustar_todos(d.sparkSession, [
+        (p * POR_PRUEBA + t + 1, lambda p=p, t=t: ts_boost(d if t < 0 else _antes(d, t, reajuste), por[p], features))
+        for p, t in pares])
+    return encoger(nodos, {p * POR_PRUEBA + t + 1: _regular(por[p]) for p, t in pares})
+
+
+def ajustes_usados(filas: DataFrame, reajuste: int, horizonte: int) -> set[tuple[int, int]]:
+    """Fits that hold-out, multi-step back-test and horizon of these rows ask for, as (trial, stretch):
+    at most one for each trial and test week."""
+    d, _ = _tramos(filas.filter(F.col("i") <= F.col("n") - horizonte + 1), reajuste)
+    usados = {tuple(r) for r in d.filter("tramo IS NOT NULL").select("prueba", "tramo").distinct().collect()}
+    todas = {r[0] for r in filas.select("prueba").distinct().collect()}
+    return usados | {(p, t) for p in todas for t in (-1, 0)}
+
+
+def ts_wf_paso1(filas: DataFrame, prueba: dict | None = None, reajuste: int = 1, features: Sequence[str] = FEATURES,
+                nodos: DataFrame | None = None) -> DataFrame:
     """Walk-forward: each test week is predicted by a model fitted on weeks before it.
 
     ``reajuste=1`` fits anew for every week; a larger number re-fits every that many weeks. Either
-    way every test week of every product is predicted. A baseline of 0 forces 0.
+    way every test week of every product is predicted. A baseline of 0 forces 0. ``nodos`` are those of
+    ``ajustes_wf``, fitted here if not given.
     """
-    d, n = _tramos(cortar(filas), reajuste)
-    modelos = ajustes(d.sparkSession, [
-        lambda t=t: ts_boost(_antes(d, t, reajuste), prueba) for t in range(n)])
-    partes = [predecir(d.filter(F.col("tramo") == t), x) for t, x in enumerate(modelos)]
-    return reduce(DataFrame.unionByName, partes).select(
+    d = cortar(con_prueba(filas, prueba))
+    d, n = _tramos(d, reajuste)
+    if nodos is None:
+        nodos = ajustes_wf(filas, [prueba], reajuste, features, {(prueba["prueba"], t) for t in range(n)})
+    d = con_prediccion(d.filter("tramo >= 0").withColumn("ajuste", _ajuste(F.col("tramo"))), nodos, features)
+    return d.select(
         "producto", "ds", F.col("y").alias("real"),
         F.when(F.col("yhat") == 0, 0.0).otherwise(F.col("prediccion")).alias("prediccion"),
         F.col("yhat").alias("prophet"))
 
 
-FIJAS = [c for c in FEATURES if not c.startswith(("lag_", "rolling_"))]
+def _fijas(features: Sequence[str]) -> list[str]:
+    return [c for c in features if not c.startswith(("lag_", "rolling_"))]
+
 
+def _fila(features: Sequence[str], yhat: str = "yhat") -> Column:
+    """What a step needs of its week: the inputs that do not come from the history, and the baseline."""
+    fijas = _fijas(features)
+    return F.struct(F.array(*_entradas(fijas)).alias("x") if fijas else F.array().cast("array<double>").alias("x"),
+                    F.coalesce(F.col(yhat).cast("double"), F.lit(0.0)).alias("yhat"))
 
-def _con_historia(df: DataFrame, hist: str = "_hist") -> DataFrame:
-    """Lag and rolling inputs out of the array of the last eight values."""
-    h = F.col(hist)
 
-    def ultimo(k: int):
-        return F.when(F.size(h) >= k, F.try_element_at(h, F.lit(-k)))
+def _de_historia(h: np.ndarray) -> dict[str, np.ndarray]:
+    """Lag and rolling inputs out of the last eight values, NaN where there are fewer."""
+    return {"lag_1": h[:, -1], "lag_2": h[:, -2], "lag_4": h[:, -4],
+            "rolling_4": h[:, -4:].mean(axis=1), "rolling_8": h.mean(axis=1)}
 
-    def media(k: int):
-        suma = F.aggregate(F.slice(h, -k, k), F.lit(0.0), lambda a, x: a + x)
-        return F.when(F.size(h) >= k, suma / k)
 
-    return df.withColumns({"lag_1": ultimo(1), "lag_2": ultimo(2), "lag_4": ultimo(4),
-                           "rolling_4": media(4), "rolling_8": media(8)})
+def _pasos(features: Sequence[str], horizonte: int):
+    """Predicts step after step, each prediction the newest value of the history of the next."""
+    fijas = _fijas(features)
 
+    def correr(de: pa.Table, e: Ensamble, _: int) -> list:
+        escala = de.column("escala").to_numpy().astype(float)
+        h = matriz(de.column("_hist"), 8)
+        salida = np.empty((len(escala), horizonte))
+        pasos = [de.column(f"_f{k}").combine_chunks() for k in range(1, horizonte + 1)]
+        for k, paso in enumerate(pasos):
+            x = dict(zip(fijas, matriz(paso.field("x"), len(fijas)).T)) if fijas else {}
+            # Levels on the product's scale; without enough history the input is 0.
+            x |= {c: np.nan_to_num(v / escala) for c, v in _de_historia(h).items()}
+            corr = e.predecir(np.column_stack([x[c] for c in features])) * escala
+            salida[:, k] = np.maximum(0.0, paso.field("yhat").to_numpy(zero_copy_only=False) + corr)
+            h = np.column_stack([h[:, 1:], salida[:, k]])
+        return [pa.array(list(salida), pa.list_(pa.float64()))]
 
-def _paso(df: DataFrame, modelo: GBTRegressionModel, h: int) -> DataFrame:
-    """Predicts step h from ``_f{h}`` (that week's calendar and baseline) and the history, then
-    appends the prediction to the history."""
-    d = df.select("*", *[F.col(f"_f{h}.{c}").alias(c) for c in FIJAS])
-    d = predecir(_con_historia(d), modelo, salida=f"p{h}")
-    d = d.withColumn("_hist", F.concat(F.slice("_hist", F.greatest(F.size("_hist") - 6, F.lit(1)),
-                                               F.lit(8)), F.array(f"p{h}")))
-    return d.drop(*FEATURES)
+    return correr
 
 
-def ts_wf_multi(filas: DataFrame, prueba: dict, horizonte: int = 4, reajuste: int = 1,
-                modelos: Sequence[GBTRegressionModel] | None = None) -> DataFrame:
+def ts_wf_multi(filas: DataFrame, prueba: dict | None = None, horizonte: int = 4, reajuste: int = 1,
+                features: Sequence[str] = FEATURES, nodos: DataFrame | None = None) -> DataFrame:
     """Multi-step back-test: from every origin in the test part predict h = 1..H, feeding
     predictions back as lags; one row per product, origin and step.
 
     The rows of the H steps come from window leads, the last eight actuals from a window frame:
-    no join. All windows run over one product's weeks.
+    no join. All windows run over one product's weeks. Origins meet the nodes of their fit once, for
+    all steps. ``nodos`` are those of ``ajustes_wf``, fitted here if not given.
     """
     w = Window.partitionBy("producto").orderBy("ds")
-    fila = F.struct(*FIJAS, "y", "ds")
-    base = cortar(filas)
+    base = cortar(con_prueba(filas, prueba))
     d = base.withColumns({
-        "_hist": F.collect_list("y").over(w.rowsBetween(-8, -1)),
-        **{f"_f{h}": F.lead(fila, h - 1).over(w) for h in range(1, horizonte + 1)},
-    }).select("producto", "ds", "i", "n", "corte", "escala", "_hist",
+        "_hist": F.collect_list(F.col("y").cast("double")).over(w.rowsBetween(-8, -1)),
+        **{f"_f{h}": F.lead(_fila(features), h - 1).over(w) for h in range(1, horizonte + 1)},
+        "_reales": F.array(*[F.struct(F.lead("ds", h - 1).over(w).alias("ds"), F.lead("y", h - 1).over(w).alias("real"))
+                             for h in range(1, horizonte + 1)]),
+    }).select("producto", "ds", "i", "n", "corte", "escala", "prueba", "_hist", "_reales",
               *[f"_f{h}" for h in range(1, horizonte + 1)])
-    origenes = cortar(d.filter((F.col("i") > F.col("corte"))
-                               & (F.col("i") <= F.col("n") - horizonte + 1)))
-    origenes, n = _tramos(origenes, reajuste)
-    if modelos is None:
-        modelos = ajustes(base.sparkSession, [
-            lambda t=t: ts_boost(_antes(base, t, reajuste), prueba) for t in range(n)])
-    partes = []
-    for t, modelo in enumerate(modelos[:n]):
-        x = origenes.filter(F.col("tramo") == t)
-        for h in range(1, horizonte + 1):
-            x = _paso(x, modelo, h)
-        partes.append(x)
-    todo = reduce(DataFrame.unionByName, partes)
-    return todo.select("producto", F.col("ds").alias("origen"), F.inline(F.array(*[
-        F.struct(F.lit(h).alias("h"), F.col(f"_f{h}.ds").alias("ds"),
-                 F.col(f"_f{h}.y").alias("real"), F.col(f"p{h}").alias("prediccion"))
-        for h in range(1, horizonte + 1)])))
+    d, n = _tramos(d.filter((F.col("i") > F.col("corte")) & (F.col("i") <= F.col("n") - horizonte + 1)), reajuste)
+    if nodos is None:
+        nodos = ajustes_wf(filas, [prueba], reajuste, features, {(prueba["prueba"], t) for t in range(n)})
+    d = d.withColumn("ajuste", _ajuste(F.col("tramo"))).drop("i", "n", "corte", "prueba", "tramo")
+    dichas = con_nodos(d, nodos, _pasos(features, horizonte), "_p array<double>")
+    return dichas.select("producto", F.col("ds").alias("origen"), F.posexplode(F.arrays_zip("_reales", "_p"))).select(
+        "producto", "origen", (F.col("pos") + 1).alias("h"), "col._reales.ds", "col._reales.real",
+        F.col("col._p").alias("prediccion"))
 
 
 def cuantiles_h(multi: DataFrame) -> DataFrame:
@@ -255,36 +336,44 @@ def cuantiles_h(multi: DataFrame) -> DataFrame:
         percentil80(e).alias("p80"))
 
 
-def ts_horizonte(historia: DataFrame, futuras: DataFrame, modelo: GBTRegressionModel,
-                 horizonte: int = 4) -> DataFrame:
+def ts_horizonte(historia: DataFrame, futuras: DataFrame, nodos: DataFrame, horizonte: int = 4,
+                 features: Sequence[str] = FEATURES, prueba: dict | None = None) -> DataFrame:
     """Recursive forecast of the next H weeks of every product.
 
-    ``historia`` (producto, ds, y, escala) gives the last eight values; ``futuras`` holds H rows
-    per product with calendar and baseline inputs. Both are grouped by product: eight and H values.
+    ``historia`` (producto, ds, y, escala, and the product's trial as prueba unless it is given) gives
+    the last eight values; ``futuras`` holds H rows per product with calendar and baseline inputs. Both
+    are grouped by product: eight and H values. ``nodos`` hold the fits over all rows (see ``ajustes_wf``).
     """
     u = Window.partitionBy("producto").orderBy(F.col("ds").desc())
-    hist = (historia.withColumn("_k", F.row_number().over(u)).filter(F.col("_k") <= 8)
+    hist = (con_prueba(historia, prueba).withColumn("_k", F.row_number().over(u)).filter(F.col("_k") <= 8)
             .groupBy("producto").agg(
-                F.transform(F.array_sort(F.collect_list(F.struct("ds", "y"))), lambda s: s["y"])
+                F.transform(F.array_sort(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y")))), lambda s: s["y"])
                 .alias("_hist"),
-                F.max("ds").alias("_ultima"), F.first("escala").alias("escala")))
+                F.first("escala").cast("double").alias("escala"), F.first("prueba").alias("prueba")))
     paso = F.row_number().over(Window.partitionBy("producto").orderBy("ds"))
-    fila = F.struct(*FIJAS, "ds")
-    fut = futuras.withColumn("_h", paso).groupBy("producto").agg(*[
-        F.max_by(fila, F.when(F.col("_h") == h, F.col("ds"))).alias(f"_f{h}")
-        for h in range(1, horizonte + 1)])
-    x = cortar(hist.join(fut, "producto"))
-    for h in range(1, horizonte + 1):
-        x = _paso(x, modelo, h)
-    return x.select("producto", F.inline(F.array(*[
-        F.struct(F.lit(h).alias("semana_offset"), F.col(f"_f{h}.ds").alias("fecha"),
-                 F.col(f"p{h}").alias("prediccion"), F.col(f"_f{h}.yhat").alias("prophet_solo"))
-        for h in range(1, horizonte + 1)])))
-
-
-def met_importancia(modelo: GBTRegressionModel, filas: DataFrame,
-                    features: Sequence[str] = FEATURES) -> DataFrame:
-    """Gain share of every input, largest first."""
-    pares = list(zip(features, (float(v) for v in modelo.featureImportances.toArray())))
-    return filas.sparkSession.createDataFrame(pares, "feature string, importancia double") \
-        .orderBy(F.col("importancia").desc(), "feature")
+    con_escala = futuras.drop("escala").join(hist.select("producto", "escala"), "producto")
+    fila = F.struct(_fila(features).alias("f"), "ds", F.col("yhat"))
+    fut = con_escala.withColumn("_h", paso).groupBy("producto").agg(*[
+        F.max_by(fila, F.when(F.col("_h") == h, F.col("ds"))).alias(f"_s{h}") for h in range(1, horizonte + 1)])
+    x = hist.join(fut, "producto").withColumns({
+        "ajuste": _ajuste(F.lit(-1)), **{f"_f{h}": F.col(f"_s{h}.f") for h in range(1, horizonte + 1)},
+        "_semanas": F.array(*[F.struct(F.col(f"_s{h}.ds").alias("fecha"), F.col(f"_s{h}.yhat").alias("prophet_solo"))
+                              for h in range(1, horizonte + 1)]),
+    }).drop("prueba", *[f"_s{h}" for h in range(1, horizonte + 1)])
+    x = x.filter(" AND ".join(f"_f{h} IS NOT NULL" for h in range(1, horizonte + 1)))
+    dichas = con_nodos(x, nodos, _pasos(features, horizonte), "_p array<double>")
+    return dichas.select("producto", F.posexplode(F.arrays_zip("_semanas", "_p"))).select(
+        "producto", (F.col("pos") + 1).alias("semana_offset"), "col._semanas.fecha", F.col("col._p").alias("prediccion"),
+        "col._semanas.prophet_solo")
+
+
+def met_importancia(nodos: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
+    """Importance of every input that some split uses, largest first: the mean gain of its splits,
+    beside their number, total gain and share. A split's gain is by how much it lowers the
+    squared error of its node's rows."""
+    nombre = F.element_at(F.array(*[F.lit(c) for c in features]), F.col("rasgo") + 1)
+    ganancia = F.col("n") * F.col("ganancia")
+    d = nodos.filter("rasgo >= 0").groupBy(nombre.alias("feature")).agg(
+        F.avg(ganancia).alias("importancia"), F.count(F.lit(1)).alias("usos"), F.sum(ganancia).alias("total"))
+    todo = Window.partitionBy(F.lit(1))
+    return d.withColumn("parte", F.col("total") / F.sum("total").over(todo)).orderBy(F.col("importancia").desc(), "feature")

@@ -78,14 +78,16 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
     if filas.isEmpty():
         return _sin_modelos(serie, set_union(cortas, _pocas(cuadro, o)))
 
-    # Each product is scored by the trial that suits it best; a trial is fitted once, over all
-    # products' weeks, and only trials that some product chose are.
+    # Each product is scored by the trial that suits it best. A trial is fitted over all products'
+    # weeks, once for each origin that some product of its own has, and no other.
     elegidas = cortar(bl.agg_mejor_prueba(bo.ts_ajuste_boost(filas, o.pruebas_boost)))
-    usadas = {r[0] for r in elegidas.select("prueba").distinct().collect()}
-    partes = [_con_prueba(filas, cuadro, elegidas, x, o) for x in o.pruebas_boost
-              if x["prueba"] in usadas]
-    test, anchos, h = (set_union(*x) for x in zip(*partes))
-    test = cortar(test)
+    suyas = cortar(filas.join(elegidas.select("producto", "prueba"), "producto"))
+    nodos = bo.ajustes_wf(filas, o.pruebas_boost, o.reajuste, cuales=bo.ajustes_usados(suyas, o.reajuste, o.horizonte))
+    test = cortar(bo.ts_holdout(suyas, nodos=nodos))
+    anchos = bo.cuantiles_h(bo.ts_wf_multi(suyas, None, o.horizonte, o.reajuste, nodos=nodos))
+    escala = suyas.groupBy("producto").agg(F.first("escala").alias("escala"), F.first("prueba").alias("prueba"))
+    historia = cuadro.filter("y IS NOT NULL").select("producto", "ds", "y").join(escala, "producto")
+    h = bo.ts_horizonte(historia, cuadro.filter("y IS NULL"), nodos, o.horizonte)
     medidas = bo.met_holdout(test).filter(F.col("n_test") > 0)
     h = (h.join(anchos, ["producto", "semana_offset"], "left")
          .join(medidas.select("producto", "std_residual"), "producto"))
@@ -109,20 +111,6 @@ def ts_orquestar(ventas: DataFrame, o: Opciones = Opciones()) -> dict[str, DataF
     }
 
 
-def _con_prueba(filas: DataFrame, cuadro: DataFrame, elegidas: DataFrame, prueba: dict, o: Opciones
-                ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Hold-out, multi-step widths and horizon of the products that chose a trial."""
-    suyos = elegidas.filter(F.col("prueba") == prueba["prueba"]).select("producto")
-    mias = cortar(filas.join(suyos, "producto", "left_semi"))
-    *pasos, final = bo.modelos_wf(filas, prueba, o.reajuste)
-    escala = mias.groupBy("producto").agg(F.first("escala").alias("escala"))
-    historia = cuadro.filter("y IS NOT NULL").select("producto", "ds", "y").join(escala, "producto")
-    futuras = cuadro.filter("y IS NULL").join(suyos, "producto", "left_semi")
-    return (bo.ts_holdout(mias, prueba, pasos[0]),
-            bo.cuantiles_h(bo.ts_wf_multi(mias, prueba, o.horizonte, o.reajuste, pasos)),
-            bo.ts_horizonte(historia, futuras, final, o.horizonte))
-
-
 def _sin_modelos(serie: DataFrame, errores: DataFrame) -> dict[str, DataFrame]:
     """Empty marts beside the reasons, when no product can be modelled."""
     vacios = {n: serie.sparkSession.createDataFrame([], e) for n, e in MARTS.items()}

@@ -1,5 +1,9 @@
-"""Model queries. They run on every product of the given tables and are compared by rows only,
-except those whose rule has an SQL form."""
+"""Model queries, on every product of the given tables.
+
+A fit has no SQL form, but special cases have: without bends, season, holidays and penalty the baseline
+is a least-squares line; one tree of depth one on one yes-or-no input is a mean per group. The
+queries of the operator ids run these cases through the same code as any other. Those named
+``_modelo`` run the full models and are compared by rows only."""
 
 from __future__ import annotations
 
@@ -48,19 +52,19 @@ def _(t):
     return bl.jn_busqueda(claves, bl.pruebas_base(20)).select("producto", "prueba", "semanas")
 
 
-@consulta("ts_base")
+@consulta("ts_base_modelo")
 def _(t):
     serie = _serie(t)
     return bl.ts_base(s.set_expandir(serie, 4), _semanas(t, serie))
 
 
-@consulta("ts_base_anual")
+@consulta("ts_base_anual_modelo")
 def _(t):
     serie = _serie(t)
     return bl.ts_base_anual(serie, _semanas(t, serie, 27))
 
 
-@consulta("ts_ajuste_base")
+@consulta("ts_ajuste_base_modelo")
 def _(t):
     serie = _serie(t)
     return bl.ts_ajuste_base(s.win_corte(serie), _semanas(t, serie), bl.pruebas_base(20))
@@ -82,7 +86,7 @@ def _(t):
     return bl.agg_mejor_prueba(pruebas)
 
 
-@consulta("ts_boost")
+@consulta("ts_boost_modelo")
 def _(t):
     filas = _filas(t)
     return bo.predecir(filas, bo.ts_boost(filas, PRUEBAS[0])).select(
@@ -90,7 +94,7 @@ def _(t):
 
 
 # One tree of depth one on one yes-or-no input is a mean per group, which SQL can follow.
-RAIZ = {"arboles": 1, "paso": 1.0, "profundidad": 1, "muestra": 1.0, "columnas": 1.0, "minimo_hoja": 1}
+RAIZ = {"prueba": 0, "arboles": 1, "paso": 1.0, "profundidad": 1, "muestra": 1.0, "columnas": 1.0, "minimo_hoja": 1}
 UNA = ["mes"]
 
 
@@ -109,57 +113,183 @@ SELECT *, CAST(floor(n * 0.8) AS INTEGER) AS corte FROM (
          COUNT(*) OVER (PARTITION BY producto) AS n FROM v_historial) x""", "v_historial")
 
 
-@consulta("ts_boost_grupos", """
+GRUPOS = """
 SELECT producto, ds, GREATEST(0, yhat + AVG(y - yhat) OVER (PARTITION BY par)) AS prediccion
-FROM v_dos_grupos""", dobles="prediccion:4")
+FROM v_dos_grupos"""
+GRUPOS_PRUEBA = """
+SELECT producto, ds, y AS "real", GREATEST(0, yhat + r) AS prediccion, yhat AS prophet
+FROM v_dos_grupos JOIN (SELECT par, AVG(y - yhat) AS r FROM v_dos_grupos WHERE i <= corte GROUP BY 1) m
+USING (par) WHERE i > corte"""
+
+
+@consulta("ts_boost_grupos", GRUPOS, dobles="prediccion:4")
+@consulta("ts_boost", GRUPOS, dobles="prediccion:4")
 def _(t):
     filas = _dos_grupos(t)
     return bo.predecir(filas, bo.ts_boost(filas, RAIZ, UNA), UNA).select("producto", "ds", "prediccion")
 
 
-@consulta("ts_holdout_grupos", """
-SELECT producto, ds, y AS "real", GREATEST(0, yhat + r) AS prediccion, yhat AS prophet
-FROM v_dos_grupos JOIN (SELECT par, AVG(y - yhat) AS r FROM v_dos_grupos WHERE i <= corte GROUP BY 1) m
-USING (par) WHERE i > corte""", dobles="prediccion:4 prophet:4")
+@consulta("ts_holdout_grupos", GRUPOS_PRUEBA, dobles="prediccion:4 prophet:4")
+@consulta("ts_holdout", GRUPOS_PRUEBA, dobles="prediccion:4 prophet:4")
+def _(t):
+    return bo.ts_holdout(_dos_grupos(t), RAIZ, UNA)
+
+
+# Mean residual of each group over the weeks known when a stretch of one test week starts.
+vista("v_sabido", """
+SELECT par, k, SUM(s) OVER (PARTITION BY par ORDER BY k) / SUM(c) OVER (PARTITION BY par ORDER BY k) AS r
+FROM (SELECT par, i - corte AS k, SUM(y - yhat) AS s, COUNT(*) AS c FROM v_dos_grupos GROUP BY 1, 2) x""", "v_dos_grupos")
+
+
+@consulta("ts_wf_paso1", """
+SELECT producto, ds, y AS "real", CASE WHEN yhat = 0 THEN 0 ELSE GREATEST(0, yhat + r) END AS prediccion,
+  yhat AS prophet
+FROM (SELECT *, i - corte - 1 AS antes FROM v_dos_grupos WHERE i > corte) d
+ASOF JOIN v_sabido s ON d.par = s.par AND d.antes >= s.k""", dobles="prediccion:4 prophet:4")
+def _(t):
+    return bo.ts_wf_paso1(_dos_grupos(t), RAIZ, 1, UNA)
+
+
+@consulta("ts_wf_multi", """
+SELECT producto, origen, h, ds, y AS "real", GREATEST(0, yhat + r) AS prediccion FROM (
+  SELECT o.producto, o.ds AS origen, CAST(d.i - o.i + 1 AS INTEGER) AS h, d.ds, d.y, d.yhat, d.par,
+    o.i - o.corte - 1 AS antes
+  FROM v_dos_grupos o JOIN v_dos_grupos d ON d.producto = o.producto AND d.i BETWEEN o.i AND o.i + 3
+  WHERE o.i > o.corte AND o.i <= o.n - 3) d
+ASOF JOIN v_sabido s ON d.par = s.par AND d.antes >= s.k""", dobles="prediccion:4")
+def _(t):
+    return bo.ts_wf_multi(_dos_grupos(t), RAIZ, 4, 1, UNA)
+
+
+@consulta("ts_horizonte", """
+SELECT producto, CAST(i - n + 4 AS INTEGER) AS semana_offset, ds + 28 AS fecha, GREATEST(0, yhat + r) AS prediccion,
+  yhat AS prophet_solo
+FROM v_dos_grupos d JOIN (SELECT par, AVG(y - yhat) AS r FROM v_dos_grupos GROUP BY 1) m
+  ON m.par = month(d.ds + 28) % 2
+WHERE i > n - 4 AND n >= 4""", dobles="prediccion:4 prophet_solo:4")
 def _(t):
     filas = _dos_grupos(t)
-    modelo = bo.ts_boost(filas.filter(F.col("i") <= F.col("corte")), RAIZ, UNA)
-    return bo.ts_holdout(filas, RAIZ, modelo, UNA)
+    futuras = filas.filter(F.col("i") > F.col("n") - 4).withColumn("ds", F.date_add("ds", 28)).withColumn(
+        "mes", (F.month("ds") % 2).cast("double"))
+    nodos = bo.ajustes_wf(filas, [RAIZ], 1, UNA, {(0, -1)})
+    return bo.ts_horizonte(filas.select("producto", "ds", "y", "escala"), futuras, nodos, 4, UNA, RAIZ)
+
+
+# A second tree finds nothing left, so both counts of trees score the same from one fit.
+@consulta("ts_ajuste_boost", """
+SELECT * FROM (
+WITH f AS (
+  SELECT *, CASE WHEN i > corte - 3 * (corte // 4) THEN (i - 1 - (corte - 3 * (corte // 4))) // (corte // 4) + 1 END AS pliegue
+  FROM v_dos_grupos WHERE i <= corte),
+m AS (
+  SELECT v.fold, par, AVG(y - yhat) AS r FROM f JOIN (VALUES (1), (2), (3)) v(fold)
+    ON coalesce(pliegue, 0) < v.fold GROUP BY 1, 2),
+e AS (
+  SELECT producto, pliegue, AVG(ABS(y - GREATEST(0, yhat + r))) AS mae FROM f JOIN m ON m.fold = pliegue AND m.par = f.par
+  GROUP BY 1, 2)
+SELECT producto, CAST(prueba AS INTEGER) AS prueba, AVG(mae) AS mae FROM e, (VALUES (0), (1)) p(prueba) GROUP BY 1, 2) z""",
+          dobles="mae:4")
+def _(t):
+    return bo.ts_ajuste_boost(_dos_grupos(t), [RAIZ, {**RAIZ, "prueba": 1, "arboles": 2}], 3, UNA)
 
 
-@consulta("met_importancia")
+@consulta("met_importancia", """
+SELECT 'mes' AS feature, g AS importancia, 1 AS usos, g AS total, 1.0::DOUBLE AS parte FROM (
+  SELECT SUM(n * r * r) - SUM(n * r) * SUM(n * r) / SUM(n) AS g FROM (
+    SELECT par, COUNT(*) AS n, AVG(y - yhat) AS r FROM v_dos_grupos GROUP BY 1) x) y""",
+          dobles="importancia:2 total:2")
 def _(t):
-    filas = _filas(t)
-    return bo.met_importancia(bo.ts_boost(filas, PRUEBAS[0]), filas)
+    return bo.met_importancia(bo.ajustes_wf(_dos_grupos(t), [RAIZ], 1, UNA, {(0, -1)}), UNA)
+
+
+# The baseline without bends, season, holidays and penalty.
+RECTA = {"orden": 0, "quiebres": 0, "pena": 0.0}
+vista("v_recta", """
+SELECT producto, a, b, sqrt(AVG((y - a - b * x) * (y - a - b * x))) AS s, MAX(ds) AS ultima FROM (
+  SELECT *, date_diff('day', DATE '1990-01-01', ds) AS x FROM v_abierta) d
+JOIN (SELECT producto, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM (
+  SELECT *, date_diff('day', DATE '1990-01-01', ds) AS x FROM v_abierta) d GROUP BY 1) r USING (producto)
+GROUP BY producto, a, b""", "v_abierta")
+FILAS_RECTA = """
+SELECT producto, ds, y, a + b * date_diff('day', DATE '1990-01-01', ds) AS f, s FROM (
+  SELECT producto, ds, y FROM v_abierta
+  UNION ALL SELECT producto, ultima + CAST(7 * k AS INTEGER), NULL FROM v_recta, range(1, {semanas} + 1) q(k)) d
+JOIN v_recta USING (producto)"""
+
+
+def _sin_festivos(t, serie, extra: int):
+    return _semanas(t, serie, extra).withColumn("festivos", F.array().cast("array<string>"))
+
+
+@consulta("ts_base", f"""
+SELECT producto, ds, GREATEST(0, f) AS yhat, GREATEST(0, f - {bl.Z80} * s) AS yhat_lower,
+  GREATEST(0, f + {bl.Z80} * s) AS yhat_upper FROM ({FILAS_RECTA.format(semanas=4)}) x""",
+          dobles="yhat yhat_lower yhat_upper")
+def _(t):
+    serie = _serie(t)
+    return bl.ts_base(s.set_expandir(serie, 4), _sin_festivos(t, serie, 5), entero=False, **RECTA)
+
+
+@consulta("ts_base_anual", f"""
+SELECT producto, ds, CASE WHEN y = 0 THEN 0 ELSE GREATEST(0, f) END AS yhat
+FROM ({FILAS_RECTA.format(semanas=26)}) x""", dobles="yhat")
+def _(t):
+    serie = _serie(t)
+    return bl.ts_base_anual(serie, _sin_festivos(t, serie, 27), **RECTA).select("producto", "ds", "yhat")
+
+
+@consulta("ts_ajuste_base", f"""
+SELECT * FROM (
+WITH d AS (
+  SELECT *, date_diff('day', DATE '1990-01-01', ds) AS x, ROW_NUMBER() OVER (PARTITION BY producto ORDER BY ds) AS i,
+    COUNT(*) OVER (PARTITION BY producto) AS n FROM v_abierta),
+r AS (
+  SELECT producto, regr_intercept(y, x) AS a, regr_slope(y, x) AS b, COUNT(*) AS c FROM d WHERE i <= floor(0.8 * n) GROUP BY 1),
+m AS (
+  SELECT producto, AVG(ABS(CEIL(GREATEST(0, round(a + b * x, 6))) - y)) FILTER (WHERE i > floor(0.8 * n) AND y > 0) AS mae
+  FROM d JOIN r USING (producto) GROUP BY 1)
+SELECT producto, CAST(k AS INTEGER) AS prueba, CASE WHEN c > 2 THEN coalesce(mae, {bl.FALLO}) ELSE {bl.FALLO} END AS mae
+FROM (SELECT DISTINCT producto FROM d) p LEFT JOIN r USING (producto) LEFT JOIN m USING (producto), range(0, 3) q(k)) z""",
+          dobles="mae")
+def _(t):
+    serie = _serie(t)
+    return bl.ts_ajuste_base(s.win_corte(serie), _sin_festivos(t, serie, 5), bl.pruebas_base(3), **RECTA).select(
+        "producto", "prueba", "mae")
+
+
+@consulta("met_importancia_modelo")
+def _(t):
+    return bo.met_importancia(bo.ajustes_wf(_filas(t), PRUEBAS[:1], cuales={(0, -1)}))
 
 
-@consulta("ts_ajuste_boost")
+@consulta("ts_ajuste_boost_modelo")
 def _(t):
     return bo.ts_ajuste_boost(_filas(t), PRUEBAS)
 
 
-@consulta("ts_holdout")
+@consulta("ts_holdout_modelo")
 def _(t):
     return bo.met_holdout(bo.ts_holdout(_filas(t), PRUEBAS[0]))
 
 
-@consulta("ts_wf_paso1")
+@consulta("ts_wf_paso1_modelo")
 def _(t):
     return bo.ts_wf_paso1(_filas(t), PRUEBAS[0], OPCIONES.reajuste)
 
 
-@consulta("ts_wf_multi")
+@consulta("ts_wf_multi_modelo")
 def _(t):
     return bo.cuantiles_h(bo.ts_wf_multi(_filas(t), PRUEBAS[0], 4, OPCIONES.reajuste))
 
 
-@consulta("ts_horizonte")
+@consulta("ts_horizonte_modelo")
 def _(t):
     cuadro, _ = marco(_serie(t), OPCIONES)
     filas = cortar(bo.preparar(cuadro))
     escala = filas.groupBy("producto").agg(F.first("escala").alias("escala"))
     historia = cuadro.filter("y IS NOT NULL").select("producto", "ds", "y").join(escala, "producto")
-    return bo.ts_horizonte(historia, cuadro.filter("y IS NULL"), bo.ts_boost(filas, PRUEBAS[0]))
+    nodos = bo.ajustes_wf(filas, PRUEBAS[:1], cuales={(0, -1)})
+    return bo.ts_horizonte(historia, cuadro.filter("y IS NULL"), nodos, prueba=PRUEBAS[0])
 
 
 @consulta("ts_orquestar")

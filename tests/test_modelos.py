@@ -113,8 +113,9 @@ def test_pasos(spark, filas):
 
 def test_horizonte(filas):
     modelo = bo.ts_boost(filas, PRUEBA)
+    nodos = bo.ajustes_wf(filas, [PRUEBA], cuales={(0, -1)})
     fut = filas.filter(F.col("i") > F.col("n") - 4).withColumn("ds", F.date_add("ds", 28))
-    h = bo.ts_horizonte(filas.select("producto", "ds", "y", "escala"), fut, modelo)
+    h = bo.ts_horizonte(filas.select("producto", "ds", "y", "escala"), fut, nodos, prueba=PRUEBA)
     r = h.orderBy("producto", "semana_offset").collect()
     assert [x["semana_offset"] for x in r] == [1, 2, 3, 4] * 2
     assert all(x["prediccion"] >= 0 for x in r)
