@@ -32,8 +32,8 @@ from despensa.llm.base import arrow_schema, shuffle_partitions, slices, staged,
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 # Bytes of text counted at a time and rows of a batch: bounds on a worker's memory.
 BYTES, ROWS = 3_000_000, 20_000
-# Ranges of keys that one task adds up one after the other.
-RANGES = 8
+# Keys and counts a task gathers before it adds up those that are the same.
+HELD = 64_000_000
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
 COUNTS = "lang string, words int, phrase string, n long"
@@ -167,10 +167,11 @@ def in_parts(columns: list[pa.Array], schema: pa.Schema) -> Iterator[pa.RecordBa
 def frequent_keys(texts: DataFrame, longest: int, proposed: Broadcast | None, at_least: int) -> DataFrame:
     """Keys that occur often enough: of all phrases, or of those proposed and their border.
 
-    Keys and counts travel as sorted runs, one for each range of keys and part of a text, and are merged
-    range by range: a row for each key would cost several times as much to move.
+    Keys and counts travel as sorted runs, at most one for each task that merges and part of a text: a row for
+    each key would cost several times as much to move. A merging task holds the distinct keys of its
+    share, so as elsewhere the number of shuffle partitions has to fit the data.
     """
-    schema, ranges = arrow_schema(T._parse_datatype_string(RUNS)), shuffle_partitions(texts.sparkSession) * RANGES
+    schema, ranges = arrow_schema(T._parse_datatype_string(RUNS)), shuffle_partitions(texts.sparkSession)
 
     def counted(part: Part) -> Iterator[pa.RecordBatch]:
         bits = None if proposed is None else np.frombuffer(proposed.value, np.uint8)
@@ -178,39 +179,33 @@ def frequent_keys(texts: DataFrame, longest: int, proposed: Broadcast | None, at
             keys[:part.starts][border[:part.starts]] for _, keys, _, border in part.levels(bits)]), return_counts=True)
         # Keys are hashes: ranges of them are of about equal size.
         ends = np.searchsorted(found, np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64))
-        cuts = [0, *ends.tolist(), len(found)]
+        cuts = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends.tolist()], [*ends.tolist(), len(found)])) if b > a]
         yield from in_parts([
-            pa.array(np.arange(ranges)), pa.array([found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            pa.array([n[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], schema)
+            pa.array([i for i, _, _ in cuts]), pa.array([found[a:b].tobytes() for _, a, b in cuts], pa.binary()),
+            pa.array([n[a:b].astype("<i8").tobytes() for _, a, b in cuts], pa.binary())], schema)
 
-    def merged(runs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k, _ in runs])
-        n = np.concatenate([np.frombuffer(x, "<u4") for _, x in runs]).astype(np.int64)
+    def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, n = (np.concatenate(x) for x in zip(*runs))
         order = np.argsort(keys, kind="stable")
         keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
-        return keys[first], np.add.reduceat(n, first) if len(first) else n
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return keys[first], np.add.reduceat(n, first)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, at = [], None
-
-        def done() -> pa.RecordBatch:
-            keys, n = merged(held)
-            return pa.RecordBatch.from_arrays([pa.array(keys[n >= at_least].view(np.int64))], names=["key"])
-
+        held, size = [], 0
         for batch in batches:
             for piece in slices(batch, 1):
-                for bucket, keys, n in zip(*[c.to_pylist() for c in piece.columns]):
-                    if bucket != at and held:
-                        yield done()
-                        held = []
-                    at = bucket
-                    held.append((keys, n))
+                for keys, n in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist()):
+                    held.append((np.frombuffer(keys, np.uint64), np.frombuffer(n, "<i8")))
+                    size += len(keys) + len(n)
+                if size > HELD:
+                    held, size = [merged(held)], 0
         if held:
-            yield done()
+            keys, n = merged(held)
+            yield pa.RecordBatch.from_arrays([pa.array(keys[n >= at_least].view(np.int64))], names=["key"])
 
-    runs = streamed(texts, longest, counted, RUNS)
-    return runs.repartition(ranges // RANGES, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "key long")
+    # All ranges of a task are added up together: its runs stay apart by their keys.
+    return streamed(texts, longest, counted, RUNS).repartition(ranges, "bucket").mapInArrow(merge, "key long")
 
 
 def filter_of(keys: DataFrame, most: int) -> bytes:
