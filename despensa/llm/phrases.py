@@ -31,9 +31,9 @@ from despensa.llm.base import arrow_schema, shuffle_partitions, slices, staged,
 
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 # Bytes of text counted at a time and rows of a batch: bounds on a worker's memory.
-BYTES, ROWS = 3_000_000, 20_000
-# Keys and counts a task gathers before it adds up those that are the same.
-HELD = 64_000_000
+BYTES, ROWS = 2_000_000, 20_000
+# Bytes of keys and counts a task gathers before it adds up those that are the same, in so many stretches.
+HELD, STRETCHES = 64_000_000, 16
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
 COUNTS = "lang string, words int, phrase string, n long"
@@ -182,26 +182,32 @@ def frequent_keys(texts: DataFrame, longest: int, proposed: Broadcast | None, at
         cuts = [(i, a, b) for i, (a, b) in enumerate(zip([0, *ends.tolist()], [*ends.tolist(), len(found)])) if b > a]
         yield from in_parts([
             pa.array([i for i, _, _ in cuts]), pa.array([found[a:b].tobytes() for _, a, b in cuts], pa.binary()),
-            pa.array([n[a:b].astype("<i8").tobytes() for _, a, b in cuts], pa.binary())], schema)
-
-    def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, n = (np.concatenate(x) for x in zip(*runs))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        return keys[first], np.add.reduceat(n, first)
+            pa.array([n[a:b].astype("<u4").tobytes() for _, a, b in cuts], pa.binary())], schema)
+
+    def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The runs as one, a stretch of keys at a time."""
+        longest_run = max((k for k, _ in runs), key=len)
+        bounds = longest_run[[len(longest_run) * i // STRETCHES for i in range(1, STRETCHES)]]
+        cuts = [[0, *np.searchsorted(k, bounds).tolist(), len(k)] for k, _ in runs]
+        for i in range(STRETCHES):
+            keys = np.concatenate([k[c[i]:c[i + 1]] for (k, _), c in zip(runs, cuts)])
+            if len(keys):
+                n = np.concatenate([x[c[i]:c[i + 1]] for (_, x), c in zip(runs, cuts)]).astype(np.int64)
+                order = np.argsort(keys, kind="stable")
+                keys = keys[order]
+                first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+                yield keys[first], np.add.reduceat(n[order], first)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for piece in slices(batch, 1):
                 for keys, n in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist()):
-                    held.append((np.frombuffer(keys, np.uint64), np.frombuffer(n, "<i8")))
+                    held.append((np.frombuffer(keys, np.uint64), np.frombuffer(n, "<u4")))
                     size += len(keys) + len(n)
                 if size > HELD:
-                    held, size = [merged(held)], 0
-        if held:
-            keys, n = merged(held)
+                    held, size = [tuple(np.concatenate(x) for x in zip(*merged(held)))], 0
+        for keys, n in merged(held) if held else ():
             yield pa.RecordBatch.from_arrays([pa.array(keys[n >= at_least].view(np.int64))], names=["key"])
 
     # All ranges of a task are added up together: its runs stay apart by their keys.

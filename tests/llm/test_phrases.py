@@ -81,6 +81,7 @@ def test_full_filters_and_small_buffers_change_nothing(docs_of, monkeypatch):
     monkeypatch.setattr(phrases, "BYTES", 40)
     assert mined(docs_of, rows, **how) == want
     monkeypatch.setattr(phrases, "BYTES", 1)
+    monkeypatch.setattr(phrases, "HELD", 100)
     assert mined(docs_of, rows, **how) == want
 
 
