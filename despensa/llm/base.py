@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
 import types
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +36,12 @@ def staged(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcasts a value of this package's own classes by value: executors need no copy of the package."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(held.value)
+
+
 def held_out(id_col: str, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text falls on ``remainder``; false for a null id."""
     c = F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % modulus == remainder
@@ -113,15 +122,24 @@ def byte_letters() -> dict[int, str]:
 
 
 class Known(dict):
-    """Remembers ``make(key)`` for keys that are not too long."""
+    """Remembers ``make(key)`` for keys that are not too long, ``most`` of them at least.
 
-    def __init__(self, make: Callable[[str], bytes], longest: int = 64):
+    When it is full what it holds becomes the older half, where a key that is asked for again is
+    found, and what was older goes: rare keys leave, frequent ones stay.
+    """
+
+    def __init__(self, make: Callable[[str], bytes], most: int, longest: int = 64):
         super().__init__()
-        self.make, self.longest = make, longest
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= self.longest:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
             self[key] = value
         return value
 
@@ -136,7 +154,8 @@ class WordIds:
     """
 
     LATIN = "[\t\n\r\x20-\x7e¡-ɏ]*"
-    KEEP = 500_000
+    KEEP = 400_000
+    BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -152,8 +171,8 @@ class WordIds:
                                  f"[^\\s{letters}{numbers}]+").findall
         self.latin = re.compile(self.LATIN).fullmatch
         self.alphabet = str.maketrans({chr(b): c for b, c in byte_letters().items()})
-        self.tokens, self.words, self.others = (
-            Known(self._token), Known(self._word), Known(self._other))
+        self.tokens, self.words, self.others, self.spelled = (
+            Known(make, self.KEEP) for make in (self._token, self._word, self._other, lambda w: self._word(w.decode())))
 
     @classmethod
     def shared(cls, path: str) -> WordIds:
@@ -165,23 +184,46 @@ class WordIds:
         return held[path]
 
     def _token(self, t: str) -> bytes:
-        spelled = t.encode().decode("latin-1").translate(self.alphabet)
-        return np.array([x.id for x in self.model.tokenize(spelled)], "<u4").tobytes()
+        # Printable ASCII stands for itself in the alphabet.
+        spelled = t if t.isascii() else t.encode().decode("latin-1").translate(self.alphabet)
+        return array("I", [x.id for x in self.model.tokenize(spelled)]).tobytes()
 
     def _word(self, w: str) -> bytes:
         parts = self.pieces(w)
-        return self.tokens[parts[0]] if len(parts) == 1 else b"".join(
-            map(self.tokens.__getitem__, parts))
+        # A word of one piece is remembered as a word, not once more as a piece.
+        return self._token(parts[0]) if len(parts) == 1 else b"".join(map(self.tokens.__getitem__, parts))
 
     def _other(self, w: str) -> bytes:
         if "<|" not in w and self.latin(w):
             return self._word(w.lower())
         return np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of several texts. Words are split and numbered by column, so each distinct word of
+        these texts is looked up once; other characters than those of the Latin blocks go text by text."""
+        out: list = [None] * len(texts)
+        easy = [i for i, t in enumerate(texts) if "<|" not in t and self.latin(t)]
+        for i in set(range(len(texts))).difference(easy):
+            out[i] = self(texts[i])
+        if not easy:
+            return out
+        # A text ends with a character that none of them holds.
+        joined = " \0 ".join([texts[i] for i in easy] + [""]).lower().encode().translate(self.BLANKS)
+        words = pa.compute.split_pattern(pa.array([joined], pa.binary()), " ").flatten().dictionary_encode()
+        spelled = words.dictionary.to_pylist()
+        known = [self.spelled[w] if w and w != b"\0" else b"" for w in spelled]
+        size = np.array([len(k) // 4 for k in known], np.int64)
+        ids, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(size) - size
+        at = words.indices.to_numpy()
+        number = size[at]
+        end = np.cumsum(number)
+        flat = ids[np.repeat(first[at] - end + number, number) + np.arange(int(end[-1]))]
+        stops = end[at == spelled.index(b"\0")]
+        for i, a, b in zip(easy, [0, *stops], stops):
+            out[i] = flat[a:b]
+        return out
+
     def __call__(self, text: str) -> np.ndarray:
-        for known in (self.tokens, self.words, self.others):
-            if len(known) > self.KEEP:
-                known.clear()
         if "<|" not in text and self.latin(text):
             ids = b"".join(map(self.words.__getitem__, text.lower().split()))
         else:

@@ -80,23 +80,36 @@ def write_whole(folder: str, name: str, parts: list[bytes]) -> None:
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
-    """row, id, n, ids (16-bit where they fit, else 32-bit) of every document; staged."""
+    """row, id, n, ids (16-bit where they fit, else 32-bit) of every document; staged.
+
+    Each task adds a row of what it has counted: n = -1, and the ids it saw and how often, one after
+    the other.
+    """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                        F.col(f"`{text_col}`").cast("string").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, row = WordIds.shared(path), TaskContext.get().partitionId() << 40
+        total = np.zeros(1 << 16, np.int64)
+
+        def table(rows, docs, count, packed) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rows), docs, pa.array(count, pa.int64()), pa.array(packed, pa.binary())],
+                names=["row", "id", "n", "ids"])
+
         for batch in batches:
             for part in slices(batch, 1):
-                packed, count = [], []
-                for t in part.column(1).to_pylist():
-                    ids = np.append(words(t or ""), np.uint32(end_id))
-                    count.append(len(ids))
-                    packed.append(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(count))), part.column(0), pa.array(count, pa.int64()),
-                     pa.array(packed, pa.binary())], names=["row", "id", "n", "ids"])
-                row += len(count)
+                found = [np.append(x, np.uint32(end_id)) for x in words.many([t or "" for t in part.column(1).to_pylist()])]
+                seen = np.bincount(np.concatenate(found))
+                if len(seen) > len(total):
+                    total = np.pad(total, (0, len(seen) - len(total)))
+                total[:len(seen)] += seen
+                yield table(np.arange(row, row + len(found)), part.column(0), [len(x) for x in found],
+                            [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in found])
+                row += len(found)
+        at = np.flatnonzero(total)
+        if len(at):
+            yield table([row], pa.array([None], pa.int64()), [-1], [np.concatenate([at, total[at]]).astype("<i8").tobytes()])
 
     return staged(rows.mapInArrow(run, "row long, id long, n long, ids binary"), "ids")
 
@@ -109,18 +122,12 @@ def ranking(ids: DataFrame) -> np.ndarray:
     """All ids that occur, most frequent first, ties by id. Bounded by the vocabulary."""
 
     def run(batches):
-        total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for b, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = plain(b, n)
-                top = int(found.max()) + 1
-                if top > len(total):
-                    total = np.pad(total, (0, top - len(total)))
-                total[:top] += np.bincount(found, minlength=top)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
+            for b in batch.column(0).to_pylist():
+                at, n = np.frombuffer(b, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n)], names=["id", "n"])
 
-    counts = ids.select("ids", "n").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = ids.filter("n < 0").select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     return np.array([r["id"] for r in counts.orderBy(F.col("n").desc(), "id").collect()], np.int64)
 
 
@@ -156,7 +163,7 @@ def write_ids(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id"
 
     Documents go in ascending order of id, null ids first, rows that share an id in the order the
     staged table holds them; an id that very many rows share is split over files. A null or empty
-    text is its end id. An empty table leaves no ``ids-`` file. Other columns are not read. The
+    text is its end id. ``id_col`` holds whole numbers. An empty table leaves no ``ids-`` file. Other columns are not read. The
     folder must be new and one that all executors see; by default it lies below the shared one.
     """
     spark = docs.sparkSession
@@ -183,7 +190,7 @@ def write_ids(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id"
                 names=["part", "docs", "numbers"])
 
     order = [F.asc_nulls_first("id"), F.asc("row")]
-    done = (ids.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+    done = (ids.filter("n > 0").repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
             .select("id", "n", "ids").mapInArrow(write, "part long, docs long, numbers long"))
     files, start = [], 0
     for r in sorted(done.collect()):  # one row per file
