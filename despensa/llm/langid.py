@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from despensa.llm.base import slices, text_map
+from despensa.llm.base import sent, slices, text_map
 
 BUCKETS = 4096
 # Multipliers of the n-gram hash: fixed odd numbers, any would do.
@@ -147,10 +147,10 @@ def sampled_counts(rows: DataFrame) -> DataFrame:
 def distances(labelled: DataFrame, model: Model) -> np.ndarray:
     """How many texts lie in each step of distance from the nearest centroid of their own language:
     language x band x STEPS. All rows count, whatever their length."""
-    held = labelled.sparkSession.sparkContext.broadcast(model)
+    held = sent(labelled.sparkSession, model)
 
     def run(batches):
-        m, letters = held.value, Letters()
+        m, letters = held(), Letters()
         at = {name: i for i, name in enumerate(m.languages)}
         own = [np.flatnonzero(m.owner == i) for i in range(len(m.languages))]
         seen = np.zeros((len(m.languages), BANDS, STEPS), np.int64)
@@ -249,20 +249,20 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", keep: list
             ) -> DataFrame:
     """Adds lang_pred string, score double (cosine with the nearest centroid), rejected boolean.
 
-    A null or letterless text, and every text when there is no model, is ``und`` with score 0 and
-    rejected. Ties go to the language first in alphabetical order. Whole texts are read. Repeated
+    A null or letterless text is ``und`` with score 0 and rejected. Without a model every text is
+    ``und`` with score 0, and only such texts are rejected: there is nothing to be far from. Ties go to the language first in alphabetical order. Whole texts are read. Repeated
     rows each get the same answer; an empty table gives no rows. Columns named like a result are
     replaced. ``keep`` names the columns that go along, all by default.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = sent(docs.sparkSession, model)
 
     def make():
-        m, letters = held.value, Letters()
+        m, letters = held(), Letters()
 
         def f(texts: list[str]):
             cps = [letters(x) for x in texts]
             if m is None:
-                return [["und"] * len(cps), [0.0] * len(cps), [True] * len(cps)]
+                return [["und"] * len(cps), [0.0] * len(cps), [not len(cp) for cp in cps]]
             names, scores, rejected = [], [], []
             for at in range(0, len(cps), 256):
                 some = cps[at:at + 256]
@@ -281,7 +281,8 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text", keep: list
 
 
 def keep_known(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows whose text is not rejected, with their columns as they were."""
+    """The rows whose text is not rejected, with their columns as they were. If no row has a language,
+    those that hold a letter."""
     model = fit(docs, text, lang)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)

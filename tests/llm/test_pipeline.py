@@ -1,7 +1,12 @@
 """The pipeline's stages on a small fixture, each against brute force on the same input."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_dedup import brute_components, brute_fingerprint, brute_lines
 from test_packing import check_packed
 from test_search import brute_hits
@@ -78,3 +83,49 @@ def test_empty_and_extra_columns(spark, folder, tmp_path):
         assert stage(spark, docs, folder).columns == docs.columns, name
         assert stage(spark, docs.limit(0), folder).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), folder).count() == 0
+
+
+def test_without_a_language_no_text_goes(spark, folder):
+    """Nothing is known to reject by: every text with a letter stays."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language_id(spark, docs, folder)
+    assert kept.columns == docs.columns
+    want = [r for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert kept.count() == len(want) > 200
+    told = langid.predict(docs, None, keep=["doc_id"]).collect()
+    assert {(r["lang_pred"], r["score"]) for r in told} == {("und", 0.0)}
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from despensa.session import crear_sesion
+spark = crear_sesion("local[4]", "apart", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
+spark.sparkContext.setLogLevel("OFF")
+
+def there(_):
+    import importlib.util
+    yield importlib.util.find_spec("despensa") is not None
+
+assert spark.sparkContext.parallelize([0], 1).mapPartitions(there).collect() == [False], "workers see the package"
+import __spark_entry__ as e
+bad = []
+for name, f in e.queries().items():
+    if (name.startswith("op") and name[2].isdigit()) or name in ("pipeline", "ts_base_modelo", "ts_wf_multi", "st_pacf"):
+        try:
+            print(name, f(spark, {sf!r}).count(), flush=True)
+        except Exception as x:
+            bad.append((name, str(x)[-300:]))
+assert not bad, bad
+print("all ran")
+"""
+
+
+def test_workers_need_no_copy_of_the_package(sf, tmp_path):
+    """Every operator and the pipeline, with worker processes that can't import the package."""
+    repo = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    script = tmp_path / "apart.py"
+    script.write_text(SCRIPT.format(repo=repo, sf=os.path.abspath(sf)))
+    r = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, text=True, capture_output=True, timeout=900)
+    assert r.returncode == 0 and "all ran" in r.stdout, r.stdout[-1500:] + r.stderr[-3000:]
