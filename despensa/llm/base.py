@@ -154,7 +154,7 @@ class WordIds:
     """
 
     LATIN = "[\t\n\r\x20-\x7e¡-ɏ]*"
-    KEEP = 400_000
+    KEEP = 600_000
     BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 
     def __init__(self, path: str):
