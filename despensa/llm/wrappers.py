@@ -12,8 +12,10 @@ from __future__ import annotations
 import html
 import json
 import re
+import sys
 import zlib
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,12 +23,15 @@ from pyspark.sql import functions as F
 
 from despensa.llm.base import slices, staged
 
-# About so many pages, and later wrappers, are aligned at once; elements nested deeper lie flat in the last one.
-AT_ONCE, DEEPEST = 16, 150
+# About so many pages, and later wrappers, are aligned at once. Elements nested deeper lie flat in the last
+# one, as blocks of its text: their text stays, their names say nothing.
+AT_ONCE, DEEPEST = 16, 400
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 50 * DEEPEST))
 # A text is a template's when so many pages, and this share of those with its place, have it there.
 SEVERAL, SHARE, TEXTS = 3, 0.8, 256
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<svg\b[^>]*/>"
     r"|<(script|style|noscript|template|textarea|svg|iframe|select)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S | re.I)
@@ -53,6 +58,9 @@ NO_ARTICLE_NAMES = set(
 ARTICLE_NAMES = {"main", "articlebody"}
 LISTS = set("ul ol menu dl div section table center details".split())
 NAMED_ANYHOW = {"html", "body", "main", "article"}  # never refused for a name
+PAGE_PARTS = set("article main nav header footer aside section h1".split())  # a form around them holds a page
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+LABELS = HEADINGS | set("li dt dd td th caption summary figcaption".split())
 
 
 def kind_of(tag: str, attributes: str) -> str:
@@ -73,11 +81,31 @@ def named_out(tag: str, attributes: str) -> bool:
                if (parts := [x for x in re.split(r"[^a-z]+", w) if x]))
 
 
-def parse(page: str) -> list:
-    """Token stream to balanced groups: (kind, children, named as no article) and texts, as str."""
+class Elements(dict):
+    """(tag, kind, whether it is named as no article) of a tag and its attributes, as written."""
+
+    FULL = 20_000
+
+    def __missing__(self, written: tuple[str, str]) -> tuple[str, str, bool]:
+        tag = written[0].lower()
+        told = (tag, kind_of(tag, written[1]), named_out(tag, written[1]))
+        if len(self) < self.FULL:
+            self[written] = told
+        return told
+
+
+def parse(page: str, known: Elements | None = None) -> list:
+    """Token stream to balanced groups: (kind, children, named as no article) and texts, as str.
+
+    A form around parts of a page is a plain division: whole pages often stand in one. Elements
+    without names that hold nothing but one of the same tag are left out.
+    """
+    known = Elements() if known is None else known
     root: list = []
     stack: list[tuple[str, list]] = [("", root)]
     flat: dict[str, int] = {}
+    forms: list[tuple[list, int, int]] = []  # where open ones stand: list, place, depth
+    around: list[tuple[list, int]] = []
     at = 0
 
     def close(names: set[str], until: set[str]) -> None:
@@ -90,39 +118,78 @@ def parse(page: str) -> list:
                 return
 
     for m in TOKEN.finditer(page):
-        if m.start() > at:
-            stack[-1][1].append(page[at:m.start()])
+        start = m.start()
+        if start > at:
+            stack[-1][1].append(page[at:start])
         at = m.end()
-        tag = (m[3] or "").lower()
-        if not tag:
+        written = m[3]
+        if not written:
             continue
         if m[2]:
+            tag = written.lower()
             if tag == "br":
                 stack[-1][1].append(("br", [], False))
             elif flat.get(tag):
                 flat[tag] -= 1
+                if tag in BLOCK:
+                    stack[-1][1].append(("hr", [], False))
             else:
                 close({tag}, {"table"} if tag not in BLOCK else set())
             continue
+        tag, kind, named = known[written, m[4]]
         if tag in ENDS_P:
             close({"p"}, {"table", "ul", "ol", "div", "section", "article", "blockquote"} - {tag})
         if tag in ENDS_OWN:
             close(ENDS_OWN[tag], HOLDS.get(tag, set()))
-        children: list = []
-        stack[-1][1].append((kind_of(tag, m[4]), children, named_out(tag, m[4])))
+        into = stack[-1][1]
+        if forms and tag in PAGE_PARTS:
+            around += [(x, i) for x, i, depth in forms if depth < len(stack) and stack[depth][1] is x[i][1]]
+            forms = []
         if tag not in VOID and not m[4].rstrip().endswith("/"):
-            if len(stack) < DEEPEST:
-                stack.append((tag, children))
-            else:
+            if len(stack) >= DEEPEST:
                 flat[tag] = flat.get(tag, 0) + 1
+                if tag in BLOCK:
+                    into.append(("hr", [], False))
+                continue
+            children: list = []
+            if tag == "form":
+                forms.append((into, len(into), len(stack)))
+            into.append((kind, children, named))
+            stack.append((tag, children))
+        else:
+            into.append((kind, [], named))
     if at < len(page):
         stack[-1][1].append(page[at:])
+    for into, i in around:
+        kind, children, named = into[i]
+        into[i] = ("div" + kind[4:], children, named)
+    unwrap(root)
     return root
 
 
+def unwrap(root: list) -> None:
+    """Puts the one child of an element without names in its place if it is of the same tag."""
+    open_lists = [root]
+    while open_lists:
+        children = open_lists.pop()
+        for i, c in enumerate(children):
+            if isinstance(c, str):
+                continue
+            # One element has a blank text on each side at most.
+            while 0 < len(c[1]) <= 3 and not c[2] and " " not in c[0]:
+                inner = [x for x in c[1] if not isinstance(x, str) or x.strip()]
+                if len(inner) != 1 or isinstance(inner[0], str) or inner[0][0].split(" ")[0] != c[0]:
+                    break
+                c = children[i] = inner[0]
+            if c[1]:
+                open_lists.append(c[1])
+
+
 def folded(keys: list[str], longest: int = 4) -> list[tuple[int, int, int]]:
     """Tandem repeats: (start, period, count), in order; count 1 has period 1."""
     out, i, n = [], 0, len(keys)
+    if n == 1:
+        return [(0, 1, 1)]
     while i < n:
         best = (i, 1, 1)
         for p in range(1, longest + 1):
@@ -147,10 +214,10 @@ def bare(children: list) -> list:
     return [c for c in children if not isinstance(c, str) or c.strip()]
 
 
-class Group(dict):
-    """k kind ('#' text, '(' a repeated run of several); kids; rep, opt; no: named as no article on every page;
-    text (a constant, or None for a slot); seen: pages that have it; texts: pages by text, the frequent ones;
-    chars, links: text and text in links below, summed over the pages seen."""
+# A group: k kind ('#' text, '(' a repeated run of several); kids; rep, opt; no: named as no article on every
+# page; text (a constant, or None for a slot); seen: pages that have it; texts: pages by text, the frequent
+# ones; chars, links: text and text in links below, summed over the pages seen.
+Group = dict
 
 
 def said(text: str) -> str:
@@ -161,6 +228,8 @@ def said(text: str) -> str:
 
 def counted(a: dict, b: dict, apart: bool) -> dict:
     """Pages by text of two groups, of the same page or of pages apart. Bounded: what is frequent stays."""
+    if not a and not b:
+        return {}
     out = dict(a)
     for t, n in b.items():
         out[t] = out.get(t, 0) + n if apart else max(out.get(t, 0), n)
@@ -172,18 +241,24 @@ def counted(a: dict, b: dict, apart: bool) -> dict:
 
 def group_of(child) -> Group:
     if isinstance(child, str):
-        return Group(k="#", kids=[], rep=False, opt=False, no=False, text=child.strip(), seen=1,
-                     texts={said(child): 1}, chars=len(child.strip()), links=0)
-    kids = groups_of(child[1])
-    chars = sum(g["chars"] for g in kids)
-    links = chars if child[0].split(" ")[0] == "a" else sum(g["links"] for g in kids)
-    return Group(k=child[0], kids=kids, rep=False, opt=False, no=child[2], text=None, seen=1, texts={},
-                 chars=chars, links=links)
+        return {"k": "#", "kids": [], "rep": False, "opt": False, "no": False, "text": child.strip(), "seen": 1,
+                "texts": {said(child): 1}, "chars": len(child.strip()), "links": 0}
+    kids = groups_of(child[1]) if child[1] else []
+    if len(kids) == 1:
+        chars, links = kids[0]["chars"], kids[0]["links"]
+    else:
+        chars, links = sum([g["chars"] for g in kids]), sum([g["links"] for g in kids])
+    if child[0] == "a" or child[0].startswith("a "):
+        links = chars
+    return {"k": child[0], "kids": kids, "rep": False, "opt": False, "no": child[2], "text": None, "seen": 1, "texts": {},
+            "chars": chars, "links": links}
 
 
 def groups_of(children: list) -> list[Group]:
     """The wrapper of one page's children: runs folded into repeated groups."""
     children = bare(children)
+    if len(children) == 1:
+        return [group_of(children[0])]
     out = []
     for start, period, count in folded([key(c) for c in children]):
         turns = []
@@ -200,25 +275,37 @@ def groups_of(children: list) -> list[Group]:
     return out
 
 
+# Cells of the table of a longest common subsequence; longer lists are cut in two first.
+CELLS = 1_000_000
+
+
+def cut_at(a: np.ndarray, b: np.ndarray) -> int:
+    """Where a longest common subsequence passes ``b`` half way through ``a``."""
+    def lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        row = np.zeros(len(y) + 1, np.int64)
+        for k in x:
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (y == k)))
+        return row
+
+    half = len(a) // 2
+    return int((lengths(a[:half], b) + lengths(a[half:][::-1], b[::-1])[::-1]).argmax())
+
+
 def pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """A longest common subsequence of two lists of kinds. Lists too long for the table are matched
-    in order, each kind with its next place."""
+    """A longest common subsequence of two lists of kinds, in memory that grows with their lengths."""
     if a == b:
         return [(i, i) for i in range(len(a))]
     n, m = len(a), len(b)
-    if n * m > 1_000_000:
-        places: dict[str, list[int]] = {}
-        for j in range(m - 1, -1, -1):
-            places.setdefault(b[j], []).append(j)
-        out, last = [], -1
-        for i, k in enumerate(a):
-            rest = places.get(k, [])
-            while rest and rest[-1] <= last:
-                rest.pop()
-            if rest:
-                last = rest.pop()
-                out.append((i, last))
-        return out
+    if n * m > CELLS and n > 1:
+        number = {k: i for i, k in enumerate(dict.fromkeys([*a, *b]))}
+        j = cut_at(np.array([number[k] for k in a]), np.array([number[k] for k in b], np.int64))
+        half = n // 2
+        return pairs(a[:half], b[:j]) + [(half + x, j + y) for x, y in pairs(a[half:], b[j:])]
+    if n == 1 or m == 1:
+        one, rest = (a[0], b) if n == 1 else (b[0], a)
+        if one not in rest:
+            return []
+        return [(0, rest.index(one))] if n == 1 else [(rest.index(one), 0)]
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
@@ -237,16 +324,18 @@ def pairs(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 def joined(a: Group, b: Group, apart: bool = True) -> Group:
     """One group for two of a kind, of the same page or of pages apart."""
-    return Group(k=a["k"], kids=aligned(a["kids"], b["kids"], apart), rep=a["rep"] or b["rep"],
-                 opt=a["opt"] or b["opt"], no=a["no"] and b["no"], text=a["text"] if a["text"] == b["text"] else None,
-                 seen=a["seen"] + b["seen"] if apart else max(a["seen"], b["seen"]),
-                 texts=counted(a["texts"], b["texts"], apart),
-                 chars=a["chars"] + b["chars"], links=a["links"] + b["links"])
+    return {"k": a["k"], "kids": aligned(a["kids"], b["kids"], apart), "rep": a["rep"] or b["rep"],
+            "opt": a["opt"] or b["opt"], "no": a["no"] and b["no"], "text": a["text"] if a["text"] == b["text"] else None,
+            "seen": a["seen"] + b["seen"] if apart else max(a["seen"], b["seen"]),
+            "texts": counted(a["texts"], b["texts"], apart),
+            "chars": a["chars"] + b["chars"], "links": a["links"] + b["links"]}
 
 
 def aligned(a: list[Group], b: list[Group], apart: bool = True) -> list[Group]:
     """One list of groups for two: matches joined, the rest optional; new neighbours of one kind
     become a repeated group."""
+    if not a and not b:
+        return []
     out: list[Group] = []
 
     def add(g: Group, optional: bool) -> None:
@@ -383,36 +472,53 @@ def matched(children: list, wrapper: list[Group]) -> list:
 
 
 class Blocks:
-    """Collects text; a block ends where a block element begins or ends. One that holds nothing but
-    a template's texts is left out."""
+    """Collects text; a block ends where a block element begins or ends.
+
+    Of blocks that hold nothing but texts the pages share, those before the first and after the last of
+    the page's own go, and between them paragraphs: headings, list items, cells and what leads into a list
+    stay with what they stand beside.
+    """
 
     def __init__(self):
         self.done, self.part, self.own = [], [], False
+        self.held: list[tuple[str, bool, str]] = []  # text, the page's own, tag of the block
+        self.tag = ""
 
-    def end(self) -> None:
+    def end(self, tag: str = "") -> None:
         if self.part:
             text = " ".join(html.unescape("".join(self.part)).split())
-            if text and self.own:
-                self.done.append(text)
-        self.part, self.own = [], False
-
-    def take(self, children: list, wrapper: list[Group] | tuple = ()) -> None:
+            if text:
+                self.held.append((text, self.own, self.tag))
+        self.part, self.own, self.tag = [], False, tag
+
+    def whole(self) -> None:
+        """Ends what was collected for one part of the page."""
+        self.end()
+        own = [i for i, (_, mine, _) in enumerate(self.held) if mine]
+        if own:
+            tags = [tag for _, _, tag in self.held] + [""]
+            self.done += [text for i, (text, mine, tag) in enumerate(self.held) if mine or own[0] < i < own[-1] and (
+                tag in LABELS or tags[i + 1] in ("li", "dt", "td"))]
+        self.held = []
+
+    def take(self, children: list, wrapper: list[Group] | tuple = (), head: bool = True) -> None:
+        """``head``: an element named header belongs to what is taken."""
         for c, g in matched(children, wrapper) if wrapper else ((c, None) for c in children):
             if isinstance(c, str):
                 self.part.append(c)
-                if c.strip() and not (g and g.get("drop") and said(c) in g["drop"]):
+                if not self.own and c.strip() and not (g and g.get("drop") and said(c) in g["drop"]):
                     self.own = True
                 continue
             tag = c[0].split(" ")[0]
-            if refused(c[0], c[2]) or g and g.get("off"):
+            if (c[2] or tag in NO_ARTICLE) and not (head and not c[2] and tag in ("header", "hgroup")) or g and g.get("off"):
                 self.end()
                 continue
             if tag == "br":
                 self.part.append(" ")
                 continue
             if tag in BLOCK:
-                self.end()
-            self.take(c[1], g["kids"] if g else ())
+                self.end(tag)
+            self.take(c[1], g["kids"] if g else (), head)
             if tag in BLOCK:
                 self.end()
 
@@ -429,8 +535,8 @@ def extract(children: list, wrapper: list[Group], out: Blocks, missed: list | No
             continue
         if g.get("main"):
             out.end()
-            out.take(c[1], g["kids"])
-            out.end()
+            out.take(c[1], g["kids"], c[0].split(" ")[0] in ("article", "main"))
+            out.whole()
             found = True
         elif extract(c[1], g["kids"], out, missed):
             found = True
@@ -438,23 +544,24 @@ def extract(children: list, wrapper: list[Group], out: Blocks, missed: list | No
 
 
 def unnamed(children: list) -> list:
-    """The same groups, none refused for its names."""
-    return [c if isinstance(c, str) else (c[0], unnamed(c[1]), False) for c in children]
+    """The same groups, none refused for its names or as a form."""
+    return [c if isinstance(c, str) else ("div" if c[0].split(" ")[0] == "form" else c[0], unnamed(c[1]), False)
+            for c in children]
 
 
-def main_text(page: str, wrapper: list[Group]) -> str:
+def main_text(page: str, wrapper: list[Group], known: Elements | None = None) -> str:
     """The page's main text. A page that has no text where its host's wrapper looks is a wrapper
     of its own, then one whose names say nothing; one without any element is text as it is. A page
     whose main text lies by itself in groups that the wrapper doesn't have is its own wrapper, too."""
-    tree = parse(page)
+    tree = parse(page, known)
     out, missed = Blocks(), []
     extract(tree, wrapper, out, missed)
     if out.done and missed:
         own, rest = Blocks(), Blocks()
         extract(tree, mark(groups_of(tree)), own)
         for c in missed:
-            rest.take([c])
-            rest.end()
+            rest.take([c], (), False)
+            rest.whole()
         if not set(rest.done).isdisjoint(own.done):
             return "\n".join(own.done)
     if out.done:
@@ -464,8 +571,8 @@ def main_text(page: str, wrapper: list[Group]) -> str:
         if out.done:
             return "\n".join(out.done)
     if not found:
-        out.take(tree)
-        out.end()
+        out.take(tree, (), False)
+        out.whole()
     return "\n".join(out.done)
 
 
@@ -485,9 +592,10 @@ def wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", at_
                         ).filter("html IS NOT NULL").withColumn("h", F.xxhash64("html"))
 
     def shrink(batches):
+        elements = Elements()
         for batch in batches:
             for part in slices(batch, 1):
-                made = [packed(groups_of(parse(x))) for x in part.column(1).to_pylist()]
+                made = [packed(groups_of(parse(x, elements))) for x in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(made, pa.binary())], names=["host", "h", "w"])
 
@@ -537,6 +645,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     def run(batches):
         known: dict[str, list] = {}
+        elements = Elements()
         for batch in batches:
             for part in slices(batch, 2):
                 texts = []
@@ -545,7 +654,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                         if len(known) > 5000:
                             known.clear()
                         known[name] = json.loads(w) if w else []
-                    texts.append(main_text(page or "", known[name]))
+                    texts.append(main_text(page or "", known[name], elements))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
