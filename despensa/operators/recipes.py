@@ -33,17 +33,36 @@ def recetas_de_hojas(hojas: DataFrame) -> DataFrame:
         F.struct("hoja", "fila").alias("orden"))
 
 
-def _largos(df: DataFrame, texto: str = "texto") -> Column:
-    """The lengths that texts have, as a literal: never more than the longest has characters."""
-    return F.array(*[F.lit(r[0]) for r in df.select(F.length(texto)).distinct().orderBy(F.lit(1)).collect()])
+# Characters of a gram. Texts shorter than that are found by their own exact list.
+GRAMA = 3
 
 
-def _trozos(c: Column, largos: Column) -> Column:
-    """Distinct substrings of the given lengths: only those can equal a text of the other side."""
+def _trozos(c: Column, desde: int, hasta: int) -> Column:
+    """Distinct substrings of ``desde`` to ``hasta`` characters: as many as the text is long for each length."""
     n = F.length(c)
-    return F.array_distinct(F.flatten(F.transform(
-        F.filter(largos, lambda k: k <= n),
-        lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, k)))))
+
+    def de(k: int) -> Column:
+        trozos = F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substr(c, i, F.lit(k)))
+        return F.when(n >= k, trozos).otherwise(F.array().cast("array<string>"))
+
+    return F.array_distinct(F.flatten(F.array(*[de(k) for k in range(desde, hasta + 1)])))
+
+
+def _dentro(patrones: DataFrame, textos: DataFrame) -> DataFrame:
+    """(texto, patron) for every pattern of at least GRAMA characters inside a text; both sides distinct.
+
+    The grams of the texts are an index. A pattern is looked up by the gram of its own that fewest
+    texts hold, and only the texts found there are searched. One with a gram that no text holds is nowhere.
+    """
+    indice = textos.select("texto", F.explode(_trozos(F.col("texto"), GRAMA, GRAMA)).alias("grama"))
+    frecuencia = indice.groupBy("grama").agg(F.count(F.lit(1)).alias("n"))
+    elegida = (
+        patrones.select(F.col("texto").alias("patron"), F.explode(_trozos(F.col("texto"), GRAMA, GRAMA)).alias("grama"))
+        .join(frecuencia, "grama", "left")
+        .groupBy("patron").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "grama")).alias("m"))
+        .filter("m.n > 0").select("patron", "m.grama")
+    )
+    return indice.join(elegida, "grama").filter(F.contains("texto", "patron")).select("texto", "patron")
 
 
 def jn_receta(recetas: DataFrame, nombres: DataFrame, nombre: str = "producto",
@@ -51,9 +70,9 @@ def jn_receta(recetas: DataFrame, nombres: DataFrame, nombre: str = "producto",
     """Best dish of each sale name, null if none: exact on the ordered spellings first, then one
     text inside the other, first spelling and first dish winning.
 
-    Containment is made an equality: the substrings of the longer text meet the shorter one. Every
-    join below is on unique keys (each text keeps only its first dish), so hot words cannot
-    multiply pairs.
+    Texts of three characters or more are found by the rarest gram of the inner one, shorter ones among
+    the substrings of one and two characters: the work is linear in the length of a text. Each text
+    keeps only its first dish before pairs meet spellings, so hot words cannot multiply them.
     """
     platos = (
         recetas.filter(F.col("plato").isNotNull())
@@ -66,21 +85,22 @@ def jn_receta(recetas: DataFrame, nombres: DataFrame, nombre: str = "producto",
         nombre, F.posexplode(cln_variantes(cln_venta(nombre))).alias("pos", "texto")
     ).filter(F.length("texto") > 0)
     variantes = cortar(variantes)
-    exacto = variantes.join(platos, "texto").select(
-        nombre, F.struct(F.lit(1).alias("etapa"), "pos", "p").alias("m"))
-    dentro = (
-        variantes.select(nombre, "pos", F.explode(_trozos(F.col("texto"), _largos(platos))).alias("texto"))
-        .join(platos, "texto")
-        .groupBy(nombre).agg(F.min(F.struct(F.lit(2).alias("etapa"), "pos", "p")).alias("m"))
-    )
-    partes = (
-        platos.select(F.explode(_trozos(F.col("texto"), _largos(variantes))).alias("texto"), "p")
-        .groupBy("texto").agg(F.min("p").alias("p"))
-    )
-    fuera = variantes.join(partes, "texto").select(
-        nombre, F.struct(F.lit(2).alias("etapa"), "pos", "p").alias("m"))
-    mejor = (exacto.unionByName(dentro).unionByName(fuera)
-             .groupBy(nombre).agg(F.min("m").alias("m")))
+    textos = cortar(variantes.select("texto").distinct())
+    corto = F.length("texto") < GRAMA
+    mejor_plato = F.min("p").alias("p")
+    # First dish inside, or around, each spelling; a spelling has at most one row from each of the four.
+    dentro = _dentro(platos.filter(~corto), textos).join(
+        platos.withColumnRenamed("texto", "patron"), "patron").groupBy("texto").agg(mejor_plato)
+    dentro_cortos = textos.select("texto", F.explode(_trozos(F.col("texto"), 1, GRAMA - 1)).alias("patron")).join(
+        platos.filter(corto).withColumnRenamed("texto", "patron"), "patron").groupBy("texto").agg(mejor_plato)
+    fuera = _dentro(textos.filter(~corto), platos.select("texto")).join(platos, "texto").groupBy("patron").agg(
+        mejor_plato).withColumnRenamed("patron", "texto")
+    fuera_cortos = platos.select(F.explode(_trozos(F.col("texto"), 1, GRAMA - 1)).alias("texto"), "p").groupBy("texto").agg(
+        mejor_plato).join(textos.filter(corto), "texto", "left_semi")
+    contenidos = dentro.unionByName(dentro_cortos).unionByName(fuera).unionByName(fuera_cortos)
+    hallados = platos.select("texto", F.lit(1).alias("etapa"), "p").unionByName(
+        contenidos.select("texto", F.lit(2).alias("etapa"), "p"))
+    mejor = variantes.join(hallados, "texto").groupBy(nombre).agg(F.min(F.struct("etapa", "pos", "p")).alias("m"))
     return (nombres.select(nombre).filter(F.col(nombre).isNotNull()).distinct()
             .join(mejor, nombre, "left").select(nombre, F.col("m.p.plato").alias("plato")))
 

@@ -12,8 +12,11 @@ from despensa.functions.dates import fec_lunes, fec_periodos
 from despensa.functions.text import cat_plato
 from despensa.operators import filters as f
 from despensa.operators import panel as p
+from despensa.operators import recuentos as rc
+from despensa.operators.joins import set_union
 from despensa.plans.bindings import vista
 from despensa.plans.registro import consulta
+from despensa.soporte import cortar
 
 # Dish-type rules over the words of the test tables' product names; the order decides, since
 # "small ring" meets the first and the third rule.
@@ -422,3 +425,37 @@ def _(t):
         m.met_mae("real", "prediccion").alias("mae"), m.met_smape("real", "prediccion", 1.0).alias("smape"),
         m.met_sesgo("real", "prediccion").alias("sesgo"))
     return por.agg(*[F.avg(c).alias(c) for c in ("mae", "smape", "sesgo")])
+
+
+# ---- stored days: any stretch of dates without the ledger ----
+
+TRAMOS_SQL = "(VALUES " + ", ".join(
+    f"('{n}', DATE '{a}', DATE '{b}')" for n, a, b in (
+        ("todo", "1990-01-01", "2010-01-01"), ("un dia", "1997-03-03", "1997-03-03"), ("trimestre", "1997-04-01", "1997-06-30"),
+        ("nada", "2009-01-01", "2009-12-31"))) + ") r(tramo, desde, hasta)"
+TRAMOS = {"todo": (None, None), "un dia": ("1997-03-03", "1997-03-03"), "trimestre": ("1997-04-01", "1997-06-30"),
+          "nada": ("2009-01-01", "2009-12-31")}
+
+
+@consulta("agg_recuento", f"""
+SELECT tramo, dim, valor, Ingresos, Unidades, Facturas FROM (
+  SELECT tramo, 'TipoPlato' AS dim, TipoPlato AS valor, SUM(Total) AS Ingresos, SUM(Cantidad) AS Unidades,
+    COUNT(DISTINCT Consecutivo) AS Facturas
+  FROM v_panel JOIN {TRAMOS_SQL} ON Fecha BETWEEN desde AND hasta GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT tramo, 'dia', CAST(isodow(Fecha) - 1 AS VARCHAR), SUM(Total), SUM(Cantidad), COUNT(DISTINCT Consecutivo)
+  FROM v_panel JOIN {TRAMOS_SQL} ON Fecha BETWEEN desde AND hasta GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT tramo, 'kpi', NULL, SUM(Total), SUM(Cantidad), COUNT(DISTINCT Consecutivo)
+  FROM v_panel JOIN {TRAMOS_SQL} ON Fecha BETWEEN desde AND hasta GROUP BY 1, 2) x""",
+          dobles="Ingresos:2 Unidades")
+def _(t):
+    v = cortar(_panel(t))
+    dias = cortar(rc.agg_recuento(v, rc.numerar(v), "TipoPlato"))
+    partes = []
+    for tramo, (a, b) in TRAMOS.items():
+        for dim, valor in (("TipoPlato", F.col("TipoPlato")), ("dia", F.weekday("Fecha").cast("string")),
+                           ("kpi", F.lit(None).cast("string"))):
+            partes.append(rc.recuento(dias, valor.alias("valor"), desde=a, hasta=b).select(
+                F.lit(tramo).alias("tramo"), F.lit(dim).alias("dim"), "valor", "Ingresos", "Unidades", "Facturas"))
+    return set_union(*partes)

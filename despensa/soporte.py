@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +24,9 @@ def enviar_por_valor(modulo: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[modulo])
 
 
+enviar_por_valor(__name__)
+
+
 def carpeta_compartida(spark: SparkSession) -> str:
     """Folder for checkpoints and written tables, as the cluster names it.
 
@@ -127,50 +132,83 @@ def acumular(df: DataFrame, metrica: str, nombre: str, acum: str = "acum", pos:
     )
 
 
-def percentiles_exactos(df: DataFrame, cols: list[str], p: float, margen: float = 0.0002
-                        ) -> list[float | None]:
+# Digits of a percentile's key and how many passes find all of them: 65,536 counters a pass.
+DIGITO, PASADAS = 16, 4
+
+
+def _clave(x: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned numbers of the same order."""
+    b = np.asarray(x, np.float64).view(np.uint64)
+    signo = np.uint64(1 << 63)
+    return np.where(b & signo, ~b, b | signo)
+
+
+def _valor(clave: int) -> float:
+    """The double of a key."""
+    signo = 1 << 63
+    return float(np.array([clave ^ signo if clave & signo else ~clave & (1 << 64) - 1], np.uint64).view(np.float64)[0])
+
+
+def _contar(df: DataFrame, cols: list[str], prefijos: list[tuple[int, int]], pasada: int) -> dict[int, np.ndarray]:
+    """How often each next digit follows a prefix (column, digits so far). A task keeps 65,536 counters a
+    prefix and no value; as many short rows reach the driver."""
+    baja = np.uint64(64 - DIGITO * (pasada + 1))
+    n = 1 << DIGITO
+
+    def tarea(partes):
+        cuentas = np.zeros((len(prefijos), n), np.int64)
+        for parte in partes:
+            for k, (c, prefijo) in enumerate(prefijos):
+                col = parte.column(c)
+                x = _clave(col.filter(col.is_valid()).to_numpy(zero_copy_only=False)) >> baja
+                if pasada:
+                    x = x[x >> np.uint64(DIGITO) == np.uint64(prefijo)]
+                cuentas[k] += np.bincount((x & np.uint64(n - 1)).astype(np.int64), minlength=n)
+        k, digito = np.nonzero(cuentas)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v.astype(np.int64)) for v in (k, digito, cuentas[k, digito])], names=["k", "digito", "n"])
+
+    d = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    t = d.mapInArrow(tarea, "k long, digito long, n long").groupBy("k", "digito").agg(F.sum("n").alias("n")).toArrow()
+    salida = {k: np.zeros(n, np.int64) for k in range(len(prefijos))}
+    for k, digito, m in zip(*(t.column(c).to_pylist() for c in ("k", "digito", "n"))):
+        salida[k][digito] = m
+    return salida
+
+
+def percentiles_exactos(df: DataFrame, cols: list[str], p: float) -> list[float | None]:
     """Exact, linearly interpolated percentile of whole columns.
 
-    The built-in exact percentile keeps every distinct value in one task. Here an approximate pass
-    brackets the wanted rank; only the values inside the bracket are counted one by one, and of
-    those outside the nearest on each side. Reads the columns twice: pass a stored table.
+    The built-in exact percentile keeps every distinct value in one task. Here the wanted ranks are found
+    digit by digit: each pass counts the next 16 bits of the values that begin like the one wanted, so
+    four passes find it, whatever the values and however often one repeats. No task holds values.
+    Reads the columns four times: pass a stored table.
     """
-    puntos = [max(0.0, p - margen), min(1.0, p + margen)]
-    tramos = df.agg(*[F.percentile_approx(F.col(c).cast("double"), puntos, 100_000)
-                      for c in cols]).first()
-    # (column, -1 below / 0 inside / 1 above its bracket, value)
-    filas = []
-    for k, (c, tramo) in enumerate(zip(cols, tramos)):
-        if tramo is not None:
-            x = F.col(c).cast("double")
-            zona = F.when(x < tramo[0], -1).when(x > tramo[1], 1).when(x.isNotNull(), 0)
-            filas.append(F.struct(F.lit(k).alias("k"), zona.alias("zona"), x.alias("x")))
-    if not filas:
-        return [None] * len(cols)
-    w = Window.partitionBy("k").orderBy("zona", "v")
-    rango = (F.col("todos") - 1) * F.lit(p)
-    zona = F.col("zona")
-    hallados = (
-        df.select(F.inline(F.array(*filas))).filter("zona IS NOT NULL")
-        .groupBy("k", "zona", F.when(zona == 0, F.col("x")).alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-        .withColumn("hasta", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("todos", F.sum("n").over(Window.partitionBy("k")))
-        # Ranks whose value a row knows: all inside, the last one below, the first one above.
-        .withColumn("r0", F.when(zona == -1, F.col("hasta") - 1).otherwise(F.col("hasta") - F.col("n")))
-        .withColumn("r1", F.when(zona == 1, F.col("hasta") - F.col("n")).otherwise(F.col("hasta") - 1))
-        .withColumn("x", F.when(zona == -1, F.col("mx")).otherwise(F.col("mn")))
-        .groupBy("k").agg(
-            F.max(F.when(F.floor(rango).between(F.col("r0"), F.col("r1")), F.col("x"))).alias("a"),
-            F.max(F.when(F.ceil(rango).between(F.col("r0"), F.col("r1")), F.col("x"))).alias("b"),
-            F.first(rango - F.floor(rango)).alias("f"),
-        ).collect()  # one row per column
-    )
-    por = {r["k"]: r for r in hallados}
-    if any(r["a"] is None or r["b"] is None for r in hallados):
-        return percentiles_exactos(df, cols, p, margen * 8)
-    return [por[k]["a"] + (por[k]["b"] - por[k]["a"]) * por[k]["f"] if k in por else None
-            for k in range(len(cols))]
+    buscados: dict[tuple[int, int], tuple[int, int]] = {}  # (column, which rank) -> (prefix, rank within it)
+    fraccion: dict[int, float] = {}
+    for pasada in range(PASADAS):
+        lista = sorted({(c, pre) for (c, _), (pre, _) in buscados.items()}) if pasada else [(c, 0) for c in range(len(cols))]
+        cuentas = {x: v for x, v in zip(lista, _contar(df, cols, lista, pasada).values())}
+        if not pasada:
+            for c in range(len(cols)):
+                n = int(cuentas[c, 0].sum())
+                if n:
+                    rango = (n - 1) * p
+                    fraccion[c] = rango - math.floor(rango)
+                    buscados |= {(c, 0): (0, math.floor(rango)), (c, 1): (0, math.ceil(rango))}
+        for x, (prefijo, rango) in buscados.items():
+            hasta = np.cumsum(cuentas[x[0], prefijo])
+            digito = int(np.searchsorted(hasta, rango, side="right"))
+            antes = int(hasta[digito - 1]) if digito else 0
+            buscados[x] = (prefijo << DIGITO | digito, rango - antes)
+
+    def de(c: int) -> float | None:
+        if c not in fraccion:
+            return None
+        a, b = (_valor(buscados[c, i][0]) for i in (0, 1))
+        return a if a == b else a + (b - a) * fraccion[c]
+
+    return [de(c) for c in range(len(cols))]
 
 
 def dimension(spark: SparkSession, **columnas: tuple[pa.DataType, list]) -> DataFrame:

@@ -1,13 +1,14 @@
 """Distributed ranking, percentiles and fills against brute force, on skewed data."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
 import pytest
 from despensa.operators import segment as sg
 from despensa.operators.ordered import win_bfill, win_ffill
-from despensa.soporte import acumular, percentiles_exactos
+from despensa.soporte import _contar, acumular, percentiles_exactos
 from pyspark.sql import functions as F
 
 
@@ -41,6 +42,30 @@ def test_percentiles(spark, n, p):
     assert (b is None) if not nb else abs(b - np.percentile(nb, 100 * p)) < 1e-9
 
 
+def test_percentiles_de_todo_orden(spark):
+    """Signs, infinities, tiny and huge values, ties at the rank, a value that holds most rows."""
+    g = random.Random(5)
+    x = [g.choice([0.0, -0.0, 1e-300, -1e-300, 5e-324, 1e300, -1e300, 7.25]) * g.choice([1, 1, g.random()]) for _ in range(900)]
+    x += [7.25] * 2000 + [float("inf"), float("-inf")]
+    d = spark.createDataFrame([(v, None) for v in x], "a double, b double").repartition(7)
+    for p in (0.0, 0.1, 0.333, 0.5, 0.9):
+        a, b = percentiles_exactos(d, ["a", "b"], p)
+        orden, lugar = sorted(x), (len(x) - 1) * p
+        bajo, alto = orden[math.floor(lugar)], orden[math.ceil(lugar)]
+        assert b is None and (a == bajo if bajo == alto else math.isclose(a, bajo + (alto - bajo) * (lugar % 1), rel_tol=1e-12))
+    assert percentiles_exactos(d.limit(0), ["a"], 0.5) == [None]
+    enteros = spark.range(1001).select((F.col("id") % 10).alias("n"))
+    assert percentiles_exactos(enteros, ["n"], 0.5) == [float(np.percentile([i % 10 for i in range(1001)], 50))]
+
+
+def test_percentil_sin_valores_en_una_tarea(spark):
+    """What moves is counters: at most 65,536 a task and column, however many rows and values."""
+    d = spark.range(0, 300_000, 1, 3).select(F.rand(3).alias("x"))
+    filas = [sum(int((v > 0).sum()) for v in _contar(d, ["x"], [(0, 0)], 0).values())]
+    assert filas[0] < 2000  # the first digit: sign, exponent and four bits
+    assert "Window" not in d._jdf.queryExecution().toString()
+
+
 def test_pareto(spark):
     d = spark.createDataFrame(datos(), "Nombre string, m double")
     p = sg.win_pareto(d, "m")
