@@ -59,11 +59,11 @@ def recuento(dias: DataFrame, *dims: Column | str, desde: dt.date | str | None =
     # First the bitmaps of a value that cover the same invoices, then their counts: both are summed before
     # they move.
     juntos = d.groupBy(*por, "cubo").agg(
-        F.bitmap_or_agg("bits").alias("bits"), F.sum("Ingresos").alias("i"), F.sum("Unidades").alias("u"),
-        F.sum("Lineas").alias("n"))
+        F.bitmap_or_agg("bits").alias("bits"), F.sum("Ingresos").alias("_i"), F.sum("Unidades").alias("_u"),
+        F.sum("Lineas").alias("_n"))
     nombres = juntos.columns[:len(por)]
     return juntos.groupBy(*[F.col(f"`{c}`") for c in nombres]).agg(
-        F.sum("i").alias("Ingresos"), F.sum("u").alias("Unidades"), F.sum("n").alias("Lineas"),
+        F.sum("_i").alias("Ingresos"), F.sum("_u").alias("Unidades"), F.sum("_n").alias("Lineas"),
         F.coalesce(F.sum(F.when(F.col("cubo").isNotNull(), F.bitmap_count("bits"))), F.lit(0)).alias("Facturas"))
 
 
