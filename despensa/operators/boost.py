@@ -222,17 +222,28 @@ def ajustes_wf(filas: DataFrame, pruebas: Sequence[dict], reajuste: int = 1, fea
                cuales: Iterable[tuple[int, int]] | None = None) -> DataFrame:
     """Nodes of the fits of a back-test: for every trial one over all rows and one for each stretch of
     ``reajuste`` test weeks, on the weeks before it. ``cuales`` names the pairs (trial, stretch) that
-    are needed; -1 stands for all rows. A fit takes the rows of all products, so products share it.
+    are needed; -1 stands for all rows. A fit takes the rows of all products, so products share it, as do
+    trials that differ in the number of trees alone.
     The fit of stretch 0 knows the training part alone: it is the hold-out model.
     """
     d, n = _tramos(filas, reajuste)
     d = cortar(d)
     por = {p["prueba"]: p for p in pruebas}
     pares = sorted(set(cuales) if cuales is not None else {(p, t) for p in por for t in range(-1, n)})
+    # Trials that differ in the number of trees alone are the first trees of one fit.
+    grupo = {p["prueba"]: g for g, iguales in enumerate(_estructuras(pruebas)) for p in iguales}
+    mayor: dict[tuple[int, int], dict] = {}
+    for p, t in pares:
+        otro = mayor.get((grupo[p], t))
+        mayor[grupo[p], t] = por[p] if otro is None else max(otro, por[p], key=lambda x: x["arboles"])
     nodos = ajustar_todos(d.sparkSession, [
-        (p * POR_PRUEBA + t + 1, lambda p=p, t=t: ts_boost(d if t < 0 else _antes(d, t, reajuste), por[p], features))
-        for p, t in pares])
-    return encoger(nodos, {p * POR_PRUEBA + t + 1: _regular(por[p]) for p, t in pares})
+        (g * POR_PRUEBA + t + 1, lambda p=p, t=t: ts_boost(d if t < 0 else _antes(d, t, reajuste), p, features))
+        for (g, t), p in mayor.items()])
+    reparto = d.sparkSession.createDataFrame(
+        [(grupo[p] * POR_PRUEBA + t + 1, p * POR_PRUEBA + t + 1, por[p]["arboles"]) for p, t in pares],
+        "ajuste bigint, _de bigint, _arboles int")
+    nodos = nodos.join(F.broadcast(reparto), "ajuste").filter("arbol < _arboles").withColumn("ajuste", F.col("_de"))
+    return cortar(encoger(nodos, {p * POR_PRUEBA + t + 1: _regular(por[p]) for p, t in pares}))
 
 
 def ajustes_usados(filas: DataFrame, reajuste: int, horizonte: int) -> set[tuple[int, int]]:

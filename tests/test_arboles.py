@@ -177,3 +177,19 @@ def test_historia_corta(spark, filas):
             "lag_1": F.lit(y[-1]), "lag_2": F.lit(y[-2]), "lag_4": F.lit(None).cast("double"),
             "rolling_4": F.lit(None).cast("double"), "rolling_8": F.lit(None).cast("double")})
         assert math.isclose(bo.predecir(fila, bo.ts_boost(filas, p)).first()["prediccion"], x["prediccion"], rel_tol=1e-9)
+
+
+def test_pruebas_comparten_ajustes(filas, monkeypatch):
+    """Trials of one structure are one fit an origin; each gives what it gives alone."""
+    pruebas = [{**PRUEBA, "arboles": 2}, {**PRUEBA, "prueba": 1, "arboles": 5}, {**PRUEBA, "prueba": 2, "profundidad": 2, "alfa": 0.1}]
+    hechos, ajustar = [], bo.ajustar_todos
+    monkeypatch.setattr(bo, "ajustar_todos", lambda spark, tareas: hechos.append(len(tareas)) or ajustar(spark, tareas))
+    elegida = F.when(F.col("producto") == "a", 0).when(F.col("producto") == "b", 1).otherwise(2)
+    suyas = cortar(filas.withColumn("prueba", elegida))
+    usados = bo.ajustes_usados(suyas, 6, 3)
+    nodos = bo.ajustes_wf(filas, pruebas, 6, cuales=usados)
+    juntas = por_clave(bo.ts_wf_multi(suyas, None, 3, 6, nodos=nodos), "prediccion", ("producto", "origen", "h"))
+    assert len(usados) == 9 and hechos == [6]
+    for p, producto in zip(pruebas, "abc"):
+        sola = por_clave(bo.ts_wf_multi(filas, p, 3, 6).filter(F.col("producto") == producto), "prediccion", ("producto", "origen", "h"))
+        iguales({k: juntas[k] for k in sola}, sola)
