@@ -133,22 +133,24 @@ def repartir(d: DataFrame) -> DataFrame:
     return d.repartition(n, "producto")
 
 
-def con_festivos(serie: DataFrame, semanas: DataFrame, *extra: str) -> DataFrame:
-    """Holidays that fall on each Monday, from the weekly calendar (one row a week)."""
+def con_festivos(serie: DataFrame, semanas: DataFrame, *extra: str, festivos: bool = True) -> DataFrame:
+    """Holidays that fall on each Monday, from the weekly calendar (one row a week); none if not wanted."""
+    if not festivos:
+        return serie.select("producto", "ds", "y", *extra, F.array().cast("array<string>").alias("festivos"))
     return serie.select("producto", "ds", "y", *extra).join(
         F.broadcast(semanas.select("ds", "festivos")), "ds", "left")
 
 
 def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None = None,
             periodo: float = PERIODO, orden: int = ORDEN, entero: bool = True, quiebres: int = QUIEBRES,
-            pena: float = 1.0) -> DataFrame:
+            pena: float = 1.0, festivos: bool = True) -> DataFrame:
     """Baseline yhat with its 80 % band for every row of ``serie``; rows with null y are forecast.
 
     ``parametros`` holds one row per product; without it the default settings are used. Results
     are never negative and, with ``entero``, rounded up to whole units. Without bends, season (order 0),
     holidays and penalty it is the least-squares line.
     """
-    d = con_festivos(serie, semanas)
+    d = con_festivos(serie, semanas, festivos=festivos)
     if parametros is None:
         d = d.withColumns({k: F.lit(v) for k, v in POR_DEFECTO.items()})
     else:
@@ -172,7 +174,7 @@ def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None =
 
 
 def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict], orden: int = ORDEN,
-                   quiebres: int = QUIEBRES, pena: float = 1.0) -> DataFrame:
+                   quiebres: int = QUIEBRES, pena: float = 1.0, festivos: bool = True) -> DataFrame:
     """Error of every trial for every product: fitted on the rows with ``parte = 'train'``, scored
     on the active weeks of the rest. A trial that cannot be scored gets 9999.
 
@@ -180,7 +182,7 @@ def ts_ajuste_base(partes: DataFrame, semanas: DataFrame, pruebas: Sequence[dict
     trial.
     """
     lista = list(pruebas)
-    d = con_festivos(partes, semanas, "parte")
+    d = con_festivos(partes, semanas, "parte", festivos=festivos)
 
     def buscar(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("ds")

@@ -36,6 +36,7 @@ class Opciones:
     minimo_serie: int = 40
     minimo_filas: int = 25
     sin_fuga: bool = False
+    base: dict = field(default_factory=dict)  # what the baseline is made of, see ``baseline.ts_base``
 
 
 def marco(serie: DataFrame, o: Opciones) -> tuple[DataFrame, DataFrame]:
@@ -49,7 +50,7 @@ def marco(serie: DataFrame, o: Opciones) -> tuple[DataFrame, DataFrame]:
     semanas = cortar(calendario_semanal(serie.sparkSession, ini, fin, o.dias_atras))
     partes = cortar(s.win_corte(serie))
     pruebas = bl.pruebas_base(o.pruebas_base)
-    mejores = cortar(bl.agg_mejor_prueba(bl.ts_ajuste_base(partes, semanas, pruebas),
+    mejores = cortar(bl.agg_mejor_prueba(bl.ts_ajuste_base(partes, semanas, pruebas, **o.base),
                                          *bl.COLS_PARAMS))
     extendida = cortar(s.set_expandir(serie, o.horizonte))
     entrada = extendida
@@ -57,7 +58,7 @@ def marco(serie: DataFrame, o: Opciones) -> tuple[DataFrame, DataFrame]:
         entrada = extendida.join(partes.select("producto", "ds", "parte"), ["producto", "ds"],
                                  "left").withColumn("y", F.when(F.col("parte") == "train",
                                                                 F.col("y"))).drop("parte")
-    base = bl.ts_base(entrada, semanas, mejores)
+    base = bl.ts_base(entrada, semanas, mejores, **o.base)
     rasgos = s.ts_features(extendida, ini, fin, o.dias_atras, o.sin_fuga)
     return cortar(rasgos.join(base, ["producto", "ds"], "left")), mejores
 

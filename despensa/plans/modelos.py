@@ -16,6 +16,7 @@ from despensa.operators import boost as bo
 from despensa.operators import series as s
 from despensa.operators.calendar import calendario_semanal
 from despensa.operators.joins import set_union
+from despensa.plans import segmentacion  # noqa: F401  declares v_criticos
 from despensa.plans import series as ps
 from despensa.plans.bindings import DESPLAZAMIENTO, vista
 from despensa.plans.forecast import Opciones, marco, ts_orquestar, ts_resumen
@@ -203,7 +204,7 @@ def _(t):
 
 
 # The baseline without bends, season, holidays and penalty.
-RECTA = {"orden": 0, "quiebres": 0, "pena": 0.0}
+RECTA = {"orden": 0, "quiebres": 0, "pena": 0.0, "festivos": False}
 vista("v_recta", """
 SELECT producto, a, b, sqrt(AVG((y - a - b * x) * (y - a - b * x))) AS s, MAX(ds) AS ultima FROM (
   SELECT *, date_diff('day', DATE '1990-01-01', ds) AS x FROM v_abierta) d
@@ -217,17 +218,13 @@ SELECT producto, ds, y, a + b * date_diff('day', DATE '1990-01-01', ds) AS f, s
 JOIN v_recta USING (producto)"""
 
 
-def _sin_festivos(t, serie, extra: int):
-    return _semanas(t, serie, extra).withColumn("festivos", F.array().cast("array<string>"))
-
-
 @consulta("ts_base", f"""
 SELECT producto, ds, GREATEST(0, f) AS yhat, GREATEST(0, f - {bl.Z80} * s) AS yhat_lower,
   GREATEST(0, f + {bl.Z80} * s) AS yhat_upper FROM ({FILAS_RECTA.format(semanas=4)}) x""",
           dobles="yhat yhat_lower yhat_upper")
 def _(t):
     serie = _serie(t)
-    return bl.ts_base(s.set_expandir(serie, 4), _sin_festivos(t, serie, 5), entero=False, **RECTA)
+    return bl.ts_base(s.set_expandir(serie, 4), _semanas(t, serie, 5), entero=False, **RECTA)
 
 
 @consulta("ts_base_anual", f"""
@@ -235,7 +232,7 @@ SELECT producto, ds, CASE WHEN y = 0 THEN 0 ELSE GREATEST(0, f) END AS yhat
 FROM ({FILAS_RECTA.format(semanas=26)}) x""", dobles="yhat")
 def _(t):
     serie = _serie(t)
-    return bl.ts_base_anual(serie, _sin_festivos(t, serie, 27), **RECTA).select("producto", "ds", "yhat")
+    return bl.ts_base_anual(serie, _semanas(t, serie, 27), **RECTA).select("producto", "ds", "yhat")
 
 
 @consulta("ts_ajuste_base", f"""
@@ -253,7 +250,7 @@ FROM (SELECT DISTINCT producto FROM d) p LEFT JOIN r USING (producto) LEFT JOIN
           dobles="mae")
 def _(t):
     serie = _serie(t)
-    return bl.ts_ajuste_base(s.win_corte(serie), _sin_festivos(t, serie, 5), bl.pruebas_base(3), **RECTA).select(
+    return bl.ts_ajuste_base(s.win_corte(serie), _semanas(t, serie, 5), bl.pruebas_base(3), **RECTA).select(
         "producto", "prueba", "mae")
 
 
@@ -292,7 +289,53 @@ def _(t):
     return bo.ts_horizonte(historia, cuadro.filter("y IS NULL"), nodos, prueba=PRUEBAS[0])
 
 
-@consulta("ts_orquestar")
+# A whole run with the line as baseline and a single leaf, the mean residual, as booster: a re-fit for every
+# week of every product, bands from the multi-step back-test, the horizon.
+HOJA = {"prueba": 0, "arboles": 1, "paso": 1.0, "profundidad": 0, "muestra": 1.0, "columnas": 1.0, "minimo_hoja": 1}
+vista("v_corrida", """
+SELECT *, CAST(floor(n * 0.8) AS INTEGER) AS corte, (y - yhat) / escala AS r FROM (
+  SELECT *, GREATEST(1, AVG(y) FILTER (WHERE i <= floor(n * 0.8)) OVER (PARTITION BY producto)) AS escala FROM (
+    SELECT producto, ds, y, CEIL(GREATEST(0, a + b * date_diff('day', DATE '1990-01-01', ds))) AS yhat,
+      ROW_NUMBER() OVER (PARTITION BY producto ORDER BY ds) AS i, COUNT(*) OVER (PARTITION BY producto) AS n
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY producto ORDER BY ds) AS semana FROM v_abierta) s
+    JOIN v_recta USING (producto)
+    WHERE semana > 8 AND producto IN (SELECT Nombre FROM v_criticos)) x) x""", "v_abierta", "v_recta", "v_criticos")
+vista("v_corrida_sabido", """
+SELECT k, SUM(s) OVER (ORDER BY k) / SUM(c) OVER (ORDER BY k) AS m FROM (
+  SELECT GREATEST(i - corte, 0) AS k, SUM(r) AS s, COUNT(*) AS c FROM v_corrida GROUP BY 1) x""", "v_corrida")
+
+
+@consulta("ts_orquestar", """
+SELECT * FROM (
+WITH prueba AS (
+  SELECT producto, STDDEV_POP(y - p) FILTER (WHERE y > 0) AS std, COUNT(*) FILTER (WHERE y > 0) AS activas FROM (
+    SELECT *, GREATEST(0, yhat + (SELECT m FROM v_corrida_sabido WHERE k = 0) * escala) AS p FROM v_corrida WHERE i > corte) x
+  GROUP BY 1),
+ancho AS (
+  SELECT producto, h, CASE WHEN COUNT(e) >= 3 THEN QUANTILE_CONT(e, 0.8) END AS p80 FROM (
+    SELECT o.producto, d.i - o.i + 1 AS h,
+      CASE WHEN d.y > 0 THEN ABS(d.y - GREATEST(0, d.yhat + m * d.escala)) END AS e
+    FROM v_corrida o JOIN v_corrida d ON d.producto = o.producto AND d.i BETWEEN o.i AND o.i + 3
+    JOIN v_corrida_sabido ON k = o.i - o.corte - 1
+    WHERE o.i > o.corte AND o.i <= o.n - 3) x GROUP BY 1, 2),
+futuro AS (
+  SELECT producto, CAST(h AS INTEGER) AS h, ultima + CAST(7 * h AS INTEGER) AS fecha, yhat,
+    GREATEST(0, yhat + (SELECT AVG(r) FROM v_corrida) * escala) AS p
+  FROM (SELECT *, CEIL(GREATEST(0, a + b * date_diff('day', DATE '1990-01-01', ultima + CAST(7 * h AS INTEGER)))) AS yhat
+        FROM v_recta, range(1, 5) q(h)) x
+  JOIN (SELECT DISTINCT producto, escala FROM v_corrida) e USING (producto))
+SELECT producto, h AS semana_offset, fecha, CAST(format('{:.1f}', p) AS DOUBLE) AS prediccion,
+  CAST(format('{:.1f}', GREATEST(0, p - w)) AS DOUBLE) AS prediccion_lower, CAST(format('{:.1f}', p + w) AS DOUBLE) AS prediccion_upper,
+  CAST(format('{:.1f}', yhat) AS DOUBLE) AS prophet_solo, CAST(GREATEST(50, 80 - 7 * (h - 1)) AS INTEGER) AS confianza_pct
+FROM (SELECT f.*, coalesce(NULLIF(p80, 0), CASE WHEN activas > 1 THEN std ELSE 0 END * (1 + 0.15 * (f.h - 1))) AS w
+      FROM futuro f JOIN prueba USING (producto) LEFT JOIN ancho a ON a.producto = f.producto AND a.h = f.h
+      WHERE activas > 0) z) z""")
+def _(t):
+    opciones = Opciones(desde="1996-01-01", dias_atras=DESPLAZAMIENTO, pruebas_base=2, pruebas_boost=[HOJA], base=RECTA)
+    return ts_orquestar(t.ventas(), opciones)["predicciones_4_semanas"]
+
+
+@consulta("ts_orquestar_modelo")
 def _(t):
     return ts_orquestar(t.ventas(), OPCIONES)["predicciones_4_semanas"]
 
