@@ -32,6 +32,8 @@ PERIODO, ORDEN = 24.0, 5
 QUIEBRES = 25
 FALLO = 9999.0
 Z80 = 1.2815515655446004
+# Solves of the bends' prior, and below which share of its scale a bend counts as none.
+VUELTAS, CASI_CERO = 12, 1e-3
 # -------------------------------------------------------------------------------
 
 ESQUEMA_PARAMS = ("changepoint_prior_scale double, seasonality_prior_scale double, "
@@ -88,36 +90,58 @@ def _resolver(x: np.ndarray, y: np.ndarray, pena: np.ndarray, var: float) -> np.
     return np.linalg.solve(x.T @ x + np.diag(pena * var), x.T @ y)
 
 
-def ajustar_serie(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict,
-                  quiebres: int = QUIEBRES, pena: float = 1.0) -> tuple[np.ndarray, float]:
-    """Fitted values of all rows (rows with null y are forecast) and the residual spread. ``pena`` scales
-    the penalty of every part; 0 is a plain least-squares fit."""
+def _laplace(quiebres: np.ndarray, escala: float) -> np.ndarray:
+    """Squared penalty that stands for a Laplace prior near these bends: small ones are held at 0, large
+    ones let go."""
+    return 1 / (escala * np.maximum(np.abs(quiebres), CASI_CERO * escala))
+
+
+def ajustar(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict, quiebres: int = QUIEBRES,
+            pena: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fitted values of all rows (rows with null y are forecast), the spread of each row, the bends.
+
+    Bends have a Laplace prior, found by solving anew with the penalty of the last bends; season
+    and holidays a normal one. ``pena`` scales the penalty of every part; 0 is a plain least-squares fit. After
+    the last observed row the spread grows: bends as frequent and as large as those of the history may follow.
+    """
     visto = ~np.isnan(y)
     escala = max(np.abs(y[visto]).max(), 1e-9)
     v = y[visto] / escala
     tend = tendencia(dias.astype(float), visto, p["changepoint_range"], quiebres)
-    pena_t = pena * np.r_[1 / 25.0, 1 / 25.0,
-                          np.full(tend.shape[1] - 2, 1 / p["changepoint_prior_scale"] ** 2)]
+    n_q, ancho = tend.shape[1] - 2, p["changepoint_prior_scale"]
+    pena_t = pena * np.r_[1 / 25.0, 1 / 25.0, np.full(n_q, 1 / ancho ** 2)]
     pena_e = pena * np.r_[np.full(efec.shape[1] - n_fest, 1 / p["seasonality_prior_scale"] ** 2),
                           np.full(n_fest, 1 / p["holidays_prior_scale"] ** 2)]
     var = max(v.var(), 1e-6)
-    if p["seasonality_mode"] == "additive":
-        x, pena = np.column_stack([tend, efec]), np.r_[pena_t, pena_e]
-        for _ in range(3):
-            b = _resolver(x[visto], v, pena, var)
-            var = max(np.mean((v - x[visto] @ b) ** 2), 1e-6)
-        ajuste = x @ b
-    else:
-        # y = trend * (1 + effects): each part in turn, the other held.
-        e = np.zeros(len(dias))
-        for _ in range(3):
+    e = np.zeros(len(dias))
+    for _ in range(VUELTAS if n_q and pena else 3):
+        if p["seasonality_mode"] == "additive":
+            x, junta = np.column_stack([tend, efec]), np.r_[pena_t, pena_e]
+            b = _resolver(x[visto], v, junta, var)
+            ajuste, b = x @ b, b[:tend.shape[1]]
+        else:
+            # y = trend * (1 + effects): each part in turn, the other held.
             m = (1 + e)[:, None] * tend
-            g = tend @ _resolver(m[visto], v, pena_t, var)
+            b = _resolver(m[visto], v, pena_t, var)
+            g = tend @ b
             x = g[:, None] * efec
             e = efec @ _resolver(x[visto], v - g[visto], pena_e, var)
             ajuste = g * (1 + e)
-            var = max(np.mean((v - ajuste[visto]) ** 2), 1e-6)
-    return ajuste * escala, float(np.sqrt(np.mean((v - ajuste[visto]) ** 2)) * escala)
+        var = max(np.mean((v - ajuste[visto]) ** 2), 1e-6)
+        pena_t[2:] = pena * _laplace(b[2:], ancho)
+    resto = float(np.mean((v - ajuste[visto]) ** 2))
+    t = tend[:, 1]
+    # Variance that bends at this rate, of this mean size, put into the trend by then.
+    futuro = np.clip(t - t[visto][-1], 0, None)
+    banda = np.sqrt(resto + 2 * n_q * float(np.mean(np.abs(b[2:])) if n_q else 0.0) ** 2 * futuro ** 3 / 3)
+    return ajuste * escala, banda * escala, b[2:]
+
+
+def ajustar_serie(dias: np.ndarray, y: np.ndarray, efec: np.ndarray, n_fest: int, p: dict,
+                  quiebres: int = QUIEBRES, pena: float = 1.0) -> tuple[np.ndarray, float]:
+    """Fitted values of all rows and the residual spread."""
+    ajuste, banda, _ = ajustar(dias, y, efec, n_fest, p, quiebres, pena)
+    return ajuste, float(banda[~np.isnan(y)][0])
 
 
 def _dias(ds: pd.Series) -> np.ndarray:
@@ -156,18 +180,18 @@ def ts_base(serie: DataFrame, semanas: DataFrame, parametros: DataFrame | None =
     else:
         d = d.join(parametros.select("producto", *COLS_PARAMS), "producto")
 
-    def ajustar(g: pd.DataFrame) -> pd.DataFrame:
+    def de_grupo(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("ds")
         p = g.iloc[0][COLS_PARAMS].to_dict()
         dias, y = _dias(g["ds"]), g["y"].to_numpy(float)
         efec, n_fest = efectos(dias, g["festivos"], ~np.isnan(y), periodo, orden)
-        yhat, s = ajustar_serie(dias, y, efec, n_fest, p, quiebres, pena)
+        yhat, s, _ = ajustar(dias, y, efec, n_fest, p, quiebres, pena)
         return pd.DataFrame({"producto": g["producto"].to_numpy(), "ds": g["ds"].to_numpy(),
                              "yhat": yhat, "yhat_lower": yhat - Z80 * s,
                              "yhat_upper": yhat + Z80 * s})
 
     r = repartir(d).groupBy("producto").applyInPandas(
-        ajustar, "producto string, ds date, yhat double, yhat_lower double, yhat_upper double")
+        de_grupo, "producto string, ds date, yhat double, yhat_lower double, yhat_upper double")
     cero = F.lit(0.0)
     return r.withColumns({c: num_recorte(c).cast("double") if entero else F.greatest(F.col(c), cero)
                           for c in ("yhat", "yhat_lower", "yhat_upper")})

@@ -47,6 +47,40 @@ def test_base_festivo(modo):
     assert nf == 1 and np.abs(ajuste - y).max() < 4 and sd < 2
 
 
+def test_un_quiebre():
+    """One planted bend: the prior gathers it where it is, a squared penalty smears it over its neighbours."""
+    n, ruido = 150, np.random.default_rng(2).normal(0, 0.5, 150)
+    dias = np.arange(n) * 7.0 + 20000
+    y = 100.0 + np.clip(np.arange(n) - 57, 0, None) * 1.5 + ruido
+    efec = np.zeros((n, 0))
+    p = {**bl.POR_DEFECTO, "changepoint_range": 0.95}
+    ajuste, _, q = bl.ajustar(dias, y, efec, 0, p)
+    vueltas = bl.VUELTAS
+    try:
+        bl.VUELTAS = 1
+        _, _, cresta = bl.ajustar(dias, y, efec, 0, p)
+    finally:
+        bl.VUELTAS = vueltas
+
+    def junto(q):
+        """Share of the two bends beside the planted one."""
+        return np.sort(np.abs(q))[-2:].sum() / np.abs(q).sum()
+
+    assert junto(q) > 0.9 > 0.5 > junto(cresta) and np.abs(ajuste - (y - ruido)).max() < 2
+    lugar = int(np.abs(q).argmax())
+    assert abs((lugar + 1) / bl.QUIEBRES * 0.95 - 57 / n) < 0.06
+
+
+def test_banda_crece():
+    n = 120
+    dias = np.arange(n + 10) * 7.0 + 20000
+    y = np.r_[100.0 + np.clip(np.arange(n) - 60, 0, None) * 2 + np.random.default_rng(1).normal(0, 1, n), np.full(10, np.nan)]
+    _, banda, _ = bl.ajustar(dias, y, np.zeros((n + 10, 0)), 0, bl.POR_DEFECTO)
+    assert len(set(banda[:n])) == 1 and (np.diff(banda[n - 1:]) > 0).all()
+    _, recta, _ = bl.ajustar(dias, y, np.zeros((n + 10, 0)), 0, bl.POR_DEFECTO, 0, 0.0)
+    assert len(set(recta)) == 1  # without bends nothing says that the trend may turn
+
+
 def test_pruebas():
     a, b = bl.pruebas_base(20), bl.pruebas_base(20)
     assert a == b and len({p["prueba"] for p in a}) == 20
