@@ -178,11 +178,16 @@ def intersect(shard: Shard, numbers: np.ndarray, order: np.ndarray, slop: int
 MATCH = "array<struct<item:{item},start:long,length:long,exact:boolean>>"
 
 
+SPANS = "array<struct<start:long,length:long>>"
+
+
 def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text",
-           size: int = 10, slop: int = 0) -> DataFrame:
-    """One row per document: id, n_words, matches.
+           size: int = 10, slop: int = 0, every: bool = True) -> DataFrame:
+    """One row per document: id, n_words, spans, items, and matches if ``every`` one is wanted.
 
-    ``matches`` lists (item, start, length, exact): a window of ``size`` consecutive words of the
+    ``spans`` are the stretches (start, length in words) inside exact occurrences, merged, ``items``
+    the items that have one: at most as many as the document has words and the table items, however
+    often a window occurs. ``matches`` lists (item, start, length, exact): a window of ``size`` consecutive words of the
     item (the whole item, if it has fewer) that occurs at word ``start`` of the document, exactly
     or with every word at most ``slop`` places off. Items without words match nothing.
 
@@ -193,7 +198,8 @@ def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_c
     kind = items.schema[item_col].dataType.simpleString()
     id_kind = index.schema["ids"].dataType.elementType.simpleString()
     schema = T._parse_datatype_string(
-        f"shard long, nr long, id {id_kind}, n_words long, matches {MATCH.format(item=kind)}")
+        f"shard long, nr long, id {id_kind}, n_words long, spans {SPANS}, items array<{kind}>"
+        + (f", matches {MATCH.format(item=kind)}" if every else ""))
     target = arrow_schema(T.StructType([*schema.fields[:2], *schema.fields[3:]]))
     told = items.select(F.col(f"`{item_col}`").alias("item"), F.col(f"`{text_col}`").cast("string").alias("t"))
     count, chars = told.agg(F.count(F.lit(1)), F.sum(F.length("t"))).first()
@@ -221,7 +227,9 @@ def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_c
             for batch in batches:
                 for row in batch.to_pylist():
                     shard = Shard(row)
-                    matches = [[] for _ in shard.ids]
+                    k = len(shard.ids)
+                    matches, found = [[] for _ in shard.ids], [set() for _ in shard.ids]
+                    edges = np.zeros(int(shard.base[-1] + shard.n_words[-1]) + 1 if k else 1, np.int32)
                     numbers = shard.find(phrases)
                     for r in np.flatnonzero(((numbers >= 0) | ~inside).all(1)):
                         n = int(lengths[r])
@@ -229,17 +237,29 @@ def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_c
                         if not len(starts):
                             continue
                         doc = np.searchsorted(shard.base, starts, side="right") - 1
+                        exact = starts[off == 0]
+                        np.add.at(edges, exact, 1)
+                        np.add.at(edges, exact + n, -1)
+                        for d in np.unique(doc[off == 0]).tolist():
+                            found[d].update(owners[r])
+                        if not every:
+                            continue
                         for s, o, d in zip(starts.tolist(), off.tolist(), doc.tolist()):
                             s -= int(shard.base[d])
                             # A near phrase may hang over an end of its document by the slop.
                             if o == 0 or 0 <= s and s + n <= shard.n_words[d]:
                                 matches[d] += [{"item": i, "start": s, "length": n, "exact": o == 0}
                                                for i in owners[r]]
-                    k = len(shard.ids)
+                    # Gaps between documents keep their spans apart.
+                    turns = np.flatnonzero(np.diff(np.r_[False, np.cumsum(edges) > 0, False])).reshape(-1, 2)
+                    spans = [[] for _ in shard.ids]
+                    for d, a, b in zip((np.searchsorted(shard.base, turns[:, 0], side="right") - 1).tolist(), *turns.T.tolist()):
+                        spans[d].append({"start": a - int(shard.base[d]), "length": b - a})
                     yield pa.RecordBatch.from_arrays([
                         pa.array([row["shard"]] * k, pa.int64()), pa.array(range(k), pa.int64()),
-                        pa.array(shard.ids, batch.schema.field("ids").type.value_type),
-                        pa.array(shard.n_words), pa.array(matches, target.field("matches").type)],
+                        pa.array(shard.ids, batch.schema.field("ids").type.value_type), pa.array(shard.n_words),
+                        *[pa.array(x, target.field(c).type) for x, c in (
+                            (spans, "spans"), ([list(x) for x in found], "items"), (matches, "matches")) if c in schema.names]],
                         names=schema.names)
 
         return index.mapInArrow(run, schema)
@@ -250,36 +270,41 @@ def search(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_c
     if passes > 1:
         found = found.groupBy("shard", "nr").agg(
             F.first("id").alias("id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("matches")).alias("matches"))
-    return found.select("id", "n_words", "matches")
+            united(F.flatten(F.collect_list("spans"))).alias("spans"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+            *([F.flatten(F.collect_list("matches")).alias("matches")] if every else []))
+    return found.drop("shard", "nr")
+
+
+def united(spans: Column) -> Column:
+    """Spans of several passes, merged where they touch."""
+    one = lambda a, n: F.struct(a.alias("start"), n.alias("length"))
 
+    def joined(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        end = last["start"] + last["length"]
+        longer = one(last["start"], F.greatest(end, s["start"] + s["length"]) - last["start"])
+        return F.when((F.size(done) == 0) | (s["start"] > end), F.concat(done, F.array(one(s["start"], s["length"])))).otherwise(
+            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer)))
 
-def covered(matches: str = "matches") -> Column:
-    """Words inside any exact match: merged spans, summed."""
-    spans = F.array_sort(F.transform(F.filter(matches, lambda m: m.exact), lambda m: F.struct(
-        m.start.alias("a"), (m.start + m.length).alias("b"))))
-    return F.aggregate(
-        spans, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
-        lambda acc, s: F.struct(
-            (acc["n"] + F.greatest(F.lit(0).cast("long"), s["b"] - F.greatest(s["a"], acc["end"]))).alias("n"),
-            F.greatest(acc["end"], s["b"]).alias("end")),
-        lambda acc: acc["n"])
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), joined)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text", size: int = 10, slop: int = 0
-                  ) -> DataFrame:
-    """One row per row of ``docs``: its id, n_words, matches, n_hit, items, contaminated.
+                  item_col: str = "item_id", item_text: str = "text", size: int = 10, slop: int = 0,
+                  every: bool = False) -> DataFrame:
+    """One row per row of ``docs``: its id, n_words, spans, n_hit, items, contaminated (and matches, see
+    ``search``, if ``every`` one is wanted).
 
-    ``n_hit`` counts words inside an exact occurrence, ``items`` lists, sorted as strings, the
-    items with one. Null and wordless texts have no words and no match; null ids are kept, a null
+    ``spans`` are the stretches inside exact occurrences, ``n_hit`` counts their words, ``items`` lists, sorted
+    as strings, the items with one. Null and wordless texts have no words and no match; null ids are kept, a null
     item id takes part in ``n_hit`` but not in ``items``. Repeated rows come back as often; either
     table may be empty. Other columns are not read.
     """
     index = build_index(docs, id_col, text_col, gap=max(64, size + 2 * slop))
-    found = search(index, items, item_col, item_text, size, slop)
-    exact = F.transform(F.filter("matches", lambda m: m.exact), lambda m: m.item.cast("string"))
+    found = search(index, items, item_col, item_text, size, slop, every)
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
     return found.select(
-        F.col("id").alias(id_col), "n_words", "matches", covered().alias("n_hit"),
-        F.array_sort(F.array_distinct(F.array_compact(exact))).alias("items")).withColumn(
-        "contaminated", F.col("n_hit") > 0)
+        F.col("id").alias(id_col), "n_words", "spans", hit.alias("n_hit"),
+        F.array_sort(F.array_distinct(F.transform(F.array_compact("items"), lambda i: i.cast("string")))).alias("items"),
+        *(["matches"] if every else [])).withColumn("contaminated", F.col("n_hit") > 0)

@@ -45,7 +45,7 @@ def cases():
 def test_hits_as_brute_force(spark, docs_of, cases, slop):
     docs, items = cases
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("text2", F.lit("z"))
-    got = decontaminate.decontaminate(docs_of(docs), bench, slop=slop)
+    got = decontaminate.decontaminate(docs_of(docs), bench, slop=slop, every=slop > 0)
     told = [(r["doc_id"], r["n_words"], r["n_hit"], r["items"], r["contaminated"]) for r in got.collect()]
     want = [(d, *brute_hits(t, items)) for d, t in docs]
     want = [(*x, x[2] > 0) for x in want]
@@ -55,12 +55,31 @@ def test_hits_as_brute_force(spark, docs_of, cases, slop):
 def test_passes_give_the_same(spark, docs_of, cases, monkeypatch):
     docs, items = cases
     bench = spark.createDataFrame(items, "item_id long, text string")
-    one = decontaminate.decontaminate(docs_of(docs), bench).drop("matches").collect()
+    one = decontaminate.decontaminate(docs_of(docs), bench).collect()
     monkeypatch.setattr(decontaminate, "PASS_ITEMS", 7)
-    many = decontaminate.decontaminate(docs_of(docs), bench).drop("matches").collect()
+    many = decontaminate.decontaminate(docs_of(docs), bench).collect()
     assert sorted(map(repr, one)) == sorted(map(repr, many))
 
 
+def test_spans_are_the_covered_words(spark, docs_of, cases):
+    """Merged, in order, apart, and the same words that every single match covers."""
+    docs, items = cases
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for r in decontaminate.decontaminate(docs_of(docs), bench, every=True).collect():
+        within = {m["start"] + k for m in r["matches"] if m["exact"] for k in range(m["length"])}
+        spans = [(s["start"], s["start"] + s["length"]) for s in r["spans"]]
+        assert {k for a, b in spans for k in range(a, b)} == within and r["n_hit"] == len(within)
+        assert all(a < b for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:]))
+
+
+def test_a_common_word_of_many_items_stays_small(spark, docs_of):
+    """A word millions of times in a text, in 50 items: one span and 50 items, no list of pairs."""
+    bench = spark.createDataFrame([(i, "word") for i in range(50)], "item_id long, text string")
+    (r,) = decontaminate.decontaminate(docs_of([(1, "word " * 300_000)]), bench).collect()
+    assert r["n_hit"] == r["n_words"] == 300_000 and len(r["items"]) == 50
+    assert [tuple(s) for s in r["spans"]] == [(0, 300_000)]
+
+
 def test_small_shards_and_long_documents(spark, docs_of, cases):
     docs, items = cases
     bench = spark.createDataFrame(items, "item_id long, text string")
