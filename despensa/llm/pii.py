@@ -10,6 +10,7 @@ patterns extract become further spans of the seeds' kind.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import pyarrow as pa
@@ -38,8 +39,12 @@ EDGE = "\"'`.,;:!?()[]{}<>|*#$%&"
 LEFT, RIGHT, WORD = 2, 1, 40
 # How much an unseen string counts against a pattern, and what is added to smooth few seeds; a string
 # is known to be wrong if under half of the strings of its shape, of so many at least, share a
-# pattern with any seed. Of the shapes, the most frequent are looked at.
-DOUBT, SMOOTH, KNOWN, SHAPES = 0.1, 0.4, 20, 10_000
+# pattern with any seed.
+DOUBT, SMOOTH, KNOWN = 0.1, 0.4, 20
+# Strings of more characters are told apart by a hash, written in letters, behind their shape.
+WRITTEN = 4 * WORD
+RUNS = re.compile(r"[^\W\d_]+|[0-9]+")
+IN_LETTERS = str.maketrans("0123456789", "ghijklmnop")
 
 
 def luhn(digits: str) -> bool:
@@ -136,12 +141,20 @@ def mentions(text: str) -> tuple[list, list]:
             b -= 1
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if any(x < b and y > a for x, y in taken[i:i + 4]) or b - a < 3 or b - a > 4 * WORD:
+        if any(x < b and y > a for x, y in taken[i:i + 4]) or b - a < 3:
             continue
         out.append((-1, a, b, patterns(text, a, b)))
     return base, out
 
 
+def written(said: str) -> str:
+    """The string that stands for a mention; one of a long mention is short, has its shape and differs from others."""
+    if len(said) <= WRITTEN:
+        return said
+    digest = hashlib.sha256(said.encode()).hexdigest().translate(IN_LETTERS)
+    return f"{RUNS.sub(lambda m: '0' if m[0][0] in '0123456789' else 'a', said)[:WRITTEN]}#{digest}"
+
+
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One staged row per document: row, id, base spans, mentions."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("t"),
@@ -158,7 +171,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 for t in part.column(1).to_pylist():
                     b, m = mentions(t or "")
                     base.append([{"kind": k, "start": x, "stop": y} for k, x, y in b])
-                    said.append([{"kind": k, "start": x, "stop": y, "said": t[x:y], "patterns": p}
+                    said.append([{"kind": k, "start": x, "stop": y, "said": written(t[x:y]), "patterns": p}
                                  for k, x, y, p in m])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(base, kinds.field("base").type),
@@ -189,11 +202,10 @@ def bootstrap(scanned: DataFrame, rounds: int = 3, support: int = 3, confidence:
     near = edges.filter("kind < 0").join(every.filter("seeds > 0").select("pattern"), "pattern").select(
         "instance", "shape").distinct().groupBy("shape").agg(F.count(F.lit(1)).alias("near"))
     wrong = edges.filter("kind < 0").select("instance", "shape").distinct().groupBy("shape").agg(
-        F.count(F.lit(1)).alias("all")).filter(F.col("all") >= KNOWN).orderBy(F.desc("all"), "shape").limit(
-        SHAPES).join(near, "shape", "left").filter(F.coalesce("near", F.lit(0)) * 2 < F.col("all"))
+        F.count(F.lit(1)).alias("all")).filter(F.col("all") >= KNOWN).join(near, "shape", "left").filter(F.coalesce("near", F.lit(0)) * 2 < F.col("all"))
     wrong = staged(wrong.select("shape", F.lit(1).alias("wrong")), "wrong")
     edges = staged(edges.join(every.filter(F.col("n") >= support).select("pattern"), "pattern")
-                   .join(F.broadcast(wrong), "shape", "left").select(
+                   .join(wrong, "shape", "left").select(
                        "pattern", "instance", "kind", F.coalesce("wrong", F.lit(0)).alias("wrong")), "wide-edges")
     wide = staged(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(
         F.col("kind") < 0, F.col("wrong")).otherwise(0)).alias("bad")), "wide").withColumnRenamed("pattern", "w")
