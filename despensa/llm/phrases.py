@@ -34,6 +34,8 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 BYTES, ROWS = 2_000_000, 20_000
 # Bytes of keys and counts a task gathers before it adds up those that are the same, in so many stretches.
 HELD, STRETCHES = 64_000_000, 16
+# Merging tasks for each shuffle partition: runs move as large values, a batch of which is held at a time.
+FINER = 3
 # Bits of a filter: at least, at most (32 MB), and for each phrase in between.
 BITS = (1 << 20, 1 << 28, 16)
 COUNTS = "lang string, words int, phrase string, n long"
@@ -171,7 +173,7 @@ def frequent_keys(texts: DataFrame, longest: int, proposed: Broadcast | None, at
     each key would cost several times as much to move. A merging task holds the distinct keys of its
     share, so as elsewhere the number of shuffle partitions has to fit the data.
     """
-    schema, ranges = arrow_schema(T._parse_datatype_string(RUNS)), shuffle_partitions(texts.sparkSession)
+    schema, ranges = arrow_schema(T._parse_datatype_string(RUNS)), FINER * shuffle_partitions(texts.sparkSession)
 
     def counted(part: Part) -> Iterator[pa.RecordBatch]:
         bits = None if proposed is None else np.frombuffer(proposed.value, np.uint8)
