@@ -13,19 +13,18 @@ def _llenar(df: DataFrame, valor: Column, grupo: list[str], orden: str, tramo: C
     Rows are cut into stretches in row order. Each stretch is filled by itself; what it lacks comes
     from the nearest stretch that has a value, found on a table of one row per stretch.
     """
-    toma = F.first if adelante else F.last
     d = df.withColumns({"_v": valor, "_t": tramo})
-    dentro = Window.partitionBy(*grupo, "_t").orderBy(orden)
-    dentro = (dentro.rowsBetween(0, Window.unboundedFollowing) if adelante
-              else dentro.rowsBetween(Window.unboundedPreceding, 0))
+    # Rows above the current one, downwards or upwards: a frame that only grows costs one step a row. One
+    # that reaches from the row to the end is read anew for every row.
+    sentido = (lambda c: F.col(c).desc()) if adelante else (lambda c: F.col(c).asc())
+    dentro = (Window.partitionBy(*grupo, "_t").orderBy(sentido(orden))
+              .rowsBetween(Window.unboundedPreceding, 0))
     borde = F.min_by if adelante else F.max_by
     resumen = d.groupBy(*grupo, "_t").agg(
         borde("_v", F.when(F.col("_v").isNotNull(), F.col(orden))).alias("_b"))
-    otros = Window.partitionBy(*grupo).orderBy("_t")
-    otros = (otros.rowsBetween(1, Window.unboundedFollowing) if adelante
-             else otros.rowsBetween(Window.unboundedPreceding, -1))
-    resumen = resumen.withColumn("_b", toma("_b", ignorenulls=True).over(otros))
-    d = d.withColumn("_v", toma("_v", ignorenulls=True).over(dentro))
+    otros = Window.partitionBy(*grupo).orderBy(sentido("_t")).rowsBetween(Window.unboundedPreceding, -1)
+    resumen = resumen.withColumn("_b", F.last("_b", ignorenulls=True).over(otros))
+    d = d.withColumn("_v", F.last("_v", ignorenulls=True).over(dentro))
     return (d.join(resumen, [*grupo, "_t"], "left")
             .withColumn(salida, F.coalesce("_v", "_b")).drop("_v", "_t", "_b"))
 

@@ -92,3 +92,18 @@ def test_llenado(spark):
         for i in range(1500):
             assert b[a, i] == next((v for v in vs[i:] if v), None)
             assert u[a, i] == next((v for v in vs[i::-1] if v), None)
+
+
+def test_llenado_lineal(spark):
+    """One long stretch, and as many short ones: no frame is read anew for every row."""
+    n = 40_000
+    d = spark.range(n).select(F.lit("f").alias("archivo"), F.col("id").alias("fila"),
+                              F.when(F.col("id") % 1000 == 999, F.col("id").cast("string")).alias("v"))
+    for tramo in (F.lit(0), F.col("fila")):
+        abajo = win_bfill(d, "v", ["archivo"], "fila", tramo)
+        arriba = win_ffill(d, F.col("v"), "u", ["archivo"], "fila", tramo)
+        for r in (abajo, arriba):
+            plan = r._jdf.queryExecution().toString().lower()
+            assert "window" in plan and "unboundedfollowing" not in plan
+        assert abajo.filter(F.col("v") != (F.floor(F.col("fila") / 1000) * 1000 + 999).cast("string")).count() == 0
+        assert abajo.filter("v IS NULL").count() == 0 and arriba.filter("u IS NULL").count() == 999
