@@ -6,7 +6,9 @@ value of a dimension, the bitmaps of its invoices' numbers: those of several day
 so any stretch is answered from the stored days, exactly and without reading the ledger.
 
 Numbers follow the day an invoice is first seen on, so the invoices of a day lie beside each other
-and a day has few bitmaps (of 32,768 invoices each).
+and a day has few bitmaps (of 32,768 invoices each). A bitmap is a list of those of its words of 64
+invoices that hold any: an invoice whose lines are spread over many days costs a word on each of them,
+not a bitmap.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from despensa.soporte import acumular, cortar
 
 CUBO = 32_768
+PALABRA = 64
 
 
 def numerar(ventas: DataFrame, desde: int = 0) -> DataFrame:
@@ -34,15 +37,18 @@ def agg_recuento(ventas: DataFrame, numeros: DataFrame, *dims: str) -> DataFrame
     """Stored days: Fecha, ``dims``, cubo, bits, and Ingresos, Unidades and Lineas beside the first bitmap.
 
     Lines without an invoice count in the sums and have no bit. One row for each day, value and bitmap;
-    partial ORs before the shuffle, so a hot day or value arrives as one bitmap from each task.
+    partial ORs before the shuffle, so a hot day or value arrives as one row for each word from each task.
     """
-    bits = (
-        ventas.join(numeros, "Consecutivo").groupBy("Fecha", *dims, F.floor(F.col("numero") / CUBO).alias("cubo"))
-        .agg(F.bitmap_construct_agg(F.pmod("numero", F.lit(CUBO))).alias("bits"))
+    en_cubo = F.pmod("numero", F.lit(CUBO))
+    palabras = (
+        ventas.join(numeros, "Consecutivo").groupBy(
+            "Fecha", *dims, F.floor(F.col("numero") / CUBO).alias("cubo"), F.floor(en_cubo / PALABRA).alias("p"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(pmod(numero, {CUBO}), {PALABRA}) AS INT))")).alias("b"))
     )
+    bits = palabras.groupBy("Fecha", *dims, "cubo").agg(F.collect_list(F.struct("p", "b")).alias("bits"))
     sumas = ventas.groupBy("Fecha", *dims).agg(
         F.sum("Total").alias("Ingresos"), F.sum("Cantidad").alias("Unidades"), F.count(F.lit(1)).alias("Lineas"),
-    ).withColumns({"cubo": F.lit(None).cast("bigint"), "bits": F.lit(None).cast("binary")})
+    ).withColumns({"cubo": F.lit(None).cast("bigint"), "bits": F.lit(None).cast(bits.schema["bits"].dataType)})
     return sumas.unionByName(bits, allowMissingColumns=True)
 
 
@@ -56,15 +62,19 @@ def recuento(dias: DataFrame, *dims: Column | str, desde: dt.date | str | None =
     if hasta is not None:
         d = d.filter(F.col("Fecha") <= F.lit(hasta))
     por = [F.col(c) if isinstance(c, str) else c for c in dims]
-    # First the bitmaps of a value that cover the same invoices, then their counts: both are summed before
+    # First the words of a value that cover the same invoices, then their counts: both are summed before
     # they move.
-    juntos = d.groupBy(*por, "cubo").agg(
-        F.bitmap_or_agg("bits").alias("bits"), F.sum("Ingresos").alias("_i"), F.sum("Unidades").alias("_u"),
-        F.sum("Lineas").alias("_n"))
+    juntos = d.select(
+        *por, "cubo", "Ingresos", "Unidades", "Lineas", F.explode_outer("bits").alias("_w")).select(
+        "*", F.col("_w.p").alias("_p"), F.col("_w.b").alias("_b")).drop("_w")
     nombres = juntos.columns[:len(por)]
-    return juntos.groupBy(*[F.col(f"`{c}`") for c in nombres]).agg(
+    claves = [F.col(f"`{c}`") for c in nombres]
+    juntos = juntos.groupBy(*claves, "cubo", "_p").agg(
+        F.bit_or("_b").alias("_b"), F.sum("Ingresos").alias("_i"), F.sum("Unidades").alias("_u"),
+        F.sum("Lineas").alias("_n"))
+    return juntos.groupBy(*claves).agg(
         F.sum("_i").alias("Ingresos"), F.sum("_u").alias("Unidades"), F.sum("_n").alias("Lineas"),
-        F.coalesce(F.sum(F.when(F.col("cubo").isNotNull(), F.bitmap_count("bits"))), F.lit(0)).alias("Facturas"))
+        F.coalesce(F.sum(F.bit_count("_b").cast("bigint")), F.lit(0)).alias("Facturas"))
 
 
 def agg_recuento_nuevo(dias: DataFrame, numeros: DataFrame, ventas: DataFrame, *dims: str) -> tuple[DataFrame, DataFrame]:

@@ -78,6 +78,21 @@ def test_pocos_mapas_por_dia(spark):
     assert rc.recuento(dias).first()["Facturas"] == 200_000
 
 
+def test_facturas_repartidas(spark):
+    """Invoices with lines on days all over: what is stored grows with the lines, not by a bitmap a line."""
+    n = 60_000
+    v = spark.range(n).select(
+        F.date_add(F.lit(DIA), (F.col("id") * 7919 % 500).cast("int")).alias("Fecha"),
+        (F.col("id") % 20_000).cast("string").alias("Consecutivo"), F.lit(1.0).alias("Total"), F.lit(1.0).alias("Cantidad"))
+    dias = cortar(rc.agg_recuento(v, rc.numerar(v)))
+    largo = F.length("bits") if dict(dias.dtypes)["bits"] == "binary" else 16 * F.size("bits")
+    assert dias.filter("cubo IS NOT NULL").select(F.sum(largo)).first()[0] <= 16 * n
+    assert rc.recuento(dias).first()["Facturas"] == 20_000
+    un_dia = DIA + dt.timedelta(days=7)
+    assert rc.recuento(dias, desde=un_dia, hasta=un_dia).first()["Facturas"] == v.filter(
+        F.col("Fecha") == F.lit(un_dia)).select("Consecutivo").distinct().count()
+
+
 def receta(spark, platos, nombres):
     rec = spark.createDataFrame([(p, i) for i, p in enumerate(platos)], "plato string, orden int")
     nom = spark.createDataFrame([(n,) for n in nombres], "producto string")
