@@ -1,5 +1,6 @@
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -111,6 +112,27 @@ def test_toxicity_held_out(spark, docs_of, remarks):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in got.values())
 
 
+def test_toxicity_learns_from_all_rows(spark, docs_of, remarks, monkeypatch):
+    """Whole long texts, every shard and all rows kept for the thresholds count."""
+    long = [(i, t + " ja" * 8000 if y else t, lang, y) for i, t, lang, y in remarks]
+    labels = spark.createDataFrame([(r[0], r[3]) for r in remarks], "doc_id long, toxic int")
+    assert toxicity.fit(docs_of(long), labels).net is not None
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 200)
+    whole, seen = toxicity.thresholds, []
+    monkeypatch.setattr(toxicity, "thresholds", lambda check, *a: (seen.append(check.agg({"n": "sum"}).first()[0]), whole(check, *a))[1])
+    model = toxicity.fit(docs_of(remarks), labels)
+    assert seen == [sum(zlib.crc32(str(r[0]).encode()) % 4 == 3 for r in remarks)]
+    again = toxicity.fit(docs_of(remarks[::-1]), labels)
+    assert np.array_equal(model.net.embedding, again.net.embedding) and model.shift == again.shift
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs_of(remarks), model).collect()}
+    assert sum(got[r[0]] == r[3] for r in remarks) >= 0.9 * len(remarks)
+
+
+def test_best_threshold_of_counts():
+    z = np.array([-1.0, 3.0, 0.5, 2.0])
+    assert toxicity.best_threshold(z, np.array([0.0, 5, 0, 4]), np.array([9.0, 5, 6, 4])) == 1.25
+
+
 def test_toxicity_odd_rows(spark, docs_of, odd_rows, remarks):
     labels = spark.createDataFrame([(r[0], r[3]) for r in remarks], "doc_id long, toxic int")
     model = toxicity.fit(docs_of(remarks[:120]), labels)
